@@ -111,10 +111,10 @@ def item_title(md: ColumnOrName, item_id: ColumnOrName) -> Column:
 
 
 # P13
-def heading_markdown(level: ColumnOrName, text: ColumnOrName) -> Column:
+def heading_markdown(level: ColumnOrName, text: ColumnOrName, stripped: bool = False) -> Column:
     """``#`` repeated min(level + 1, 6) times, a space and the stripped text."""
     n = F.least(_c(level) + 1, F.lit(6))
-    return F.concat(F.repeat(F.lit("#"), n), F.lit(" "), strip_ws(text))
+    return F.concat(F.repeat(F.lit("#"), n), F.lit(" "), _c(text) if stripped else strip_ws(text))
 
 
 # P14
@@ -156,9 +156,12 @@ def prompt_text(c: ColumnOrName) -> Column:
 
 
 # H1
-def header_level(c: ColumnOrName) -> Column:
-    """Header level of a paragraph (1, 2, 3) or NULL for an ordinary paragraph."""
-    s = strip_ws(c)
+def header_level(c: ColumnOrName, stripped: bool = False) -> Column:
+    """Header level of a paragraph (1, 2, 3) or NULL for an ordinary paragraph.
+
+    ``stripped=True`` skips the strip for text that has none to remove (P3 output).
+    """
+    s = _c(c) if stripped else strip_ws(c)
     return (F.when(F.length(s) < 3, F.lit(None))
             .when(is_upper(s) & (F.length(s) > 5), F.lit(1))
             .when(s.rlike(RX.HEADER_L2), F.lit(2))

@@ -63,14 +63,17 @@ def _meta_header(title: Column | None, author: Column | None) -> Column:
     return F.array_join(F.array(t_line, a_line, F.lit("")), "\n")
 
 
-def _render(p: Column) -> Column:
-    lvl = T.header_level(p)
-    line = F.when(lvl.isNotNull(), T.heading_markdown(lvl, p)).otherwise(p)
+def _render(e: Column) -> Column:
+    p, lvl = e["p"], e["lvl"]
+    line = F.when(lvl.isNotNull(), T.heading_markdown(lvl, p, stripped=True)).otherwise(p)
     return F.concat(F.lit("\n"), line, F.lit("\n\n"))
 
 
 def _render_all(arr: Column) -> Column:
-    return F.array_join(F.transform(arr, _render), "")
+    """Paragraphs (already stripped by P3) to Markdown lines, one header test each."""
+    typed = F.transform(arr, lambda p: F.struct(
+        p.alias("p"), T.header_level(p, stripped=True).alias("lvl")))
+    return F.array_join(F.transform(typed, _render), "")
 
 
 def text_to_markdown(df: DataFrame, text: str = "text", title: str | None = "title",
@@ -102,7 +105,7 @@ def explode_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "text") -
     with_toc = with_toc_bounds(df.select(key, T.split_paragraphs(text).alias("_paras")))
     rows = with_toc.select(key, "_toc_start", "_toc_end",
                            F.posexplode("_paras").alias("i", "text"))
-    lvl = T.header_level("text")
+    lvl = T.header_level("text", stripped=True)
     in_toc = ((F.col("_toc_start") >= 0) & (F.col("_toc_end") >= 0)
               & F.col("i").between(F.col("_toc_start"), F.col("_toc_end")))
     return rows.select(

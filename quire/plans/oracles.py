@@ -79,3 +79,52 @@ register("A4_documents_to_markdown",
          text_to_markdown_sql("SELECT doc_id, text, NULL AS title, NULL AS author FROM documents"))
 register("W1_toc_range", toc_range_sql(corpus_sql("book_text")))
 register("E1_explode_paragraphs", explode_paragraphs_sql(corpus_sql("book_text")))
+
+
+def _chapter_cuts(src: str, level: int = 1) -> str:
+    cut = RX.chapter_cut(level, "duckdb")
+    return f"""
+src AS ({src}),
+cu AS (SELECT doc_id, regexp_split_to_array(md, {q(cut)})[2:] AS parts FROM src),
+c AS (SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS seq FROM cu),
+x AS (SELECT doc_id, seq, raw, {S.strip('raw')} AS s FROM c),
+y AS (SELECT doc_id, seq, raw,
+             {S.strip("split_part(s, chr(10), 1)")} AS title,
+             {S.strip("CASE WHEN strpos(s, chr(10)) > 0 THEN substr(s, strpos(s, chr(10)) + 1) ELSE '' END")} AS body,
+             min(seq) OVER (PARTITION BY doc_id, raw) + 1 AS first_equal
+      FROM x),
+z AS (SELECT doc_id, seq, title, body,
+             CASE WHEN {S.slugify('title')} = '' THEN 'chapter_' || CAST(first_equal AS VARCHAR)
+                  ELSE {S.slugify('title')} END AS slug
+      FROM y WHERE title <> '')"""
+
+
+def split_chapters_sql(src: str, last_wins: bool = False) -> str:
+    where = ""
+    if last_wins:
+        where = "QUALIFY row_number() OVER (PARTITION BY doc_id, slug ORDER BY seq DESC) = 1"
+    return f"""WITH {_chapter_cuts(src)}
+SELECT doc_id, CAST(seq AS INTEGER) AS seq, title, slug, body,
+       '# ' || title || chr(10) || chr(10) || body AS rendered
+FROM z {where}"""
+
+
+def first_equal_sql(src: str) -> str:
+    return f"""WITH {_chapter_cuts(src)}
+SELECT doc_id, CAST(seq AS INTEGER) AS seq, CAST(first_equal AS INTEGER) AS first_equal FROM y"""
+
+
+def validate_sql() -> str:
+    cut = q(RX.chapter_cut(1, "duckdb"))
+    parts = f"len(regexp_split_to_array(md, {cut})) - 1"
+    reason = (f"CASE WHEN md IS NULL OR NOT {S.rlike('md', RX.NON_WS)} THEN 'Input file is empty' "
+              f"WHEN {parts} = 0 THEN 'No chapters found. Make sure chapters are marked with ''## ''' END")
+    return f"""WITH src AS (SELECT 'md_raw' AS source, doc_id, md FROM ({corpus_sql('md_raw')})
+                  UNION ALL SELECT 'documents', doc_id, text FROM documents)
+SELECT source, doc_id, {reason} IS NULL AS ok, {reason} AS reason FROM src"""
+
+
+register("E2_split_chapters", split_chapters_sql(corpus_sql("md_raw")))
+register("W5_last_slug_wins", split_chapters_sql(corpus_sql("md_raw"), last_wins=True))
+register("W6_first_equal_chapter", first_equal_sql(corpus_sql("md_raw")))
+register("H7_validate_markdown", validate_sql())

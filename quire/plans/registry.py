@@ -9,7 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import chapters as CH
 from ..operators import markdown as MDOP
 from ..sources import corpora as C
 from ..sources import tables as TB
@@ -44,3 +46,27 @@ def w1_toc_range(spark, sf_dir):
 @query("E1_explode_paragraphs")
 def e1_explode_paragraphs(spark, sf_dir):
     return MDOP.explode_paragraphs(C.book_text(spark, sf_dir))
+
+
+@query("E2_split_chapters")
+def e2_split_chapters(spark, sf_dir):
+    return CH.split_chapters(C.md_raw(spark, sf_dir))
+
+
+@query("W5_last_slug_wins")
+def w5_last_slug_wins(spark, sf_dir):
+    return CH.last_slug_wins(C.md_raw(spark, sf_dir))
+
+
+@query("W6_first_equal_chapter")
+def w6_first_equal_chapter(spark, sf_dir):
+    return CH.first_equal_chapter(C.md_raw(spark, sf_dir))
+
+
+@query("H7_validate_markdown")
+def h7_validate_markdown(spark, sf_dir):
+    md = C.md_raw(spark, sf_dir).select(F.lit("md_raw").alias("source"), "doc_id", "md")
+    docs = TB.read_table(spark, sf_dir, "documents").select(
+        F.lit("documents").alias("source"), "doc_id", F.col("text").alias("md"))
+    v = md.unionByName(docs)
+    return CH.validate_markdown(v, key=["source", "doc_id"])
