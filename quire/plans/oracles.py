@@ -128,3 +128,47 @@ register("E2_split_chapters", split_chapters_sql(corpus_sql("md_raw")))
 register("W5_last_slug_wins", split_chapters_sql(corpus_sql("md_raw"), last_wins=True))
 register("W6_first_equal_chapter", first_equal_sql(corpus_sql("md_raw")))
 register("H7_validate_markdown", validate_sql())
+
+
+PAGE_RANGE = (3, 8)
+
+
+def _pages_src(ranged: bool) -> str:
+    src = corpus_sql("book_pages")
+    if ranged:
+        src = f"SELECT * FROM ({src}) WHERE page_no BETWEEN {PAGE_RANGE[0]} AND {PAGE_RANGE[1]}"
+    return src
+
+
+def pages_to_text_sql(ranged: bool) -> str:
+    return f"""WITH src AS ({_pages_src(ranged)}),
+r AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY page_no) AS pos FROM src),
+x AS (SELECT book_id, page_no,
+             CASE WHEN error IS NOT NULL THEN '[ERROR ON PAGE ' || CAST(pos AS VARCHAR) || ']' ELSE text END AS piece
+      FROM r)
+SELECT book_id,
+       coalesce(string_agg(piece, chr(10) || chr(10) ORDER BY page_no) FILTER (WHERE piece <> ''), '') AS text,
+       CAST(count(*) AS BIGINT) AS n_pages
+FROM x GROUP BY book_id"""
+
+
+register("S4_select_pages", f"SELECT book_id, page_no, text, error FROM ({_pages_src(True)})")
+register("A2_pages_to_text", pages_to_text_sql(False))
+register("A2_pages_to_text_range", pages_to_text_sql(True))
+register("W4_page_position", f"""SELECT book_id, page_no, text, error,
+  CAST(row_number() OVER (PARTITION BY book_id ORDER BY page_no) AS INTEGER) AS position
+FROM ({_pages_src(True)})""")
+register("A6_corpus_counts", f"""SELECT book_id, CAST(count(*) AS BIGINT) AS n
+FROM ({_pages_src(False)}) GROUP BY book_id""")
+register("A2b_pages_to_markdown", f"""WITH src AS ({_pages_src(False)}),
+x AS (SELECT book_id, page_no, {S.page_markdown('text')} AS piece FROM src)
+SELECT book_id, '# book_' || CAST(book_id AS VARCHAR) || chr(10) || chr(10)
+       || string_agg(piece, '' ORDER BY page_no) AS md
+FROM x GROUP BY book_id""")
+register("E3_explode_lines", f"""WITH src AS ({corpus_sql('md_raw')}),
+l AS (SELECT doc_id, string_split(md, chr(10)) AS ls FROM src)
+SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS i, unnest(ls) AS line FROM l""")
+register("E4_explode_sentences", f"""WITH {_paragraph_rows(corpus_sql('book_text'))},
+ss AS (SELECT doc_id, i, {S.sentences('para')} AS sl FROM p)
+SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(generate_subscripts(sl, 1) - 1 AS INTEGER) AS s,
+       unnest(sl) AS sentence FROM ss""")

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import assemble as AS
 from ..operators import chapters as CH
 from ..operators import markdown as MDOP
 from ..sources import corpora as C
@@ -70,3 +71,48 @@ def h7_validate_markdown(spark, sf_dir):
         F.lit("documents").alias("source"), "doc_id", F.col("text").alias("md"))
     v = md.unionByName(docs)
     return CH.validate_markdown(v, key=["source", "doc_id"])
+
+
+PAGE_RANGE = (3, 8)
+
+
+@query("S4_select_pages")
+def s4_select_pages(spark, sf_dir):
+    return TB.select_pages(C.book_pages(spark, sf_dir), *PAGE_RANGE)
+
+
+@query("A2_pages_to_text")
+def a2_pages_to_text(spark, sf_dir):
+    return AS.pages_to_text(C.book_pages(spark, sf_dir))
+
+
+@query("A2_pages_to_text_range")
+def a2_pages_to_text_range(spark, sf_dir):
+    return AS.pages_to_text(TB.select_pages(C.book_pages(spark, sf_dir), *PAGE_RANGE))
+
+
+@query("W4_page_position")
+def w4_page_position(spark, sf_dir):
+    return AS.page_position(TB.select_pages(C.book_pages(spark, sf_dir), *PAGE_RANGE))
+
+
+@query("A6_corpus_counts")
+def a6_corpus_counts(spark, sf_dir):
+    return AS.corpus_counts(C.book_pages(spark, sf_dir), "book_id")
+
+
+@query("A2b_pages_to_markdown")
+def a2b_pages_to_markdown(spark, sf_dir):
+    name = F.concat(F.lit("book_"), F.col("book_id").cast("string"))
+    return AS.pages_to_markdown(C.book_pages(spark, sf_dir), name)
+
+
+@query("E3_explode_lines")
+def e3_explode_lines(spark, sf_dir):
+    return AS.explode_lines(C.md_raw(spark, sf_dir))
+
+
+@query("E4_explode_sentences")
+def e4_explode_sentences(spark, sf_dir):
+    paras = MDOP.explode_paragraphs(C.book_text(spark, sf_dir))
+    return AS.explode_sentences(paras, ["doc_id", "i"], "text")

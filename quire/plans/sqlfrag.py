@@ -73,3 +73,21 @@ def md_squeeze(x: str) -> str:
 def slugify(x: str) -> str:
     s = f"regexp_replace(lower({x}), {q('[^' + RX.WC_CHARS + RX.WS_CHARS + '-]')}, '', 'g')"
     return f"regexp_replace({s}, {q('[-' + RX.WS_CHARS + ']+')}, '_', 'g')"
+
+
+def sentences(x: str) -> str:
+    """Sentence split without look-behind: mark each break with U+001F, then split."""
+    mark = f"regexp_replace({x}, {q('([' + RX.SENTENCE_END + '])' + RX.WS + '+')}, '\\1' || chr(31), 'g')"
+    return f"string_split({mark}, chr(31))"
+
+
+def strict_paragraphs(x: str) -> str:
+    return (f"list_filter(list_transform(regexp_split_to_array({x}, {q(RX.STRICT_PARAGRAPH_BREAK)}), "
+            f"lambda p: {strip('p')}), lambda p: p <> '')")
+
+
+def page_markdown(x: str) -> str:
+    paras = strict_paragraphs(clean_page_text(f"coalesce({x}, '')"))
+    piece = (f"CASE WHEN {is_short_title('p')} THEN chr(10) || '## ' || p || chr(10) || chr(10) "
+             f"ELSE array_to_string({sentences('p')}, ' ') || chr(10) || chr(10) END")
+    return f"array_to_string(list_transform({paras}, lambda p: {piece}), '')"
