@@ -29,29 +29,35 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
 
 def ordered_join(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
                  piece: str, sep: str = "", out: str = "text",
-                 block: Column | None = None) -> DataFrame:
+                 block: Column | None = None, drop_empty: bool = False) -> DataFrame:
     """Join ``piece`` strings per group in ``order``, separated by ``sep``.
 
-    NULL pieces are skipped.  With ``block`` (an expression over the row, e.g.
-    ``floor(page_no / 4096)``) the join runs in two levels as described above.
+    NULL pieces (and empty ones with ``drop_empty``) are skipped.  The skip happens
+    on the collected array, not as a row filter: a filter on a computed column
+    would be pushed below the projections that build it and re-evaluate them.
+    With ``block`` (an expression over the row, e.g. ``floor(page_no / 4096)``)
+    the join runs in two levels as described above.
     """
     keys = _keys(keys)
     order = _keys(order)
     item = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(piece).alias("_p"))
+
+    def keep(x: Column) -> Column:
+        return (x["_p"].isNotNull() & (x["_p"] != "")) if drop_empty else x["_p"].isNotNull()
+
+    def joined(items: Column, field: str) -> Column:
+        return F.array_join(F.transform(F.filter(F.array_sort(items), keep if field == "_p" else
+                                                 (lambda x: x[field] != "") if drop_empty else
+                                                 (lambda x: x[field].isNotNull())),
+                                        lambda x: x[field]), sep)
+
     if block is None:
-        return (df.where(F.col(piece).isNotNull())
-                .groupBy(*keys)
-                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["_p"]),
-                                  sep).alias(out)))
-    first = (df.where(F.col(piece).isNotNull())
-             .withColumn("_blk", block)
+        return df.groupBy(*keys).agg(joined(F.collect_list(item), "_p").alias(out))
+    first = (df.withColumn("_blk", block)
              .groupBy(*keys, "_blk")
-             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["_p"]),
-                               sep).alias("_bp")))
+             .agg(joined(F.collect_list(item), "_p").alias("_bp")))
     return (first.groupBy(*keys)
-            .agg(F.array_join(F.transform(
-                F.array_sort(F.collect_list(F.struct("_blk", "_bp"))), lambda x: x["_bp"]), sep)
-                .alias(out)))
+            .agg(joined(F.collect_list(F.struct("_blk", "_bp")), "_bp").alias(out)))
 
 
 # A1

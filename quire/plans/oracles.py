@@ -172,3 +172,57 @@ register("E4_explode_sentences", f"""WITH {_paragraph_rows(corpus_sql('book_text
 ss AS (SELECT doc_id, i, {S.sentences('para')} AS sl FROM p)
 SELECT doc_id, CAST(i AS INTEGER) AS i, CAST(generate_subscripts(sl, 1) - 1 AS INTEGER) AS s,
        unnest(sl) AS sentence FROM ss""")
+
+
+def reflow_sql(src: str, keys: list[str]) -> str:
+    """W2 over ``src`` (keys..., md) with windows; result (keys..., md)."""
+    k = ", ".join(keys)
+    opener = RX.list_or_code_line("duckdb").replace("(?m)^", "\\A")
+    nonblank = lambda x: S.rlike(x, RX.NON_WS)
+    return f"""
+rl AS (SELECT {k}, string_split(md, chr(10)) AS ls FROM ({src})),
+rx AS (SELECT {k}, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS i FROM rl),
+ry AS (SELECT *, CASE WHEN {S.rlike('line', opener)} THEN 1 WHEN NOT {nonblank('line')} THEN 0 END AS ev FROM rx),
+rz AS (SELECT *, coalesce(last_value(ev IGNORE NULLS) OVER (PARTITION BY {k} ORDER BY i
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) = 1 AS inb,
+              lag(line) OVER (PARTITION BY {k} ORDER BY i) AS prev FROM ry),
+re AS (SELECT {k}, i,
+              CASE WHEN i = 0 THEN line
+                   WHEN inb THEN chr(10) || line
+                   WHEN {nonblank('line')} AND NOT starts_with(line, '#') AND {nonblank('prev')}
+                        AND NOT {S.rlike('prev', '[' + RX.LINE_END_PUNCT + ']' + chr(92) + 'z')}
+                        THEN ' ' || {S.strip('line')}
+                   WHEN {nonblank('prev')} THEN chr(10) || chr(10) || line
+                   ELSE chr(10) || line END AS piece FROM rz),
+reflowed AS (SELECT {k}, string_agg(piece, '' ORDER BY i) AS md FROM re GROUP BY {k})"""
+
+
+ENTRIES = corpus_sql("content_entries")
+ITEMS = corpus_sql("manifest_items")
+_SUFFIX = "(ends_with(entry_path, '.html') OR ends_with(entry_path, '.xhtml') OR ends_with(entry_path, '.htm'))"
+
+register("P10_decode_entities", f"SELECT page_id, {S.decode_entities('html')} AS decoded FROM pages")
+register("P8_html_to_text", f"SELECT page_id, {S.html_to_text('html')} AS text FROM pages")
+register("P9_html_to_markdown", f"SELECT page_id, {S.html_to_markdown('html')} AS md FROM pages")
+register("S5_select_content_entries",
+         f"SELECT book_id, entry_path FROM ({ENTRIES}) WHERE {_SUFFIX}")
+register("A3_entries_to_text", f"""WITH x AS (
+  SELECT book_id, entry_path, {S.html_to_text('html')} AS t FROM ({ENTRIES}) WHERE {_SUFFIX})
+SELECT book_id, string_agg(t, chr(10) || chr(10) ORDER BY entry_path) AS text
+FROM x WHERE t <> '' GROUP BY book_id""")
+register("P7_md_squeeze", f"SELECT doc_id, {S.md_squeeze('md')} AS md FROM ({corpus_sql('md_raw')})")
+_SQUEEZED = f"SELECT doc_id, {S.md_squeeze('md')} AS md FROM ({corpus_sql('md_raw')})"
+register("W2_reflow_lines", f"WITH {reflow_sql(_SQUEEZED, ['doc_id'])} SELECT doc_id, md FROM reflowed")
+register("W2_reflow_text", f"WITH {reflow_sql(_SQUEEZED, ['doc_id'])} SELECT doc_id, md FROM reflowed")
+
+_ITEM_MD = (f"SELECT book_id, item_seq, {S.md_squeeze(S.html_to_markdown('html'))} AS md "
+            f"FROM ({ITEMS})")
+_ITEMS_CTE = f"""{reflow_sql(_ITEM_MD, ['book_id', 'item_seq'])},
+it AS (SELECT i.book_id, i.book_title, i.item_seq, r.md,
+              {S.item_title('r.md', 'i.item_id')} AS item_title
+       FROM ({ITEMS}) i JOIN reflowed r ON i.book_id = r.book_id AND i.item_seq = r.item_seq)"""
+register("P12_item_title", f"WITH {_ITEMS_CTE} SELECT book_id, item_seq, item_title FROM it")
+register("A5_items_to_markdown", f"""WITH {_ITEMS_CTE}
+SELECT book_id, '# ' || book_title || chr(10) || chr(10)
+       || string_agg('## ' || item_title || chr(10) || chr(10) || md || chr(10) || chr(10), '' ORDER BY item_seq) AS md
+FROM it GROUP BY book_id, book_title""")

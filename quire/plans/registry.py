@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import assemble as AS
+from ..functions import html as H
+from ..functions import text as T
 from ..operators import chapters as CH
+from ..operators import entries as EN
 from ..operators import markdown as MDOP
 from ..sources import corpora as C
 from ..sources import tables as TB
@@ -116,3 +119,54 @@ def e3_explode_lines(spark, sf_dir):
 def e4_explode_sentences(spark, sf_dir):
     paras = MDOP.explode_paragraphs(C.book_text(spark, sf_dir))
     return AS.explode_sentences(paras, ["doc_id", "i"], "text")
+
+
+@query("P10_decode_entities")
+def p10_decode_entities(spark, sf_dir):
+    return TB.read_table(spark, sf_dir, "pages").select("page_id", H.decode_entities("html").alias("decoded"))
+
+
+@query("P8_html_to_text")
+def p8_html_to_text(spark, sf_dir):
+    return TB.read_table(spark, sf_dir, "pages").select("page_id", H.html_to_text("html").alias("text"))
+
+
+@query("P9_html_to_markdown")
+def p9_html_to_markdown(spark, sf_dir):
+    return TB.read_table(spark, sf_dir, "pages").select("page_id", H.html_to_markdown("html").alias("md"))
+
+
+@query("S5_select_content_entries")
+def s5_select_content_entries(spark, sf_dir):
+    return TB.select_content_entries(C.content_entries(spark, sf_dir)).select("book_id", "entry_path")
+
+
+@query("A3_entries_to_text")
+def a3_entries_to_text(spark, sf_dir):
+    return EN.entries_to_text(C.content_entries(spark, sf_dir))
+
+
+@query("P7_md_squeeze")
+def p7_md_squeeze(spark, sf_dir):
+    return C.md_raw(spark, sf_dir).select("doc_id", T.md_squeeze("md").alias("md"))
+
+
+@query("W2_reflow_lines")
+def w2_reflow_lines(spark, sf_dir):
+    squeezed = C.md_raw(spark, sf_dir).select("doc_id", T.md_squeeze("md").alias("md"))
+    return EN.reflow_lines(AS.explode_lines(squeezed, "doc_id", "md"))
+
+
+@query("W2_reflow_text")
+def w2_reflow_text(spark, sf_dir):
+    return EN.clean_markdown(C.md_raw(spark, sf_dir)).select("doc_id", "md")
+
+
+@query("P12_item_title")
+def p12_item_title(spark, sf_dir):
+    return EN.item_markdown(C.manifest_items(spark, sf_dir)).select("book_id", "item_seq", "item_title")
+
+
+@query("A5_items_to_markdown")
+def a5_items_to_markdown(spark, sf_dir):
+    return EN.items_to_markdown(TB.manifest_documents(C.manifest_items(spark, sf_dir)))

@@ -91,3 +91,56 @@ def page_markdown(x: str) -> str:
     piece = (f"CASE WHEN {is_short_title('p')} THEN chr(10) || '## ' || p || chr(10) || chr(10) "
              f"ELSE array_to_string({sentences('p')}, ' ') || chr(10) || chr(10) END")
     return f"array_to_string(list_transform({paras}, lambda p: {piece}), '')"
+
+
+def _rx_replace(x: str, pattern: str, repl: str) -> str:
+    """regexp_replace with a Java-style replacement ($n) turned into RE2 style (\\n)."""
+    import re
+    r = re.sub(r"\$(\d)", r"\\\1", repl)
+    return f"regexp_replace({x}, {q(pattern)}, {e(r) if chr(10) in r else q(r)}, 'g')"
+
+
+def decode_entities(x: str) -> str:
+    from ..functions import html as H
+    pairs = ", ".join(f"{q(k)}: {q(v)}" for k, v in H.NAMED_ENTITIES.items())
+    cp = ("(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT {n} BETWEEN 55296 AND 57343 "
+          "THEN chr(CAST({n} AS INTEGER)) ELSE " + q(H.REPLACEMENT_CHAR) + " END)")
+    hexn = "CAST(('0x' || regexp_extract(e, '\\A&#[xX]([0-9a-fA-F]+)', 1)) AS BIGINT)"
+    decn = "CAST(regexp_extract(e, '\\A&#([0-9]+)', 1) AS BIGINT)"
+    one = (f"CASE WHEN regexp_matches(e, '\\A&#[xX][0-9a-fA-F]') THEN {cp.format(n=hexn)} "
+           f"WHEN regexp_matches(e, '\\A&#[0-9]') THEN {cp.format(n=decn)} "
+           f"ELSE coalesce(MAP {{{pairs}}}[regexp_extract(e, '\\A&([A-Za-z][A-Za-z0-9]*)', 1)], e) END")
+    ents = f"list_transform(regexp_extract_all({x}, {q(H.ENTITY)}), lambda e: {one})"
+    joined = (f"array_to_string(list_transform(regexp_split_to_array({x}, {q(H.ENTITY)}), "
+              f"lambda part, k: part || coalesce(({ents})[k], '')), '')")
+    return f"(CASE WHEN strpos({x}, '&') > 0 THEN {joined} ELSE {x} END)"
+
+
+def strip_non_text(x: str) -> str:
+    from ..functions import html as H
+    t = x
+    for p in (H.COMMENT, H._element("script"), H._element("style"), H.DECLARATION, H.PROC_INSTR):
+        t = _rx_replace(t, p, "")
+    return t
+
+
+def html_to_text(x: str) -> str:
+    from ..functions import html as H
+    t = _rx_replace(strip_non_text(x), H.TAG, "")
+    return collapse(decode_entities(t))
+
+
+def html_to_markdown(x: str) -> str:
+    from ..functions import html as H
+    t = _rx_replace(strip_non_text(x), H.HTML_WS, " ")
+    for pattern, repl in H.MD_RULES:
+        t = _rx_replace(t, pattern, repl)
+    t = decode_entities(t)
+    t = _rx_replace(t, r" *\n *", "\n")
+    t = _rx_replace(t, r"\n{3,}", "\n\n")
+    return _rx_replace(t, r"\A[ \n]+|[ \n]+\z", "")
+
+
+def item_title(md: str, item_id: str) -> str:
+    return (f"(CASE WHEN strpos({md}, '# ') > 0 THEN regexp_extract({md}, {q(r'# ([^\n]*)')}, 1) "
+            f"ELSE 'Chapter ' || CAST({item_id} AS VARCHAR) END)")
