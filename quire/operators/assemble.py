@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.rows import explode_with_pos
 
 PARAGRAPH_SEP = "\n\n"
 # Pages per first-level block when assembling page-numbered documents.
@@ -46,7 +47,7 @@ def ordered_join(df: DataFrame, keys: str | Sequence[str], order: str | Sequence
         return (x["_p"].isNotNull() & (x["_p"] != "")) if drop_empty else x["_p"].isNotNull()
 
     def joined(items: Column, field: str) -> Column:
-        return F.array_join(F.transform(F.filter(F.array_sort(items), keep if field == "_p" else
+        return F.array_join(F.transform(F.filter(F.sort_array(items), keep if field == "_p" else
                                                  (lambda x: x[field] != "") if drop_empty else
                                                  (lambda x: x[field].isNotNull())),
                                         lambda x: x[field]), sep)
@@ -119,7 +120,7 @@ def pages_to_text_parts(doc_pages: DataFrame, book: str = "book_id", page: str =
     offsets = _block_offsets(pages, book)
     item = F.struct(F.col(page).alias("p"), F.col(text).alias("text"), F.col(error).alias("error"))
     first = (pages.groupBy(book, "_blk")
-             .agg(F.array_sort(F.collect_list(item)).alias("_items"), F.count(F.lit(1)).alias("_n"))
+             .agg(F.sort_array(F.collect_list(item)).alias("_items"), F.count(F.lit(1)).alias("_n"))
              .join(offsets, [book, "_blk"]))
     pieces = F.transform("_items", lambda x, i: _page_piece(x, F.col("_off") + i + 1))
     kept = F.filter(pieces, lambda s: s.isNotNull() & (s != ""))
@@ -139,7 +140,7 @@ def pages_to_text(doc_pages: DataFrame, book: str = "book_id", page: str = "page
     parts = pages_to_text_parts(doc_pages, book, page, text, error, block_pages)
     part = F.struct("block", F.col("text").alias("t"))
     return (parts.groupBy(book)
-            .agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(part)),
+            .agg(F.array_join(F.filter(F.transform(F.sort_array(F.collect_list(part)),
                                                    lambda x: x["t"]), lambda s: s != ""),
                               PARAGRAPH_SEP).alias("text"),
                  F.sum("n_pages").cast("bigint").alias("n_pages")))
@@ -171,7 +172,7 @@ def pages_to_markdown(doc_pages: DataFrame, name: Column, book: str = "book_id",
 # E3
 def explode_lines(df: DataFrame, key: str = "doc_id", text: str = "md") -> DataFrame:
     """(key, i, line) for every line, empty lines included."""
-    return df.select(key, F.posexplode(F.split(F.col(text), "\n", -1)).alias("i", "line")).select(
+    return explode_with_pos(df, [key], F.split(F.col(text), "\n", -1), "i", "line").select(
         key, F.col("i").cast("int").alias("i"), "line")
 
 
@@ -180,5 +181,5 @@ def explode_sentences(df: DataFrame, keys: str | Sequence[str] = ("doc_id", "i")
                       text: str = "text") -> DataFrame:
     """(keys..., s, sentence) for every sentence of every paragraph."""
     keys = _keys(keys)
-    return df.select(*keys, F.posexplode(T.split_sentences(text)).alias("s", "sentence")).select(
+    return explode_with_pos(df, keys, T.split_sentences(text), "s", "sentence").select(
         *keys, F.col("s").cast("int").alias("s"), "sentence")

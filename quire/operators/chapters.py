@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as RX
 from ..functions import text as T
+from ..functions.rows import explode_with_pos
 
 EMPTY_DOC = "Input file is empty"
 NO_CHAPTERS = "No chapters found. Make sure chapters are marked with '## '"
@@ -57,7 +58,7 @@ def with_chapters(df: DataFrame, md: str = "md", level: int = 1) -> DataFrame:
 
 
 def _rows(df: DataFrame, key: str) -> DataFrame:
-    out = df.select(key, F.explode("_chapters").alias("c"))
+    out = explode_with_pos(df, [key], "_chapters", "_k", "c")
     return out.select(key, "c.seq", "c.title", "c.slug", "c.body",
                       F.concat(F.lit("# "), F.col("c.title"), F.lit("\n\n"), F.col("c.body"))
                       .alias("rendered"))
@@ -75,13 +76,13 @@ def last_slug_wins(df: DataFrame, key: str = "doc_id", md: str = "md", level: in
     last entry, so no shuffle by slug is needed.
     """
     df = with_chapters(df, md, level)
-    df = df.withColumn("_by_slug", F.array_sort(F.transform(
+    df = df.withColumn("_by_slug", F.sort_array(F.transform(
         "_chapters", lambda c: F.struct(c["slug"].alias("slug"), c["seq"].alias("seq"),
                                         c["title"].alias("title"), c["body"].alias("body")))))
     by_slug = F.col("_by_slug")
     kept = F.filter(by_slug, lambda c, i: F.coalesce(
         F.try_element_at(by_slug, i + 2)["slug"] != c["slug"], F.lit(True)))
-    df = df.withColumn("_chapters", F.array_sort(F.transform(
+    df = df.withColumn("_chapters", F.sort_array(F.transform(
         kept, lambda c: F.struct(c["seq"].alias("seq"), c["title"].alias("title"),
                                  c["slug"].alias("slug"), c["body"].alias("body")))))
     return _rows(df.drop("_by_slug"), key)
@@ -91,9 +92,10 @@ def first_equal_chapter(df: DataFrame, key: str = "doc_id", md: str = "md",
                         level: int = 1) -> DataFrame:
     """For every cut (empty titles included) the 1-based number of the first equal cut."""
     parts = df.select(key, _chapter_parts(F.col(md), level).alias("_parts"))
-    return parts.select(key, F.posexplode(F.transform(
-        "_parts", lambda p: F.array_position(F.col("_parts"), p).cast("int"))).alias("seq", "first_equal")
-    ).select(key, F.col("seq").cast("int").alias("seq"), "first_equal")
+    firsts = parts.select(key, F.transform(
+        "_parts", lambda p: F.array_position(F.col("_parts"), p).cast("int")).alias("_f"))
+    return explode_with_pos(firsts, [key], "_f", "seq", "first_equal").select(
+        key, F.col("seq").cast("int").alias("seq"), "first_equal")
 
 
 def _reject_reason(md: str, level: int) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.rows import explode_with_pos
 
 TOC_HEADING_MD = "## Table of Contents\n"
 TOC_NOTE_MD = "*[TOC content omitted in conversion]*\n"
@@ -103,8 +104,7 @@ def explode_paragraphs(df: DataFrame, key: str = "doc_id", text: str = "text") -
     kind is 'toc' inside a removed table of contents, 'header' or 'paragraph'.
     """
     with_toc = with_toc_bounds(df.select(key, T.split_paragraphs(text).alias("_paras")))
-    rows = with_toc.select(key, "_toc_start", "_toc_end",
-                           F.posexplode("_paras").alias("i", "text"))
+    rows = explode_with_pos(with_toc, [key, "_toc_start", "_toc_end"], "_paras", "i", "text")
     lvl = T.header_level("text", stripped=True)
     in_toc = ((F.col("_toc_start") >= 0) & (F.col("_toc_end") >= 0)
               & F.col("i").between(F.col("_toc_start"), F.col("_toc_end")))

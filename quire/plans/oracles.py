@@ -226,3 +226,69 @@ register("A5_items_to_markdown", f"""WITH {_ITEMS_CTE}
 SELECT book_id, '# ' || book_title || chr(10) || chr(10)
        || string_agg('## ' || item_title || chr(10) || chr(10) || md || chr(10) || chr(10), '' ORDER BY item_seq) AS md
 FROM it GROUP BY book_id, book_title""")
+
+
+def smp_expr() -> str:
+    return f"substring(lower({S.collapse('text')}), 1, 1000)"
+
+
+def grams_expr() -> str:
+    return ("list_concat("
+            "list_transform(range(1, length(smp) + 1), lambda i: substring(smp, i, 1)), "
+            "list_transform(range(1, length(smp)), lambda i: substring(smp, i, 2)), "
+            "list_transform(range(1, length(smp) - 1), lambda i: substring(smp, i, 3)))")
+
+
+def _langid_ctes(holdout_mod: int = 5) -> str:
+    smp = smp_expr()
+    grams = grams_expr()
+    return f"""
+s AS (SELECT doc_id, lang, {smp} AS smp, length({S.strip('text')}) < 20 AS short FROM documents),
+g AS (SELECT doc_id, lang, unnest({grams}) AS ngram FROM s),
+pc AS (SELECT lang, ngram, count(*) AS c FROM g WHERE doc_id % {holdout_mod} <> 0 AND lang IS NOT NULL
+       GROUP BY lang, ngram),
+prof AS (SELECT * FROM (SELECT lang, ngram, row_number() OVER (PARTITION BY lang ORDER BY c DESC, ngram) - 1 AS rl
+                        FROM pc) WHERE rl < 300),
+dc AS (SELECT doc_id, ngram, count(*) AS c FROM g GROUP BY doc_id, ngram),
+dp AS (SELECT * FROM (SELECT doc_id, ngram, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, ngram) - 1 AS rd
+                      FROM dc) WHERE rd < 300),
+langs AS (SELECT DISTINCT lang FROM prof),
+dist AS (SELECT d.doc_id, l.lang, sum(coalesce(abs(d.rd - p.rl), 300)) AS dd
+         FROM dp d CROSS JOIN langs l LEFT JOIN prof p ON p.lang = l.lang AND p.ngram = d.ngram
+         GROUP BY d.doc_id, l.lang),
+best AS (SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY dd, lang) AS k
+                                   FROM dist) WHERE k = 1),
+pred AS (SELECT s.doc_id, s.lang AS truth, CASE WHEN s.short THEN 'eng' ELSE best.lang END AS lang_pred
+         FROM s LEFT JOIN best ON s.doc_id = best.doc_id)"""
+
+
+def _ocr(col: str) -> str:
+    from ..functions.text import LANG_PACKS
+    cases = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in LANG_PACKS)
+    return f"coalesce(CASE {col} {cases} END, {col})"
+
+
+register("L1_train_profiles", f"WITH {_langid_ctes()} SELECT lang, ngram, CAST(rl AS INTEGER) AS rank FROM prof")
+register("L1_identify_language",
+         f"WITH {_langid_ctes()} SELECT doc_id, lang_pred, {_ocr('lang_pred')} AS ocr_lang FROM pred")
+register("L1_accuracy", f"""WITH {_langid_ctes()}
+SELECT CAST(count(*) AS BIGINT) AS n_eval, CAST(sum(CASE WHEN lang_pred = truth THEN 1 ELSE 0 END) AS BIGINT) AS n_correct
+FROM pred WHERE doc_id % 5 = 0 AND truth IS NOT NULL""")
+register("J1_lang_map_join", f"""SELECT lang, {_ocr('lang')} AS ocr_lang, CAST(count(*) AS BIGINT) AS n
+FROM documents GROUP BY lang""")
+register("W3_document_language", f"""WITH {_langid_ctes()},
+bp AS ({corpus_sql('book_pages')}),
+fp AS (SELECT book_id, coalesce(arg_min(coalesce(text, ''), page_no), '') AS text FROM bp GROUP BY book_id),
+fs AS (SELECT book_id, {smp_expr()} AS smp, length({S.strip('text')}) < 20 AS short FROM fp),
+fg AS (SELECT book_id, unnest({grams_expr()}) AS ngram FROM fs),
+fc AS (SELECT book_id, ngram, count(*) AS c FROM fg GROUP BY book_id, ngram),
+fdp AS (SELECT * FROM (SELECT book_id, ngram, row_number() OVER (PARTITION BY book_id ORDER BY c DESC, ngram) - 1 AS rd
+                       FROM fc) WHERE rd < 300),
+fdist AS (SELECT d.book_id, l.lang, sum(coalesce(abs(d.rd - p.rl), 300)) AS dd
+          FROM fdp d CROSS JOIN langs l LEFT JOIN prof p ON p.lang = l.lang AND p.ngram = d.ngram
+          GROUP BY d.book_id, l.lang),
+fbest AS (SELECT book_id, lang FROM (SELECT book_id, lang, row_number() OVER (PARTITION BY book_id ORDER BY dd, lang) AS k
+                                     FROM fdist) WHERE k = 1),
+fl AS (SELECT fs.book_id, CASE WHEN fs.short THEN 'eng' ELSE fbest.lang END AS lang
+       FROM fs LEFT JOIN fbest ON fs.book_id = fbest.book_id)
+SELECT book_id, lang, {_ocr('lang')} AS ocr_lang FROM fl""")

@@ -16,6 +16,7 @@ from ..functions import html as H
 from ..functions import text as T
 from ..operators import chapters as CH
 from ..operators import entries as EN
+from ..operators import langid as LI
 from ..operators import markdown as MDOP
 from ..sources import corpora as C
 from ..sources import tables as TB
@@ -170,3 +171,44 @@ def p12_item_title(spark, sf_dir):
 @query("A5_items_to_markdown")
 def a5_items_to_markdown(spark, sf_dir):
     return EN.items_to_markdown(TB.manifest_documents(C.manifest_items(spark, sf_dir)))
+
+
+HOLDOUT_MOD = 5
+
+
+def language_profiles(spark, sf_dir):
+    """Profiles trained on the labelled documents outside the holdout."""
+    docs = TB.read_table(spark, sf_dir, "documents")
+    train, _ = LI.holdout_split(docs, "doc_id", HOLDOUT_MOD)
+    return LI.train_profiles(train)
+
+
+@query("L1_train_profiles")
+def l1_train_profiles(spark, sf_dir):
+    return language_profiles(spark, sf_dir)
+
+
+@query("L1_identify_language")
+def l1_identify_language(spark, sf_dir):
+    docs = TB.read_table(spark, sf_dir, "documents")
+    pred = LI.predict(docs, language_profiles(spark, sf_dir))
+    return LI.lang_map_join(pred, LI.lang_map_table(spark))
+
+
+@query("L1_accuracy")
+def l1_accuracy(spark, sf_dir):
+    docs = TB.read_table(spark, sf_dir, "documents")
+    _, test = LI.holdout_split(docs.where(F.col("lang").isNotNull()), "doc_id", HOLDOUT_MOD)
+    pred = LI.predict(test, language_profiles(spark, sf_dir))
+    return LI.accuracy(pred, test)
+
+
+@query("J1_lang_map_join")
+def j1_lang_map_join(spark, sf_dir):
+    counts = AS.corpus_counts(TB.read_table(spark, sf_dir, "documents"), "lang")
+    return LI.lang_map_join(counts, LI.lang_map_table(spark), iso="lang").select("lang", "ocr_lang", "n")
+
+
+@query("W3_document_language")
+def w3_document_language(spark, sf_dir):
+    return LI.document_language(C.book_pages(spark, sf_dir), language_profiles(spark, sf_dir))

@@ -8,8 +8,30 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Row key of each driver table, used to spread a scan that yields too few tasks.
+TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+              "labels": "doc_id", "benchmark": "item_id"}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = TABLE_KEYS.get(name)
+    return spread_rows(df, key) if spread and key else df
+
+
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread rows over the cluster when the scan gives fewer tasks than cores.
+
+    Text operators are CPU-bound per row; a file written as one row group is read
+    by one task.  On a cluster reading many files the scan already has more tasks
+    than cores and this is a no-op.  Hashing on the key keeps retries
+    deterministic (no round-robin), and filters and column pruning still reach
+    the scan below the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
