@@ -292,3 +292,59 @@ fbest AS (SELECT book_id, lang FROM (SELECT book_id, lang, row_number() OVER (PA
 fl AS (SELECT fs.book_id, CASE WHEN fs.short THEN 'eng' ELSE fbest.lang END AS lang
        FROM fs LEFT JOIN fbest ON fs.book_id = fbest.book_id)
 SELECT book_id, lang, {_ocr('lang')} AS ocr_lang FROM fl""")
+
+
+_W5 = split_chapters_sql(corpus_sql("md_raw"), last_wins=True)
+
+
+def summary_sql(k: int = 3) -> str:
+    sl = S.sentences("body")
+    toks = f"regexp_extract_all(lower(sentence), {q(RX.TOKEN)})"
+    return f"""
+ch AS ({_W5}),
+se AS (SELECT doc_id, seq, unnest({sl}) AS sentence, generate_subscripts({sl}, 1) - 1 AS s FROM ch),
+tk AS (SELECT doc_id, seq, s, sentence, {toks} AS toks FROM se),
+al AS (SELECT doc_id, seq, s, unnest(toks) AS token FROM tk),
+tf AS (SELECT doc_id, seq, token, count(*) AS tf FROM al GROUP BY doc_id, seq, token),
+dfc AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+nn AS (SELECT count(*) AS n FROM ch),
+ds AS (SELECT DISTINCT doc_id, seq, s, token FROM al),
+sc AS (SELECT ds.doc_id, ds.seq, ds.s, sum(tf.tf) AS tsum
+       FROM ds JOIN tf ON ds.doc_id = tf.doc_id AND ds.seq = tf.seq AND ds.token = tf.token
+       JOIN dfc ON dfc.token = ds.token, nn
+       WHERE 2 * dfc.df <= nn.n GROUP BY ds.doc_id, ds.seq, ds.s),
+scored AS (SELECT tk.doc_id, tk.seq, tk.s, tk.sentence,
+                  CASE WHEN len(tk.toks) > 0 THEN (1000 * coalesce(sc.tsum, 0)) // len(tk.toks) ELSE 0 END AS score
+           FROM tk LEFT JOIN sc ON tk.doc_id = sc.doc_id AND tk.seq = sc.seq AND tk.s = sc.s),
+top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, seq ORDER BY score DESC, s) AS rn
+                       FROM scored) WHERE rn <= {k}),
+summ AS (SELECT doc_id, seq, string_agg(sentence, ' ' ORDER BY s) AS summary FROM top GROUP BY doc_id, seq),
+res AS (SELECT ch.doc_id, ch.seq, ch.slug,
+               CASE WHEN ch.body IS NULL OR NOT {S.rlike('ch.body', RX.NON_WS)} THEN NULL
+                    ELSE coalesce(summ.summary, '') END AS summary,
+               CASE WHEN ch.body IS NULL OR NOT {S.rlike('ch.body', RX.NON_WS)} THEN 'empty section' END AS error
+        FROM ch LEFT JOIN summ ON ch.doc_id = summ.doc_id AND ch.seq = summ.seq),
+stored AS (SELECT doc_id, seq, 'sum_extractive_' || slug || '.md' AS out_name,
+                  CASE WHEN error IS NOT NULL THEN 'Error: ' || error ELSE summary END AS text FROM res)"""
+
+
+register("M1_summary_requests", f"""SELECT doc_id, seq, chr(10) || chr(10) || rendered AS prompt,
+  'sum_o3-mini_' || slug || '.md' AS out_name FROM ({_W5})""")
+register("M2_extractive_summary", f"WITH {summary_sql()} SELECT doc_id, seq, summary, error FROM res")
+register("M3_store_summaries", f"WITH {summary_sql()} SELECT doc_id, seq, out_name, text FROM stored")
+register("Q5_split_summarize_combine", f"""WITH {summary_sql()}
+SELECT doc_id, string_agg(text || chr(10) || chr(10), '' ORDER BY out_name) AS text FROM stored GROUP BY doc_id""")
+register("A1_concat_docs", f"""SELECT doc_id, string_agg(rendered || chr(10) || chr(10), '' ORDER BY slug || '.md') AS text
+FROM ({_W5}) GROUP BY doc_id""")
+register("Q3_manifest_to_book", ORACLES["A5_items_to_markdown"])
+register("Q4_direct_pages_to_book", ORACLES["A2b_pages_to_markdown"])
+_A3 = ORACLES["A3_entries_to_text"]
+register("Q2_archive_to_book", text_to_markdown_sql(
+    f"SELECT book_id AS doc_id, text, NULL AS title, NULL AS author FROM ({_A3})").replace(
+    "SELECT src.doc_id,", "SELECT src.doc_id AS book_id,"))
+_A2 = pages_to_text_sql(False)
+register("Q1_pages_to_book", f"""SELECT a.book_id, w.lang, w.ocr_lang, a.n_pages, a.text, m.md
+FROM ({_A2}) a
+JOIN ({ORACLES['W3_document_language']}) w ON a.book_id = w.book_id
+JOIN ({text_to_markdown_sql(f"SELECT book_id AS doc_id, text, NULL AS title, NULL AS author FROM ({_A2})")}) m
+  ON m.doc_id = a.book_id""")

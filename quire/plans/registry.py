@@ -17,6 +17,8 @@ from ..functions import text as T
 from ..operators import chapters as CH
 from ..operators import entries as EN
 from ..operators import langid as LI
+from ..operators import summarize as SU
+from . import books as BK
 from ..operators import markdown as MDOP
 from ..sources import corpora as C
 from ..sources import tables as TB
@@ -212,3 +214,55 @@ def j1_lang_map_join(spark, sf_dir):
 @query("W3_document_language")
 def w3_document_language(spark, sf_dir):
     return LI.document_language(C.book_pages(spark, sf_dir), language_profiles(spark, sf_dir))
+
+
+def _chapters(spark, sf_dir):
+    return CH.last_slug_wins(C.md_raw(spark, sf_dir))
+
+
+@query("M1_summary_requests")
+def m1_summary_requests(spark, sf_dir):
+    return SU.summary_requests(_chapters(spark, sf_dir))
+
+
+@query("M2_extractive_summary")
+def m2_extractive_summary(spark, sf_dir):
+    return SU.extractive_summary(_chapters(spark, sf_dir)).drop("slug")
+
+
+@query("M3_store_summaries")
+def m3_store_summaries(spark, sf_dir):
+    ch = _chapters(spark, sf_dir)
+    return SU.store_summaries(SU.extractive_summary(ch), ch)
+
+
+@query("A1_concat_docs")
+def a1_concat_docs(spark, sf_dir):
+    ch = _chapters(spark, sf_dir).withColumn("name", F.concat("slug", F.lit(".md")))
+    return AS.concat_docs(ch, "doc_id", "name", "rendered", "text")
+
+
+@query("Q1_pages_to_book")
+def q1_pages_to_book(spark, sf_dir):
+    return BK.pages_to_book(C.book_pages(spark, sf_dir), language_profiles(spark, sf_dir))
+
+
+@query("Q2_archive_to_book")
+def q2_archive_to_book(spark, sf_dir):
+    return BK.archive_to_book(C.content_entries(spark, sf_dir)).select("book_id", "md")
+
+
+@query("Q3_manifest_to_book")
+def q3_manifest_to_book(spark, sf_dir):
+    return BK.manifest_to_book(C.manifest_items(spark, sf_dir))
+
+
+@query("Q4_direct_pages_to_book")
+def q4_direct_pages_to_book(spark, sf_dir):
+    name = F.concat(F.lit("book_"), F.col("book_id").cast("string"))
+    return BK.direct_pages_to_book(C.book_pages(spark, sf_dir), name)
+
+
+@query("Q5_split_summarize_combine")
+def q5_split_summarize_combine(spark, sf_dir):
+    return BK.split_summarize_combine(C.md_raw(spark, sf_dir))
