@@ -348,3 +348,51 @@ FROM ({_A2}) a
 JOIN ({ORACLES['W3_document_language']}) w ON a.book_id = w.book_id
 JOIN ({text_to_markdown_sql(f"SELECT book_id AS doc_id, text, NULL AS title, NULL AS author FROM ({_A2})")}) m
   ON m.doc_id = a.book_id""")
+
+
+_BT_PARAS = f"WITH {_paragraph_rows(corpus_sql('book_text'))}"
+_NAME = "regexp_extract(url, '://[^/]*(/[^?#]*)', 1)"
+
+
+def _base(x: str) -> str:
+    name = f"regexp_extract({x}, '([^/]*)\\z', 1)"
+    return f"regexp_replace({name}, '\\A(\\.*[^.][^/]*?)\\.[^.]*\\z', '\\1')"
+
+
+def _suffix(x: str) -> str:
+    name = f"regexp_extract({x}, '([^/]*)\\z', 1)"
+    return f"regexp_extract({name}, '\\A\\.*[^.].*(\\.[^.]*)\\z', 1)"
+
+
+_EXT = f"lower({_suffix(_NAME)})"
+register("P1_collapse_ws", f"SELECT doc_id, {S.collapse('text')} AS text FROM documents")
+register("P2_join_broken_lines", "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents")
+register("P4_split_paragraphs_strict", f"""WITH b AS (SELECT doc_id, {S.strict_paragraphs('text')} AS ps
+  FROM ({corpus_sql('book_text')}))
+SELECT doc_id, CAST(generate_subscripts(ps, 1) - 1 AS INTEGER) AS i, unnest(ps) AS text FROM b""")
+register("P5_split_sentences", f"""WITH b AS (SELECT doc_id, {S.sentences('text')} AS ss FROM documents)
+SELECT doc_id, CAST(generate_subscripts(ss, 1) - 1 AS INTEGER) AS s, unnest(ss) AS sentence FROM b""")
+register("P6_clean_page_text",
+         f"SELECT book_id, page_no, {S.clean_page_text('text')} AS text FROM ({corpus_sql('book_pages')})")
+register("P11_slugify", f"SELECT doc_id, {S.slugify('substring(text, 1, 60)')} AS slug FROM documents")
+register("P13_heading_markdown", f"""{_BT_PARAS}
+SELECT doc_id, CAST(i AS INTEGER) AS i,
+       CASE WHEN {S.header_level('para')} IS NOT NULL THEN {S.heading(S.header_level('para'), 'para')} END AS heading
+FROM p""")
+register("P14_map_lang_code", f"SELECT doc_id, {_ocr('lang')} AS ocr_lang FROM documents")
+register("P15_base_name", f"SELECT page_id, {_base('url')} AS base, {_suffix('url')} AS suffix FROM pages")
+register("P16_preview", "SELECT doc_id, substring(text, 1, 300) || '...' AS preview FROM documents")
+register("P17_prompt_text", "SELECT doc_id, chr(10) || chr(10) || text AS prompt FROM documents")
+register("H1_header_level", f"SELECT doc_id, CAST(i AS INTEGER) AS i, CAST({S.header_level('para')} AS INTEGER) AS level FROM ({_BT_PARAS} SELECT * FROM p)")
+register("H2_is_short_title", f"""WITH b AS (SELECT book_id, page_no, {S.clean_page_text('text')} AS t
+  FROM ({corpus_sql('book_pages')}))
+SELECT book_id, page_no, {S.is_short_title('t')} AS is_title FROM b""")
+register("H3_H4_toc_predicates", f"""{_BT_PARAS}
+SELECT doc_id, CAST(i AS INTEGER) AS i, coalesce({S.rlike('para', RX.TOC_HEADING)}, false) AS toc_heading,
+       coalesce({S.rlike('para', RX.TOC_ENTRY)}, false) AS toc_entry FROM p""")
+register("H5_drop_blank", f"SELECT book_id, page_no FROM ({corpus_sql('book_pages')}) WHERE text IS NOT NULL AND text <> ''")
+register("H6_route_by_format", f"""SELECT page_id,
+  CASE {_EXT} WHEN '.epub' THEN 'epub' WHEN '.pdf' THEN 'pdf' END AS route,
+  CASE WHEN {_EXT} NOT IN ('.epub', '.pdf') THEN 'Unsupported file format: ' || {_EXT} END AS reject_reason,
+  CASE WHEN ends_with(lower({_NAME}), '.txt') THEN 'text' END AS text_route
+FROM pages""")

@@ -266,3 +266,103 @@ def q4_direct_pages_to_book(spark, sf_dir):
 @query("Q5_split_summarize_combine")
 def q5_split_summarize_combine(spark, sf_dir):
     return BK.split_summarize_combine(C.md_raw(spark, sf_dir))
+
+
+# Scalar column functions over whole tables (P*, H*).
+def _docs(spark, sf_dir):
+    return TB.read_table(spark, sf_dir, "documents")
+
+
+@query("P1_collapse_ws")
+def p1(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.collapse_ws("text").alias("text"))
+
+
+@query("P2_join_broken_lines")
+def p2(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.join_broken_lines("text").alias("text"))
+
+
+@query("P4_split_paragraphs_strict")
+def p4(spark, sf_dir):
+    from ..functions.rows import explode_with_pos
+    bt = C.book_text(spark, sf_dir)
+    return explode_with_pos(bt, ["doc_id"], T.split_paragraphs_strict("text"), "i", "text").select(
+        "doc_id", F.col("i").cast("int").alias("i"), "text")
+
+
+@query("P5_split_sentences")
+def p5(spark, sf_dir):
+    return AS.explode_sentences(_docs(spark, sf_dir), ["doc_id"], "text")
+
+
+@query("P6_clean_page_text")
+def p6(spark, sf_dir):
+    return C.book_pages(spark, sf_dir).select("book_id", "page_no", T.clean_page_text("text").alias("text"))
+
+
+@query("P11_slugify")
+def p11(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.slugify(F.substring("text", 1, 60)).alias("slug"))
+
+
+@query("P13_heading_markdown")
+def p13(spark, sf_dir):
+    paras = MDOP.explode_paragraphs(C.book_text(spark, sf_dir))
+    lvl = T.header_level("text")
+    return paras.select("doc_id", "i", F.when(lvl.isNotNull(), T.heading_markdown(lvl, "text")).alias("heading"))
+
+
+@query("P14_map_lang_code")
+def p14(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.map_lang_code("lang").alias("ocr_lang"))
+
+
+@query("P15_base_name")
+def p15(spark, sf_dir):
+    return TB.read_table(spark, sf_dir, "pages").select(
+        "page_id", T.base_name("url").alias("base"), T.file_suffix("url").alias("suffix"))
+
+
+@query("P16_preview")
+def p16(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.preview("text").alias("preview"))
+
+
+@query("P17_prompt_text")
+def p17(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", T.prompt_text("text").alias("prompt"))
+
+
+@query("H1_header_level")
+def h1(spark, sf_dir):
+    paras = MDOP.explode_paragraphs(C.book_text(spark, sf_dir))
+    return paras.select("doc_id", "i", T.header_level("text").alias("level"))
+
+
+@query("H2_is_short_title")
+def h2(spark, sf_dir):
+    bp = C.book_pages(spark, sf_dir).select("book_id", "page_no", T.clean_page_text("text").alias("t"))
+    return bp.select("book_id", "page_no", T.is_short_title("t").alias("is_title"))
+
+
+@query("H3_H4_toc_predicates")
+def h34(spark, sf_dir):
+    paras = MDOP.explode_paragraphs(C.book_text(spark, sf_dir))
+    return paras.select("doc_id", "i", T.is_toc_heading("text").alias("toc_heading"),
+                        T.is_toc_entry("text").alias("toc_entry"))
+
+
+@query("H5_drop_blank")
+def h5(spark, sf_dir):
+    return C.book_pages(spark, sf_dir).where(T.non_blank("text")).select("book_id", "page_no")
+
+
+@query("H6_route_by_format")
+def h6(spark, sf_dir):
+    pages = TB.read_table(spark, sf_dir, "pages")
+    name = F.regexp_extract("url", r"://[^/]*(/[^?#]*)", 1)
+    r = T.route_by_format(name)
+    t = T.route_by_format(name, text_only=True)
+    return pages.select("page_id", r["route"].alias("route"), r["reject_reason"].alias("reject_reason"),
+                        t["route"].alias("text_route"))
