@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions import text as T
+from ..session import ensure_checkpoint_dir
 from ..functions.rows import explode_with_pos
 
 PROFILE_SIZE = 300
@@ -36,23 +37,14 @@ def sample(text: str | Column) -> Column:
     return F.substring(F.lower(T.collapse_ws(text)), 1, SAMPLE_CHARS)
 
 
-def _ngrams(chars: Column) -> Column:
-    """All 1- to 3-grams from an array of code points (a plain column reference).
+def _ngrams(s: Column) -> Column:
+    """All overlapping 1- to 3-grams of ``s``, generated by the regex engine.
 
-    Built from array elements (O(1) each); ``substring`` on a long UTF-8 string
-    would rescan from its start for every n-gram.
+    A capturing look-ahead matches at every position and captures the next n
+    code points, so no per-element lambda runs.
     """
-    size = F.size(chars)
-    per_n = []
-    for n in range(1, NGRAM_MAX + 1):
-        idx = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(
-            F.array().cast("array<int>"))
-        per_n.append(F.transform(idx, _gram_at(chars, n)))
-    return F.concat(*per_n)
-
-
-def _gram_at(chars: Column, n: int):
-    return lambda i: F.concat(*[F.element_at(chars, i + k) for k in range(n)])
+    return F.concat(*[F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
+                      for n in range(1, NGRAM_MAX + 1)])
 
 
 def with_gram_counts(df: DataFrame, text: str = "text", out: str = "_runs") -> DataFrame:
@@ -63,8 +55,7 @@ def with_gram_counts(df: DataFrame, text: str = "text", out: str = "_runs") -> D
     n-grams starts where an element differs from the one before; its length is
     the count.  No shuffle.
     """
-    df = df.withColumn("_c", F.regexp_extract_all(sample(text), F.lit("(?s)."), 0))
-    df = df.withColumn("_g", F.sort_array(_ngrams(F.col("_c")))).drop("_c")
+    df = df.withColumn("_g", F.sort_array(_ngrams(sample(text))))
     g = F.col("_g")
     n = F.size(g)
     starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
@@ -88,33 +79,42 @@ def with_doc_profile(df: DataFrame, text: str = "text", out: str = "profile") ->
 def train_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, ngram, rank): the 300 best n-grams per language, rank from 0.
 
-    Each document contributes its own (n-gram, count) pairs, counted in its row;
-    the sums per (language, n-gram) are partially aggregated per task before the
-    shuffle; the top-300 per language runs as a window group limit, so every task
-    keeps only 300 rows per language before the final ranking.
+    N-grams are exploded straight into a hash aggregation on (language, n-gram):
+    each task pre-counts its documents before the shuffle, so the shuffle carries
+    at most one row per (language, n-gram) per task.  The top-300 per language
+    runs as a window group limit, so every task keeps only 300 rows per language
+    before the final ranking.
     """
-    runs = with_gram_counts(labelled.where(F.col(lang).isNotNull()).select(lang, text), text, "_runs")
-    pairs = explode_with_pos(runs, [lang], "_runs", "_k", "r").select(
-        lang, F.col("r.gram").alias("ngram"), (-F.col("r.neg_count")).alias("c"))
-    counts = pairs.groupBy(lang, "ngram").agg(F.sum("c").alias("cnt"))
+    grams = explode_with_pos(labelled.where(F.col(lang).isNotNull()), [lang],
+                             _ngrams(sample(text)), "_k", "ngram")
+    counts = grams.groupBy(lang, "ngram").agg(F.count(F.lit(1)).alias("cnt"))
     w = Window.partitionBy(lang).orderBy(F.desc("cnt"), F.asc("ngram"))
     return (counts.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") <= PROFILE_SIZE)
             .select(F.col(lang).alias("lang"), "ngram", (F.col("_rn") - 1).cast("int").alias("rank")))
 
 
-def _profile_languages(profiles: DataFrame) -> list[str]:
-    # bounded: one row per language
-    return sorted(r[0] for r in profiles.select("lang").distinct().collect())
+def materialize_profiles(profiles: DataFrame) -> tuple[DataFrame, list[str], int]:
+    """Checkpoint the (small) profile table once and read its languages and size.
+
+    The checkpoint goes to the shared ``spark.checkpoint.dir``; training is not
+    repeated by the size check, the language list and the scoring join.
+    """
+    ensure_checkpoint_dir(profiles.sparkSession)
+    saved = profiles.checkpoint(eager=True)
+    stats = saved.groupBy("lang").count().collect()  # one row per language
+    return saved, sorted(r[0] for r in stats), sum(r[1] for r in stats)
 
 
 def predict(docs: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text",
             out: str = "lang_pred", langs: list[str] | None = None,
             broadcast: bool | None = None) -> DataFrame:
     """(key, out): nearest language profile per document (``eng`` for short text)."""
-    langs = langs or _profile_languages(profiles)
-    if broadcast is None:
-        broadcast = profiles.count() <= BROADCAST_PROFILE_ROWS
+    if langs is None or broadcast is None:
+        profiles, found, n_rows = materialize_profiles(profiles)
+        langs = langs or found
+        if broadcast is None:
+            broadcast = n_rows <= BROADCAST_PROFILE_ROWS
     prof = profiles.select("ngram", "lang", F.col("rank").alias("_rl"))
     prof = F.broadcast(prof) if broadcast else prof
 
