@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as RX
 from ..functions import text as T
 from ..functions.rows import explode_with_pos
+from ..session import ensure_checkpoint_dir
 
 TOP_K = 3
 SCORE_SCALE = 1000
@@ -57,10 +58,15 @@ def _tokens(c: Column) -> Column:
 
 # M2
 def extractive_summary(sections: DataFrame, key: str = "doc_id", seq: str = "seq",
-                       body: str = "body", k: int = TOP_K) -> DataFrame:
+                       body: str = "body", k: int = TOP_K, checkpoint: bool = True) -> DataFrame:
     """(key, seq, [slug,] summary, error) for every section (slug carried when present)."""
     extra = [c for c in ("slug",) if c in sections.columns]
     sect = sections.select(key, seq, body, *extra)
+    if checkpoint:
+        # five branches below read the sections; write them once to the shared
+        # checkpoint folder instead of re-cutting chapters for each branch
+        ensure_checkpoint_dir(sect.sparkSession)
+        sect = sect.checkpoint(eager=True)
     sents = explode_with_pos(sect, [key, seq], T.split_sentences(body), "s", "sentence")
     sents = sents.withColumn("_toks", _tokens(F.col("sentence")))
     sent_info = sents.select(key, seq, "s", F.size("_toks").alias("n_tok"))
