@@ -396,3 +396,19 @@ register("H6_route_by_format", f"""SELECT page_id,
   CASE WHEN {_EXT} NOT IN ('.epub', '.pdf') THEN 'Unsupported file format: ' || {_EXT} END AS reject_reason,
   CASE WHEN ends_with(lower({_NAME}), '.txt') THEN 'text' END AS text_route
 FROM pages""")
+
+
+register("A2_conversations_to_text", """SELECT conv_id AS book_id,
+  coalesce(string_agg(concat_ws(': ', role, text), chr(10) || chr(10) ORDER BY turn)
+           FILTER (WHERE concat_ws(': ', role, text) <> ''), '') AS text,
+  CAST(count(*) AS BIGINT) AS n_pages
+FROM conversations GROUP BY conv_id""")
+
+
+def _chapters_level2_sql() -> str:
+    a4 = text_to_markdown_sql(corpus_sql("book_text"))
+    return split_chapters_sql(a4).replace(
+        q(RX.chapter_cut(1, "duckdb")), q(RX.chapter_cut(2, "duckdb")))
+
+
+register("E2_chapters_of_converted_text", _chapters_level2_sql())

@@ -366,3 +366,19 @@ def h6(spark, sf_dir):
     t = T.route_by_format(name, text_only=True)
     return pages.select("page_id", r["route"].alias("route"), r["reject_reason"].alias("reject_reason"),
                         t["route"].alias("text_route"))
+
+
+@query("A2_conversations_to_text")
+def a2_conversations_to_text(spark, sf_dir):
+    """Conversation turns as pages of a document: turn order, ``role: text`` per turn."""
+    conv = TB.read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("book_id"), F.col("turn").cast("int").alias("page_no"),
+        F.concat_ws(": ", "role", "text").alias("text"), F.lit(None).cast("string").alias("error"))
+    return AS.pages_to_text(conv)
+
+
+@query("E2_chapters_of_converted_text")
+def e2_chapters_of_converted_text(spark, sf_dir):
+    """A4 output cut at ``## `` headers (its title level is 1, headers start at 2)."""
+    md = MDOP.text_to_markdown(C.book_text(spark, sf_dir)).select("doc_id", "md")
+    return CH.split_chapters(md, level=2)
