@@ -20,6 +20,8 @@ from ..functions import text as T
 from .assemble import PARAGRAPH_SEP, ordered_join
 
 BLOCK_MARK = "\u0001"
+# Items per first-level block when assembling a book from its manifest.
+ITEM_BLOCK = 4096
 
 
 def _is_blank(c: Column) -> Column:
@@ -115,6 +117,7 @@ def items_to_markdown(items: DataFrame, book: str = "book_id", title: str = "boo
     df = item_markdown(items, html, item_id)
     df = df.withColumn("_piece", F.concat(F.lit("## "), F.col("item_title"), F.lit("\n\n"),
                                           F.col("item_md"), F.lit("\n\n")))
-    body = ordered_join(df, [book, title], seq, "_piece", "", "_body")
+    body = ordered_join(df, [book, title], seq, "_piece", "", "_body",
+                        block=F.floor(F.col(seq) / ITEM_BLOCK))
     return body.select(book, F.concat(F.lit("# "), F.col(title), F.lit("\n\n"), F.col("_body"))
                        .alias("md"))
