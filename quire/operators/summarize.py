@@ -61,41 +61,40 @@ def extractive_summary(sections: DataFrame, key: str = "doc_id", seq: str = "seq
                        body: str = "body", k: int = TOP_K, checkpoint: bool = True) -> DataFrame:
     """(key, seq, [slug,] summary, error) for every section (slug carried when present)."""
     extra = [c for c in ("slug",) if c in sections.columns]
-    sect = sections.select(key, seq, body, *extra)
-    if checkpoint:
-        # five branches below read the sections; write them once to the shared
-        # checkpoint folder instead of re-cutting chapters for each branch
-        ensure_checkpoint_dir(sect.sparkSession)
-        sect = sect.checkpoint(eager=True)
-    sents = explode_with_pos(sect, [key, seq], T.split_sentences(body), "s", "sentence")
+    blank = (T.is_blank(body) | F.col(body).isNull()).alias("_blank")
+    sect = sections.select(key, seq, *extra, blank, T.split_sentences(body).alias("_ss"))
+    sents = explode_with_pos(sect, [key, seq, *extra, "_blank"], "_ss", "s", "sentence")
     sents = sents.withColumn("_toks", _tokens(F.col("sentence")))
-    sent_info = sents.select(key, seq, "s", F.size("_toks").alias("n_tok"))
+    if checkpoint:
+        # the sentence table feeds four branches; write it once to the shared
+        # checkpoint folder instead of splitting and tokenizing for each branch
+        ensure_checkpoint_dir(sents.sparkSession)
+        sents = sents.checkpoint(eager=True)
+    n_sections = sect.select(F.count(F.lit(1))).scalar()
 
     every = explode_with_pos(sents, [key, seq], "_toks", "_j", "token")
     tf = every.groupBy(key, seq, "token").agg(F.count(F.lit(1)).alias("tf"))
     df_tok = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    n_sections = sect.select(F.count(F.lit(1))).scalar()
     common = F.broadcast(df_tok.where(2 * F.col("df") > n_sections).select("token"))
 
     distinct = explode_with_pos(sents, [key, seq, "s"], F.array_distinct("_toks"), "_j", "token")
     kept = distinct.join(common, "token", "left_anti")
     sums = (kept.join(tf, [key, seq, "token"])
             .groupBy(key, seq, "s").agg(F.sum("tf").alias("tsum")))
-    scored = sent_info.join(sums, [key, seq, "s"], "left").select(
-        key, seq, "s",
-        F.when(F.col("n_tok") > 0,
-               F.expr(f"({SCORE_SCALE} * coalesce(tsum, 0)) div n_tok")).otherwise(0).alias("score"))
+    scored = sents.join(sums, [key, seq, "s"], "left").select(
+        key, seq, *extra, "_blank", "s", "sentence",
+        F.when(F.size("_toks") > 0,
+               F.expr(f"({SCORE_SCALE} * coalesce(tsum, 0)) div size(_toks)")).otherwise(0).alias("score"))
+    # top k per section: a window group limit keeps k rows per section and task
+    # before the shuffle, so only the chosen sentences travel
     w = Window.partitionBy(key, seq).orderBy(F.desc("score"), F.asc("s"))
     top = scored.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    chosen = top.groupBy(key, seq).agg(F.sort_array(F.collect_list("s")).alias("_chosen"))
-
-    out = sect.join(chosen, [key, seq], "left").withColumn("_sents", T.split_sentences(body))
-    picked = F.array_join(F.transform(F.coalesce(F.col("_chosen"), F.array().cast("array<int>")),
-                                      lambda i: F.element_at(F.col("_sents"), i + 1)), " ")
-    blank = T.is_blank(body) | F.col(body).isNull()
+    out = top.groupBy(key, seq, *extra, "_blank").agg(
+        F.sort_array(F.collect_list(F.struct("s", "sentence"))).alias("_chosen"))
+    picked = F.array_join(F.transform("_chosen", lambda x: x["sentence"]), " ")
     return out.select(key, seq, *extra,
-                      F.when(blank, F.lit(None)).otherwise(picked).alias("summary"),
-                      F.when(blank, F.lit(EMPTY_SECTION)).alias("error"))
+                      F.when(F.col("_blank"), F.lit(None)).otherwise(picked).alias("summary"),
+                      F.when(F.col("_blank"), F.lit(EMPTY_SECTION)).alias("error"))
 
 
 # M3 (+ X2)
