@@ -70,11 +70,14 @@ def extractive_summary(sections: DataFrame, key: str = "doc_id", seq: str = "seq
         # checkpoint folder instead of splitting and tokenizing for each branch
         ensure_checkpoint_dir(sents.sparkSession)
         sents = sents.checkpoint(eager=True)
-    n_sections = sect.select(F.count(F.lit(1))).scalar()
+    # every section has exactly one sentence at position 0
+    n_sections = sents.where(F.col("s") == 0).select(F.count(F.lit(1))).scalar()
 
     every = explode_with_pos(sents, [key, seq], "_toks", "_j", "token")
     tf = every.groupBy(key, seq, "token").agg(F.count(F.lit(1)).alias("tf"))
-    df_tok = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # reading ``tf`` keeps this branch's plan equal to the join branch's, so the
+    # tf aggregation's shuffle is computed once and reused
+    df_tok = tf.groupBy("token").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("df"))
     common = F.broadcast(df_tok.where(2 * F.col("df") > n_sections).select("token"))
 
     distinct = explode_with_pos(sents, [key, seq, "s"], F.array_distinct("_toks"), "_j", "token")
