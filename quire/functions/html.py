@@ -63,14 +63,12 @@ def decode_entities(c: ColumnOrName) -> Column:
     """Named (HTML 4 set, ``;`` optional) and numeric character references, one pass.
 
     Unknown names stay as they are.  Code point 0, surrogates and values above
-    U+10FFFF give U+FFFD.
+    U+10FFFF give U+FFFD.  The text is cut into entity / plain / lone-``&``
+    pieces by one regex, so the input expression is read exactly once.
     """
-    c = _c(c)
-    parts = F.split(c, ENTITY, -1)
-    ents = F.transform(F.regexp_extract_all(c, F.lit(ENTITY), 0), _decode_one)
-    joined = F.array_join(F.zip_with(parts, F.concat(ents, F.array(F.lit(""))),
-                                     lambda a, b: F.concat(a, b)), "")
-    return F.when(F.instr(c, "&") > 0, joined).otherwise(c)
+    pieces = F.regexp_extract_all(_c(c), F.lit(f"{ENTITY}|[^&]+|&"), 0)
+    return F.array_join(F.transform(pieces, lambda p: F.when(
+        p.startswith("&") & p.rlike(rf"\A{ENTITY}\z"), _decode_one(p)).otherwise(p)), "")
 
 
 def _strip_non_text(t: Column) -> Column:

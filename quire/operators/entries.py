@@ -64,9 +64,12 @@ def with_reflow(df: DataFrame, md: str, out: str) -> DataFrame:
     def raw(x: Column) -> Column:
         return F.regexp_replace(x, "\\A" + BLOCK_MARK, "")
 
-    emitted = F.transform(lines, lambda x, i: _emit(
-        raw(x), i, x.startswith(BLOCK_MARK),
-        F.when(i > 0, raw(F.try_element_at(lines, i)))))
+    # stage 1: each line once without its mark, with its block flag and the line
+    # before it; stage 2 decides the output from those plain fields
+    staged = F.transform(lines, lambda x, i: F.struct(
+        raw(x).alias("line"), i.alias("i"), x.startswith(BLOCK_MARK).alias("blk"),
+        F.when(i > 0, raw(F.try_element_at(lines, i))).alias("prev")))
+    emitted = F.transform(staged, lambda e: _emit(e["line"], e["i"], e["blk"], e["prev"]))
     return df.withColumn(out, F.array_join(emitted, "")).drop("_lines")
 
 

@@ -55,7 +55,8 @@ def with_gram_counts(df: DataFrame, text: str = "text", out: str = "_runs") -> D
     n-grams starts where an element differs from the one before; its length is
     the count.  No shuffle.
     """
-    df = df.withColumn("_g", F.sort_array(_ngrams(sample(text))))
+    df = df.withColumn("_s", sample(text))
+    df = df.withColumn("_g", F.sort_array(_ngrams(F.col("_s")))).drop("_s")
     g = F.col("_g")
     n = F.size(g)
     starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
@@ -85,8 +86,8 @@ def train_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang")
     runs as a window group limit, so every task keeps only 300 rows per language
     before the final ranking.
     """
-    grams = explode_with_pos(labelled.where(F.col(lang).isNotNull()), [lang],
-                             _ngrams(sample(text)), "_k", "ngram")
+    sampled = labelled.where(F.col(lang).isNotNull()).select(lang, sample(text).alias("_s"))
+    grams = explode_with_pos(sampled, [lang], _ngrams(F.col("_s")), "_k", "ngram")
     counts = grams.groupBy(lang, "ngram").agg(F.count(F.lit(1)).alias("cnt"))
     w = Window.partitionBy(lang).orderBy(F.desc("cnt"), F.asc("ngram"))
     return (counts.withColumn("_rn", F.row_number().over(w))

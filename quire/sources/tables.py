@@ -28,10 +28,12 @@ def spread_rows(df: DataFrame, key: str) -> DataFrame:
     deterministic (no round-robin), and filters and column pruning still reach
     the scan below the exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
         return df
-    return df.repartition(cores, key)
+    return df if parts >= cores else df.repartition(cores, key)
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
