@@ -57,3 +57,11 @@ def test_html(spark):
     assert one(spark, H.html_to_text("x"), html) == "Ta &lt; & bxé&am"
     md = one(spark, H.html_to_markdown("x"), '<h2>Head</h2><p>One <b>bold</b> <a href="u">link</a></p><ul><li>i1</li></ul><img alt="p" src="s.png">')
     assert md == "## Head\n\nOne **bold** [link](u)\n\n* i1\n\n![p](s.png)"
+
+
+def test_decode_entities_edges(spark):
+    cases = {"a &amp;lt; b": "a &lt; b", "&am x": "&am x", "&amp x": "& x", "&#0;": "�",
+             "&bogus; &copy &#x1F600;&#233;": "&bogus; © 😀é", "no entity": "no entity", "&": "&",
+             "": ""}
+    for k, v in cases.items():
+        assert one(spark, H.decode_entities("x"), k) == v, k
