@@ -1,7 +1,7 @@
 """Language identification from character n-gram rank profiles.
 
-Training: per language, the 300 most frequent 1- to 3-grams of the first 1,000
-characters of each labelled document (lower case, whitespace collapsed), ranked by
+Training: per language, the 300 most frequent 1- to 3-grams of the whole text of
+its labelled documents (lower case, whitespace collapsed), ranked by
 (count desc, n-gram asc).  Prediction: each document's own top-300 profile is
 compared with every language profile by the out-of-place distance (Cavnar &
 Trenkle 1994); a missing n-gram costs 300; the smallest distance wins, ties by
@@ -25,7 +25,6 @@ from ..session import ensure_checkpoint_dir
 from ..functions.rows import explode_with_pos
 
 PROFILE_SIZE = 300
-SAMPLE_CHARS = 1000
 NGRAM_MAX = 3
 MIN_CHARS = 20
 DEFAULT_LANG = "eng"
@@ -34,7 +33,8 @@ BROADCAST_PROFILE_ROWS = 2_000_000
 
 
 def sample(text: str | Column) -> Column:
-    return F.substring(F.lower(T.collapse_ws(text)), 1, SAMPLE_CHARS)
+    """The whole text, lower case, whitespace collapsed."""
+    return F.lower(T.collapse_ws(text))
 
 
 def _ngrams(s: Column) -> Column:

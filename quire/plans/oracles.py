@@ -229,7 +229,7 @@ FROM it GROUP BY book_id, book_title""")
 
 
 def smp_expr() -> str:
-    return f"substring(lower({S.collapse('text')}), 1, 1000)"
+    return f"lower({S.collapse('text')})"
 
 
 def grams_expr() -> str:
@@ -239,13 +239,14 @@ def grams_expr() -> str:
             "list_transform(range(1, length(smp) - 1), lambda i: substring(smp, i, 3)))")
 
 
-def _langid_ctes(holdout_mod: int = 5) -> str:
+def _langid_ctes(holdout_mod: int | None = None) -> str:
     smp = smp_expr()
     grams = grams_expr()
+    train_cond = f"doc_id % {holdout_mod} <> 0" if holdout_mod else "true"
     return f"""
 s AS (SELECT doc_id, lang, {smp} AS smp, length({S.strip('text')}) < 20 AS short FROM documents),
 g AS (SELECT doc_id, lang, unnest({grams}) AS ngram FROM s),
-pc AS (SELECT lang, ngram, count(*) AS c FROM g WHERE doc_id % {holdout_mod} <> 0 AND lang IS NOT NULL
+pc AS (SELECT lang, ngram, count(*) AS c FROM g WHERE {train_cond} AND lang IS NOT NULL
        GROUP BY lang, ngram),
 prof AS (SELECT * FROM (SELECT lang, ngram, row_number() OVER (PARTITION BY lang ORDER BY c DESC, ngram) - 1 AS rl
                         FROM pc) WHERE rl < 300),
@@ -271,7 +272,7 @@ def _ocr(col: str) -> str:
 register("L1_train_profiles", f"WITH {_langid_ctes()} SELECT lang, ngram, CAST(rl AS INTEGER) AS rank FROM prof")
 register("L1_identify_language",
          f"WITH {_langid_ctes()} SELECT doc_id, lang_pred, {_ocr('lang_pred')} AS ocr_lang FROM pred")
-register("L1_accuracy", f"""WITH {_langid_ctes()}
+register("L1_accuracy", f"""WITH {_langid_ctes(5)}
 SELECT CAST(count(*) AS BIGINT) AS n_eval, CAST(sum(CASE WHEN lang_pred = truth THEN 1 ELSE 0 END) AS BIGINT) AS n_correct
 FROM pred WHERE doc_id % 5 = 0 AND truth IS NOT NULL""")
 register("J1_lang_map_join", f"""SELECT lang, {_ocr('lang')} AS ocr_lang, CAST(count(*) AS BIGINT) AS n
@@ -374,7 +375,8 @@ register("P5_split_sentences", f"""WITH b AS (SELECT doc_id, {S.sentences('text'
 SELECT doc_id, CAST(generate_subscripts(ss, 1) - 1 AS INTEGER) AS s, unnest(ss) AS sentence FROM b""")
 register("P6_clean_page_text",
          f"SELECT book_id, page_no, {S.clean_page_text('text')} AS text FROM ({corpus_sql('book_pages')})")
-register("P11_slugify", f"SELECT doc_id, {S.slugify('substring(text, 1, 60)')} AS slug FROM documents")
+register("P11_slugify", f"""WITH {_chapter_cuts(corpus_sql('md_raw'))}
+SELECT doc_id, CAST(seq AS INTEGER) AS seq, {S.slugify('title')} AS slug FROM z""")
 register("P13_heading_markdown", f"""{_BT_PARAS}
 SELECT doc_id, CAST(i AS INTEGER) AS i,
        CASE WHEN {S.header_level('para')} IS NOT NULL THEN {S.heading(S.header_level('para'), 'para')} END AS heading

@@ -179,10 +179,8 @@ HOLDOUT_MOD = 5
 
 
 def language_profiles(spark, sf_dir):
-    """Profiles trained on the labelled documents outside the holdout."""
-    docs = TB.read_table(spark, sf_dir, "documents")
-    train, _ = LI.holdout_split(docs, "doc_id", HOLDOUT_MOD)
-    return LI.train_profiles(train)
+    """Profiles trained on every labelled document."""
+    return LI.train_profiles(TB.read_table(spark, sf_dir, "documents"))
 
 
 @query("L1_train_profiles")
@@ -199,9 +197,10 @@ def l1_identify_language(spark, sf_dir):
 
 @query("L1_accuracy")
 def l1_accuracy(spark, sf_dir):
+    # held-out evaluation: profiles from the training part, scored on the rest
     docs = TB.read_table(spark, sf_dir, "documents")
-    _, test = LI.holdout_split(docs.where(F.col("lang").isNotNull()), "doc_id", HOLDOUT_MOD)
-    pred = LI.predict(test, language_profiles(spark, sf_dir))
+    train, test = LI.holdout_split(docs.where(F.col("lang").isNotNull()), "doc_id", HOLDOUT_MOD)
+    pred = LI.predict(test, LI.train_profiles(train))
     return LI.accuracy(pred, test)
 
 
@@ -303,7 +302,8 @@ def p6(spark, sf_dir):
 
 @query("P11_slugify")
 def p11(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", T.slugify(F.substring("text", 1, 60)).alias("slug"))
+    return CH.split_chapters(C.md_raw(spark, sf_dir)).select(
+        "doc_id", "seq", T.slugify("title").alias("slug"))
 
 
 @query("P13_heading_markdown")
