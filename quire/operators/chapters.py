@@ -27,7 +27,36 @@ def _chapter_parts(md: Column, level: int) -> Column:
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
-def _chapters_of(parts: Column) -> Column:
+def with_first_equal(df: DataFrame, parts: str, out: str = "_first") -> DataFrame:
+    """Add ``out``: ARRAY<INT>, for each part 1 + the position of the first equal part.
+
+    O(n log n) inside the row: sort (text, position) pairs, find where runs of
+    equal text start, give every member of a run its start's position, and sort
+    back by position.  Each array is its own column, so no lambda re-evaluates
+    another array.
+    """
+    df = df.withColumn("_pairs", F.sort_array(F.transform(
+        parts, lambda p, k: F.struct(p.alias("raw"), k.alias("seq")))))
+    pairs = F.col("_pairs")
+    n = F.size(pairs)
+    df = df.withColumn("_starts", F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: F.when(i > n, F.lit(False)).when(i == 1, F.lit(True))
+        .otherwise(F.element_at(pairs, i)["raw"] != F.element_at(pairs, i - 1)["raw"])))
+    starts = F.col("_starts")
+
+    def members(st: Column, r: Column) -> Column:
+        end = F.coalesce(F.try_element_at(starts, r + 2) - 1, n)
+        first = F.element_at(pairs, st)["seq"]
+        return F.transform(F.sequence(st, end), lambda j: F.struct(
+            F.element_at(pairs, j)["seq"].alias("seq"), first.alias("first")))
+
+    by_seq = F.sort_array(F.flatten(F.transform(starts, members)))
+    return (df.withColumn(out, F.transform(by_seq, lambda m: (m["first"] + 1).cast("int")))
+              .drop("_pairs", "_starts"))
+
+
+def _chapters_of(parts: Column, first: Column) -> Column:
     """Chapter structs of the cut parts; each stage is its own ``transform`` so every
     value is computed once per chapter (lambdas get no common-subexpression reuse)."""
     st = F.transform(parts, lambda raw, k: F.struct(
@@ -46,7 +75,7 @@ def _chapters_of(parts: Column) -> Column:
     return F.transform(st, lambda c: F.struct(
         c["seq"].alias("seq"), c["title"].alias("title"),
         F.when(c["slug"] == "", F.concat(F.lit("chapter_"),
-                                         F.array_position(parts, c["raw"]).cast("string")))
+                                         F.element_at(first, c["seq"] + 1).cast("string")))
         .otherwise(c["slug"]).alias("slug"),
         c["body"].alias("body")))
 
@@ -54,7 +83,11 @@ def _chapters_of(parts: Column) -> Column:
 def with_chapters(df: DataFrame, md: str = "md", level: int = 1) -> DataFrame:
     """Add ``_chapters``: ARRAY<STRUCT<seq, title, slug, body>> (empty titles skipped)."""
     df = df.withColumn("_parts", _chapter_parts(F.col(md), level))
-    return df.withColumn("_chapters", _chapters_of(F.col("_parts"))).drop("_parts")
+    df = with_first_equal(df, "_parts", "_first")
+    # ``_first`` is read again outside the lambda, so it stays a column of its
+    # own instead of being inlined (and recomputed) per chapter
+    chapters = F.when(F.col("_first").isNotNull(), _chapters_of(F.col("_parts"), F.col("_first")))
+    return df.withColumn("_chapters", chapters).drop("_parts", "_first")
 
 
 def _rows(df: DataFrame, key: str) -> DataFrame:
@@ -92,8 +125,7 @@ def first_equal_chapter(df: DataFrame, key: str = "doc_id", md: str = "md",
                         level: int = 1) -> DataFrame:
     """For every cut (empty titles included) the 1-based number of the first equal cut."""
     parts = df.select(key, _chapter_parts(F.col(md), level).alias("_parts"))
-    firsts = parts.select(key, F.transform(
-        "_parts", lambda p: F.array_position(F.col("_parts"), p).cast("int")).alias("_f"))
+    firsts = with_first_equal(parts, "_parts", "_f")
     return explode_with_pos(firsts, [key], "_f", "seq", "first_equal").select(
         key, F.col("seq").cast("int").alias("seq"), "first_equal")
 

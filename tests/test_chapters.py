@@ -28,3 +28,14 @@ def test_last_slug_wins(spark):
 def test_validate(spark):
     got = {r.doc_id: r.reason for r in CH.validate_markdown(_df(spark, "no heading", "  ", "# ok\n")).collect()}
     assert got[0].startswith("No chapters found") and got[1] == "Input file is empty" and got[2] is None
+
+
+def test_first_equal_positions(spark):
+    md = "# x\n# y\n# x\n# z\n# y\n# \n# \n"
+    got = [r.first_equal for r in CH.first_equal_chapter(_df(spark, md)).orderBy("seq").collect()]
+    assert got == [1, 2, 1, 4, 2, 6, 6]
+
+
+def test_unnamed_chapters_numbered_by_first_equal(spark):
+    rows = CH.split_chapters(_df(spark, "# ???\na\n# !!!\nb\n# ???\na")).orderBy("seq").collect()
+    assert [r.slug for r in rows] == ["chapter_1", "chapter_2", "chapter_1"]
