@@ -37,5 +37,5 @@ def test_first_equal_positions(spark):
 
 
 def test_unnamed_chapters_numbered_by_first_equal(spark):
-    rows = CH.split_chapters(_df(spark, "# ???\na\n# !!!\nb\n# ???\na")).orderBy("seq").collect()
+    rows = CH.split_chapters(_df(spark, "# ???\na\n# !!!\nb\n# ???\na\n")).orderBy("seq").collect()
     assert [r.slug for r in rows] == ["chapter_1", "chapter_2", "chapter_1"]
