@@ -39,3 +39,15 @@ def test_write_ordered_parts(spark):
     K.write_ordered_parts(df, out, "book_id", "block")
     back = spark.read.text(out + "/book_id=1").collect()
     assert sorted(r.value for r in back) == [f"p{b}" for b in range(6)]
+
+
+def test_write_one_per_doc_and_chapters(spark):
+    from quire.operators import chapters as CH
+    base = tempfile.mkdtemp(prefix="quire-sink-")
+    docs = spark.createDataFrame([("a", "text A"), ("b", "text B")], "name string, text string")
+    K.write_one_per_doc(docs, base + "/docs", "name")
+    assert [r.value for r in spark.read.text(base + "/docs/name=b").collect()] == ["text B"]
+    md = spark.createDataFrame([(1, "# One\nx\n# Two\ny\n")], "doc_id long, md string")
+    K.write_chapters(CH.last_slug_wins(md), base + "/ch")
+    back = spark.read.text(base + "/ch/doc_id=1/slug=two", wholetext=True).first().value
+    assert back == "# Two\n\ny\n"
