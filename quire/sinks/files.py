@@ -54,3 +54,12 @@ def write_ordered_parts(parts: DataFrame, out: str, keys: str | Sequence[str], o
           .sortWithinPartitions(*keys, order)
           .select(*keys, F.col(text_col))
           .write.mode(mode).partitionBy(*keys).text(out))
+
+
+# M3 output files
+def write_summaries(stored: DataFrame, out: str, doc_col: str = "doc_id",
+                    mode: str = "overwrite") -> None:
+    """Stored summaries (``store_summaries``) under ``out/<doc>/<out_name>/``."""
+    (stored.select(doc_col, "out_name", "text")
+       .repartition(doc_col, "out_name")
+       .write.mode(mode).partitionBy(doc_col, "out_name").text(out))

@@ -51,3 +51,16 @@ def test_write_one_per_doc_and_chapters(spark):
     K.write_chapters(CH.last_slug_wins(md), base + "/ch")
     back = spark.read.text(base + "/ch/doc_id=1/slug=two", wholetext=True).first().value
     assert back == "# Two\n\ny\n"
+
+
+def test_write_summaries(spark):
+    from quire.operators import chapters as CH
+    from quire.operators import summarize as SU
+    out = tempfile.mkdtemp(prefix="quire-sink-") + "/sum"
+    md = spark.createDataFrame([(1, "# One\nA b c. D e f.\n# Two\n \n")], "doc_id long, md string")
+    ch = CH.last_slug_wins(md)
+    K.write_summaries(SU.store_summaries(SU.extractive_summary(ch), ch), out)
+    one = spark.read.text(out + "/doc_id=1/out_name=sum_extractive_one.md").first().value
+    assert one == "A b c. D e f."
+    two = spark.read.text(out + "/doc_id=1/out_name=sum_extractive_two.md").first().value
+    assert two == "Error: empty section"
