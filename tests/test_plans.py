@@ -77,3 +77,18 @@ def test_concat_length_invariant(spark):
     out = AS.concat_docs(docs, "g", "doc_id", "text").select("g", F.length("text").alias("n"))
     exp = docs.groupBy("g").agg((F.sum(F.length("text")) + 2 * F.count("*")).alias("n"))
     assert sorted(out.collect()) == sorted(exp.collect())
+
+
+def test_filter_and_pruning_reach_the_scan(spark):
+    from pyspark.sql import functions as F
+    from quire.sources import tables as TB
+    df = TB.read_table(spark, SF_SMALL, "documents").where(F.col("lang") == "de").select("doc_id", "text")
+    plan = _plan(df)
+    assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan
+
+
+def test_markdown_conversion_is_narrow(spark):
+    plan = _plan(E.queries()["A4_documents_to_markdown"](spark, SF_SMALL))
+    # only the spread of the single-row-group scan; no shuffle for the conversion
+    assert plan.count("Exchange") <= 1 and "SortMergeJoin" not in plan and "Window" not in plan
