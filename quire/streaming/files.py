@@ -45,3 +45,10 @@ def start_markdown_stream(spark: SparkSession, in_dir: str, out_dir: str, checkp
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
+
+
+def validation_stream(files: DataFrame, level: int = 1) -> DataFrame:
+    """(path, ok, reason) for each Markdown file of a stream (H7): empty files and
+    files without a chapter heading are reported, never fail the query."""
+    from ..operators import chapters as CH
+    return CH.validate_markdown(files.withColumnRenamed("text", "md"), key="path", level=level)

@@ -23,3 +23,19 @@ def test_markdown_stream_matches_batch(spark):
     batch = spark.createDataFrame([(k, v.replace("\r\n", "\n")) for k, v in texts.items()], "name string, text string")
     exp = {r.name: r.md for r in MD.text_to_markdown(batch, "text", None, None).collect()}
     assert got == exp
+
+
+def test_validation_stream(spark):
+    base = tempfile.mkdtemp(prefix="quire-stream-")
+    src = os.path.join(base, "in")
+    os.mkdir(src)
+    for name, t in {"ok.md": "# A\nx\n", "none.md": "no heading", "blank.md": "  \n"}.items():
+        with open(os.path.join(src, name), "w") as f:
+            f.write(t)
+    q = (ST.validation_stream(ST.read_text_stream(spark, src))
+         .writeStream.format("parquet").option("path", os.path.join(base, "out"))
+         .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {r.path.rsplit("/", 1)[1]: r.reason for r in spark.read.parquet(os.path.join(base, "out")).collect()}
+    assert got["ok.md"] is None and got["blank.md"] == "Input file is empty"
+    assert got["none.md"].startswith("No chapters found")
