@@ -73,6 +73,18 @@ def marked_by(rows: DataFrame, keys: list[str], groups: DataFrame, bits: int, ou
             .drop("q_bucket", "q_bits"))
 
 
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table that was aggregated by the same keys, so that hot keys can be split.
+
+    The aggregate is already dealt by ``keys`` and would be joined where it lies, which
+    binds each key to one task.  One more key, a hash of the others, makes Spark deal
+    both sides anew, and adaptive execution then splits the partitions of hot keys.
+    """
+    k = F.hash(*keys).alias(f"{MARK}k")
+    return (left.select("*", k).join(right.select("*", k), [*keys, f"{MARK}k"], how)
+            .drop(f"{MARK}k"))
+
+
 def running_total(df: DataFrame, group: str, order: list[str], amount: str | None = None,
                   out: str = "before") -> DataFrame:
     """Add ``out``: the sum of ``amount`` (1 when None) over earlier rows of the group.
@@ -131,7 +143,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     def star(both: DataFrame, large: bool) -> DataFrame:
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        out = both.join(low, "a")
+        out = skew_join(both, low, ["a"])
         if large:
             out = out.where(b > a).select(b.alias("a"), F.col("m").alias("b"))
         else:
@@ -170,7 +182,7 @@ def pair_cells(rows: DataFrame, key: list[str], item: str, judge: Callable, sche
     count = rows.groupBy(*key).agg(F.count("*").alias(f"{MARK}n")).where(F.col(f"{MARK}n") > 1)
     nb = F.ceil(F.col(f"{MARK}n") / F.lit(block_rows)).cast("int")
     own = F.pmod(F.xxhash64(F.col(item), F.lit(7)), F.col(f"{MARK}nb")).cast("int")
-    cells = (rows.join(count, key)
+    cells = (skew_join(rows, count, key)
              .withColumn(f"{MARK}nb", nb)
              .withColumn(f"{MARK}b", own)
              .withColumn(f"{MARK}o", F.explode(F.sequence(F.lit(0), F.col(f"{MARK}nb") - 1)))

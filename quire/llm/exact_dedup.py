@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, marked_by, written
+from .common import SPACE, marked_by, skew_join, written
 
 def normalised(text: str) -> Column:
     """Null as empty; each run of U+0020, U+0009-U+000D as one space."""
@@ -53,7 +53,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
               .agg(F.min("q_id").alias("keep_id"), F.count("*").alias("group_size")))
     alone = full.where(~F.col("q_hit")).select(
         "q_id", "text_sha256", F.col("q_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    joined = (full.where("q_hit").join(groups, ["q_len", "text_sha256"])
+    joined = (skew_join(full.where("q_hit"), groups, ["q_len", "text_sha256"])
               .select("q_id", "text_sha256", "keep_id", "group_size"))
     out = joined.unionByName(alone)
     return out.select(

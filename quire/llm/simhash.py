@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cell_pairs, components, forest, pair_cells, written
+from .common import cell_pairs, components, forest, pair_cells, skew_join, written
 
 CHUNK = 1 << 16      # shingles hashed at a time: bounds memory for very long texts
 
@@ -105,7 +105,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = nodes.join(roots, "q_fp", "left").select(
         "q_fp", "q_low", F.coalesce("root", "q_fp").alias("q_root"))
     low = placed.groupBy("q_root").agg(F.min("q_low").alias("component_id"))
-    named = placed.join(low, "q_root").select("q_fp", "component_id")
+    named = skew_join(placed, low, ["q_root"]).select("q_fp", "component_id")
     return own.join(named, "q_fp").select(
         F.col("q_id").alias(id_col), F.lower(F.lpad(F.hex("q_fp"), 16, "0")).alias("fingerprint"),
         "component_id")
