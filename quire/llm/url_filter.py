@@ -8,6 +8,7 @@ projection of the page scan: no join, no shuffle, no skew.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -72,8 +73,12 @@ def seed_table(spark: SparkSession) -> DataFrame:
 
 
 def train(labelled: DataFrame, size: int = 1 << 14, sizes: tuple[int, ...] = (3, 4),
-          reg: float = 0.01) -> UrlModel:
-    """Fit on a small labelled table (url, label 1 = block); duplicates and null urls allowed."""
+          reg: float = 0.002, prior: float = 0.25) -> UrlModel:
+    """Fit on a small labelled table (url, label 1 = block); duplicates and null urls allowed.
+
+    The labelled table may hold more bad URLs than a crawl does, so the intercept is moved
+    from the table's share of label 1 to ``prior``.
+    """
     host, path = host_and_path("url")
     rows = (labelled.coalesce(1).select(F.col("label").cast("double").alias("label"), host.alias("h"), path.alias("p"))
             .where(F.col("label").isNotNull())
@@ -83,7 +88,9 @@ def train(labelled: DataFrame, size: int = 1 << 14, sizes: tuple[int, ...] = (3,
     weights = [0.0] * size
     for term, w in zip(terms.vocabulary, fit.coefficients.toArray().tolist()):
         weights[int(term)] = w
-    return UrlModel(weights, float(fit.intercept), sizes)
+    share = min(max(rows.agg(F.avg("label")).first()[0], 0.01), 0.99)
+    shift = math.log(prior / (1 - prior)) - math.log(share / (1 - share))
+    return UrlModel(weights, float(fit.intercept) + shift, sizes)
 
 
 def probability(host: Column, path: Column, model: UrlModel) -> Column:

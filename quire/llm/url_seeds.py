@@ -101,6 +101,21 @@ https://m.leather.test/de/7311.html
 https://www.whether.test/en/9034/
 http://either.test/fr/38112?page=2
 https://motherland.test/es/12001#top
+https://www.threnody.test/de/19.html
+http://strength.test/en/9.html
+https://blog.entrance.test/fr/29.html
+https://m.transit.test/es/5.html
+http://www.hundred.test/de/109.html
+https://children.test/en/89.html
+https://sunday-market.test/index.html
+http://theorem.test/de/39.html
+https://www.renters.test/fr/9.html
+https://m.winter-theatre.test/en/49.html
+https://freedom.test/en/61
+http://www.betterment.test/de/7
+https://spamalot-musical.test/en/12
+https://www.adulthood.test/en/studies/4
+https://trackside.test/es/81
 """
 
 
