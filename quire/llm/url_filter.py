@@ -52,18 +52,22 @@ def rule_match(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
     return rule, verdict
 
 
-def _bucket(mark: str, text: Column, n: int, size: int):
-    return lambda i: F.pmod(F.xxhash64(F.concat(F.lit(mark), F.substring(text, i, F.lit(n)))), F.lit(size))
+def _bucket(mark: str, size: int):
+    return lambda gram: F.pmod(F.xxhash64(F.concat(F.lit(mark), gram)), F.lit(size))
 
 
 def buckets(host: Column, path: Column, size: int, sizes: tuple[int, ...]) -> Column:
-    """Distinct hash buckets of the n-grams of host and path, each with its own mark."""
+    """Distinct hash buckets of the n-grams of host and path, each with its own mark.
+
+    Digits are read as 0: the number of a page says nothing about it.  A look-ahead finds
+    overlapping n-grams in one pass, so long paths cost time in proportion to their length.
+    """
     parts = []
     for mark, text in (("h", F.concat(F.lit("^"), host, F.lit("$"))), ("p", path)):
+        text = F.translate(text, "123456789", "000000000")
         for n in sizes:
-            at = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - (n - 1)))
-            starts = F.coalesce(at, F.array().cast("array<int>"))
-            parts.append(F.transform(starts, _bucket(mark, text, n, size)))
+            grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+            parts.append(F.transform(grams, _bucket(mark, size)))
     return F.array_distinct(F.concat(*parts))
 
 

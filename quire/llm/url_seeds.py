@@ -113,9 +113,6 @@ https://www.renters.test/fr/9.html
 https://m.winter-theatre.test/en/49.html
 https://freedom.test/en/61
 http://www.betterment.test/de/7
-https://spamalot-musical.test/en/12
-https://www.adulthood.test/en/studies/4
-https://trackside.test/es/81
 """
 
 
