@@ -77,7 +77,7 @@ def seed_table(spark: SparkSession) -> DataFrame:
 
 
 def train(labelled: DataFrame, size: int = 1 << 14, sizes: tuple[int, ...] = (3, 4),
-          reg: float = 0.002, prior: float = 0.25) -> UrlModel:
+          reg: float = 0.0005, prior: float = 0.25) -> UrlModel:
     """Fit on a small labelled table (url, label 1 = block); duplicates and null urls allowed.
 
     The labelled table may hold more bad URLs than a crawl does, so the intercept is moved

@@ -50,6 +50,12 @@ https://free-bets.test/en/661?page=2
 https://www.sure-bets.test/es/1934.html
 https://cheap-pills.test/en/7208
 http://blog.pills-shop.test/de/43
+https://pills-online.test/en/buy
+http://pills4you.test/fr/118.html
+https://www.herbal-pills.test/es/6
+https://casino.test/en/play
+http://bets.test/fr/live
+https://adult.test/de/18
 """
 ALLOW = """
 https://www.city-library.test/catalogue/authors
