@@ -21,7 +21,7 @@ from .text import _c, ColumnOrName
 # table rather than a transcribed one.
 NAMED_ENTITIES: dict[str, str] = {k: chr(v) for k, v in sorted(html.entities.name2codepoint.items())}
 
-ENTITY = r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{0,31});?"
+ENTITY = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
 REPLACEMENT_CHAR = "�"
 
 
@@ -51,10 +51,13 @@ def _code_point_char(n: Column) -> Column:
 def _decode_one(e: Column) -> Column:
     lookup = F.create_map(*[F.lit(x) for kv in NAMED_ENTITIES.items() for x in kv])
     name = F.regexp_extract(e, r"\A&([A-Za-z][A-Za-z0-9]*)", 1)
-    hexd = F.regexp_extract(e, r"\A&#[xX]([0-9a-fA-F]+)", 1)
-    decd = F.regexp_extract(e, r"\A&#([0-9]+)", 1)
-    return (F.when(hexd != "", _code_point_char(F.conv(hexd, 16, 10).cast("bigint")))
-            .when(decd != "", _code_point_char(decd.cast("bigint")))
+    # leading zeros do not count; more than 7 digits left is above U+10FFFF
+    hexd = F.regexp_extract(e, r"\A&#[xX]0*+([0-9a-fA-F]*+)", 1)
+    decd = F.regexp_extract(e, r"\A&#0*+([0-9]*+)", 1)
+    number = (F.when(F.greatest(F.length(hexd), F.length(decd)) > 7, F.lit(0x110000).cast("bigint"))
+              .when(hexd != "", F.conv(hexd, 16, 10).cast("bigint"))
+              .when(decd != "", decd.cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return (F.when(e.startswith("&#"), _code_point_char(number))
             .otherwise(F.coalesce(F.element_at(lookup, name), e)))
 
 

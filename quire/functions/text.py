@@ -75,7 +75,7 @@ def clean_page_text(c: ColumnOrName) -> Column:
     """Whitespace collapsed, hyphenated words joined, camelCase split, stripped."""
     t = F.regexp_replace(_c(c), RX.WS + "+", " ")
     t = F.regexp_replace(t, "\f", "")
-    t = F.regexp_replace(t, RX.HYPHEN_JOIN, "$1$2")
+    t = F.regexp_replace(t, RX.HYPHEN_JOIN_LINEAR, "$1$2")
     t = F.regexp_replace(t, RX.CAMEL, "$1 $2")
     return strip_ws(t)
 

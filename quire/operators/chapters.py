@@ -67,7 +67,7 @@ def _chapters_of(parts: Column, first: Column) -> Column:
         T.strip_ws(F.substring_index(c["s"], "\n", 1)).alias("title")))
     st = F.transform(st, lambda c: F.struct(
         c["seq"].alias("seq"), c["raw"].alias("raw"), c["title"].alias("title"),
-        T.strip_ws(F.when(c["nl"] > 0, F.substring(c["s"], c["nl"] + 1, 1 << 30))
+        T.strip_ws(F.when(c["nl"] > 0, F.substr(c["s"], c["nl"] + 1))
                    .otherwise(F.lit(""))).alias("body"),
         T.slugify(c["title"]).alias("slug")))
     st = F.filter(st, lambda c: c["title"] != "")
