@@ -201,10 +201,10 @@ def route_by_format(name: ColumnOrName, text_only: bool = False) -> Column:
     if text_only:
         ok = F.lower(name).endswith(".txt")
         return F.struct(F.when(ok, F.lit("text")).alias("route"),
-                        F.when(~ok, F.lit("Input file must be a .txt file when using --skip-ocr"))
+                        F.when(~ok, F.lit("only .txt names are read as ready text"))
                         .alias("reject_reason"))
     ext = F.lower(file_suffix(name))
     route = F.when(ext == ".epub", F.lit("epub")).when(ext == ".pdf", F.lit("pdf"))
     return F.struct(route.alias("route"),
-                    F.when(route.isNull(), F.concat(F.lit("Unsupported file format: "), ext))
+                    F.when(route.isNull(), F.concat(F.lit("no reader for format "), ext))
                     .alias("reject_reason"))

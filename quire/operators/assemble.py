@@ -75,57 +75,69 @@ def corpus_counts(df: DataFrame, group: str | Sequence[str], out: str = "n") ->
     return df.groupBy(*_keys(group)).agg(F.count(F.lit(1)).cast("bigint").alias(out))
 
 
+def _page_block(page: str, block_pages: int) -> Column:
+    """Block of a page number; pages without a number come before all others."""
+    return F.coalesce(F.floor(F.col(page) / block_pages), F.lit(-(1 << 62)))
+
+
 # W4
 def page_position(doc_pages: DataFrame, book: str = "book_id", page: str = "page_no",
                   block_pages: int = PAGE_BLOCK) -> DataFrame:
     """Add ``position``: 1-based rank of each page within its book (selected range).
 
-    Rank = pages in earlier blocks + rank inside the block.  Windows run per
-    (book, block), bounded by ``block_pages`` rows, and over the small table of
-    block counts, so a book of any size never lands in one window partition.
+    Pages with a NULL number come first.  Rank = pages in earlier blocks + rank inside
+    the block.  Windows run per (book, block), bounded by ``block_pages`` rows, and over
+    the small table of block counts, so a book of any size never lands in one window partition.
     """
-    blk = F.floor(F.col(page) / block_pages)
-    pages = doc_pages.withColumn("_blk", blk)
-    offsets = _block_offsets(pages, book)
+    pages = doc_pages.withColumn("_blk", _page_block(page, block_pages))
     local = F.row_number().over(Window.partitionBy(book, "_blk").orderBy(page))
-    return (pages.withColumn("_local", local)
-            .join(offsets, [book, "_blk"])
+    return (_with_offsets(pages.withColumn("_local", local), pages, book)
             .withColumn("position", (F.col("_off") + F.col("_local")).cast("int"))
             .drop("_blk", "_local", "_off"))
 
 
-def _block_offsets(pages: DataFrame, book: str) -> DataFrame:
+def _with_offsets(blocks: DataFrame, pages: DataFrame, book: str) -> DataFrame:
+    """``blocks`` with ``_off``, the pages of the book before the row's block."""
     counts = pages.groupBy(book, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(book).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(book, "_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select(F.col(book).alias("_ob"), F.col("_blk").alias("_oblk"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    same = F.col(book).eqNullSafe(F.col("_ob")) & (F.col("_blk") == F.col("_oblk"))
+    return blocks.join(offsets, same).drop("_ob", "_oblk")
 
 
-ERROR_PAGE = "[ERROR ON PAGE {}]"
+def _page_pieces(items: Column, off: Column) -> Column:
+    """Texts of ordered pages, an error placeholder numbered by its position, blanks dropped."""
+    pieces = F.transform(items, lambda x, i: F.when(
+        x["error"].isNotNull(), F.concat(F.lit("[ERROR ON PAGE "), (off + i + 1).cast("string"), F.lit("]"))
+    ).otherwise(x["text"]))
+    return F.filter(pieces, lambda s: s.isNotNull() & (s != ""))
 
 
-def _page_piece(x: Column, pos: Column) -> Column:
-    """A page's text, or the error placeholder numbered by its position."""
-    return F.when(x["error"].isNotNull(),
-                  F.concat(F.lit("[ERROR ON PAGE "), pos.cast("string"), F.lit("]"))
-                  ).otherwise(x["text"])
+def _page_blocks(doc_pages: DataFrame, book: str, page: str, text: str, error: str,
+                 block_pages: int) -> DataFrame:
+    """(book, _blk, _items, _n): ordered pages of each block."""
+    item = F.struct(F.col(page).alias("p"), F.col(text).alias("text"), F.col(error).alias("error"))
+    return (doc_pages.withColumn("_blk", _page_block(page, block_pages))
+            .groupBy(book, "_blk")
+            .agg(F.sort_array(F.collect_list(item)).alias("_items"), F.count(F.lit(1)).alias("_n")))
 
 
-# A2 (+ X1 page errors as text, W4 positions)
+# A2 (+ X1 page errors as text, W4 positions), for books too large for one string
 def pages_to_text_parts(doc_pages: DataFrame, book: str = "book_id", page: str = "page_no",
                         text: str = "text", error: str = "error",
                         block_pages: int = PAGE_BLOCK) -> DataFrame:
-    """First level of A2: (book, block, n_pages, text) with global page positions."""
-    pages = doc_pages.select(book, page, text, error).withColumn(
-        "_blk", F.floor(F.col(page) / block_pages))
-    offsets = _block_offsets(pages, book)
-    item = F.struct(F.col(page).alias("p"), F.col(text).alias("text"), F.col(error).alias("error"))
-    first = (pages.groupBy(book, "_blk")
-             .agg(F.sort_array(F.collect_list(item)).alias("_items"), F.count(F.lit(1)).alias("_n"))
-             .join(offsets, [book, "_blk"]))
-    pieces = F.transform("_items", lambda x, i: _page_piece(x, F.col("_off") + i + 1))
-    kept = F.filter(pieces, lambda s: s.isNotNull() & (s != ""))
-    return first.select(book, F.col("_blk").alias("block"), F.col("_n").alias("n_pages"),
-                        F.array_join(kept, PARAGRAPH_SEP).alias("text"))
+    """First level of A2: (book, block, n_pages, text) with global page positions.
+
+    The non-empty parts of a book in ``block`` order, joined by a blank line, are its A2
+    text (``write_ordered_parts`` writes them so).
+    """
+    first = _page_blocks(doc_pages, book, page, text, error, block_pages)
+    pages = doc_pages.select(book, _page_block(page, block_pages).alias("_blk"))
+    pieces = _page_pieces(F.col("_items"), F.col("_off"))
+    return _with_offsets(first, pages, book).select(
+        book, F.col("_blk").alias("block"), F.col("_n").alias("n_pages"),
+        F.array_join(pieces, PARAGRAPH_SEP).alias("text"))
 
 
 def pages_to_text(doc_pages: DataFrame, book: str = "book_id", page: str = "page_no",
@@ -133,17 +145,18 @@ def pages_to_text(doc_pages: DataFrame, book: str = "book_id", page: str = "page
                   block_pages: int = PAGE_BLOCK) -> DataFrame:
     """A2: one row per book: (book, text, n_pages).
 
-    Pages in order; a failed page becomes ``[ERROR ON PAGE k]`` with k its position
-    in the selected range; NULL and empty pages are dropped; pages are joined by
-    a blank line.
+    Pages in order (a NULL page number first); a failed page becomes ``[ERROR ON PAGE k]``
+    with k its position in the selected range; NULL and empty pages are dropped; pages are
+    joined by a blank line.  Pages are numbered when the blocks of a book meet, so the
+    input is read once.
     """
-    parts = pages_to_text_parts(doc_pages, book, page, text, error, block_pages)
-    part = F.struct("block", F.col("text").alias("t"))
-    return (parts.groupBy(book)
-            .agg(F.array_join(F.filter(F.transform(F.sort_array(F.collect_list(part)),
-                                                   lambda x: x["t"]), lambda s: s != ""),
-                              PARAGRAPH_SEP).alias("text"),
-                 F.sum("n_pages").cast("bigint").alias("n_pages")))
+    blocks = _page_blocks(doc_pages, book, page, text, error, block_pages)
+    block = F.struct("_blk", "_items")
+    books = blocks.groupBy(book).agg(F.sort_array(F.collect_list(block)).alias("_blocks"),
+                                     F.sum("_n").cast("bigint").alias("n_pages"))
+    books = books.withColumn("_items", F.flatten(F.col("_blocks._items")))
+    return books.select(book, F.array_join(_page_pieces(F.col("_items"), F.lit(0)), PARAGRAPH_SEP).alias("text"),
+                        "n_pages")
 
 
 # A2b
@@ -164,7 +177,7 @@ def pages_to_markdown(doc_pages: DataFrame, name: Column, book: str = "book_id",
                               name.alias("_name"))
     # the name is a per-book attribute, so it rides along as a grouping key (no join)
     body = ordered_join(pieces, [book, "_name"], page, "_piece", "", "_body",
-                        block=F.floor(F.col(page) / block_pages))
+                        block=_page_block(page, block_pages))
     return body.select(
         book, F.concat(F.lit("# "), F.col("_name"), F.lit("\n\n"), F.col("_body")).alias("md"))
 

@@ -16,12 +16,14 @@ from ..functions import patterns as RX
 from ..functions import text as T
 from ..functions.rows import explode_with_pos
 
-EMPTY_DOC = "Input file is empty"
-NO_CHAPTERS = "No chapters found. Make sure chapters are marked with '## '"
-
+EMPTY_DOC = "document without text"
 CHAPTER_FIELDS = ["seq", "title", "slug", "body", "rendered"]
 
 
+def no_chapters(level: int) -> str:
+    return f"no line starts a chapter with '{'#' * level} '"
+
+
 def _chapter_parts(md: Column, level: int) -> Column:
     parts = F.split(md, RX.chapter_cut(level, "spark"), -1)
     return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
@@ -133,7 +135,7 @@ def first_equal_chapter(df: DataFrame, key: str = "doc_id", md: str = "md",
 def _reject_reason(md: str, level: int) -> Column:
     n = F.size(_chapter_parts(F.col(md), level))
     return (F.when(F.col(md).isNull() | T.is_blank(md), F.lit(EMPTY_DOC))
-            .when(n == 0, F.lit(NO_CHAPTERS)))
+            .when(n == 0, F.lit(no_chapters(level))))
 
 
 def validate_markdown(df: DataFrame, key: str = "doc_id", md: str = "md", level: int = 1) -> DataFrame:
@@ -141,10 +143,3 @@ def validate_markdown(df: DataFrame, key: str = "doc_id", md: str = "md", level:
     reason = _reject_reason(md, level)
     keys = [key] if isinstance(key, str) else list(key)
     return df.select(*keys, reason.isNull().alias("ok"), reason.alias("reason"))
-
-
-def split_valid(df: DataFrame, key: str = "doc_id", md: str = "md", level: int = 1):
-    """(ok_rows, rejects) from one pass of column logic (no join); rejects are (key, reason)."""
-    r = df.withColumn("_reason", _reject_reason(md, level))
-    return (r.where(F.col("_reason").isNull()).drop("_reason"),
-            r.where(F.col("_reason").isNotNull()).select(key, F.col("_reason").alias("reason")))

@@ -57,8 +57,13 @@ def mark_blocks(c: Column) -> Column:
 
 
 def with_reflow(df: DataFrame, md: str, out: str) -> DataFrame:
-    """W2 inside the row: add ``out`` = reflowed ``md``."""
-    df = df.withColumn("_lines", F.split(mark_blocks(F.col(md)), "\n", -1))
+    """W2 inside the row: add ``out`` = reflowed ``md``.
+
+    U+0001 and U+0002 of the text are escaped while U+0001 marks lines, and restored at the end.
+    """
+    free = F.replace(F.replace(F.col(md), F.lit("\u0002"), F.lit("\u0002b")), F.lit(BLOCK_MARK), F.lit("\u0002a"))
+    df = df.withColumn("_free", free)
+    df = df.withColumn("_lines", F.split(mark_blocks(F.col("_free")), "\n", -1))
     lines = F.col("_lines")
 
     def raw(x: Column) -> Column:
@@ -70,7 +75,9 @@ def with_reflow(df: DataFrame, md: str, out: str) -> DataFrame:
         raw(x).alias("line"), i.alias("i"), x.startswith(BLOCK_MARK).alias("blk"),
         F.when(i > 0, raw(F.try_element_at(lines, i))).alias("prev")))
     emitted = F.transform(staged, lambda e: _emit(e["line"], e["i"], e["blk"], e["prev"]))
-    return df.withColumn(out, F.array_join(emitted, "")).drop("_lines")
+    whole = F.array_join(emitted, "")
+    back = F.replace(F.replace(whole, F.lit("\u0002a"), F.lit(BLOCK_MARK)), F.lit("\u0002b"), F.lit("\u0002"))
+    return df.withColumn(out, back).drop("_lines", "_free")
 
 
 def clean_markdown(df: DataFrame, md: str = "md", out: str = "md") -> DataFrame:

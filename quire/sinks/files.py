@@ -43,17 +43,22 @@ def write_combined(df: DataFrame, out: str, text_col: str = "text", mode: str =
 
 
 def write_ordered_parts(parts: DataFrame, out: str, keys: str | Sequence[str], order: str,
-                        text_col: str = "text", mode: str = "overwrite") -> None:
-    """Write ordered parts of each group (e.g. ``pages_to_text_parts``) without joining them.
-
-    Range partitioning on (keys, order) keeps each task's rows contiguous in
-    order, so reading a group's part files in name order gives its text in order.
+                        text_col: str = "text", mode: str = "overwrite", sep: str = "\n\n",
+                        drop_empty: bool = True) -> None:
+    """Write ordered parts of each group without joining them into one string.
+
+    Range partitioning on (keys, order) keeps each task's rows contiguous in order, so
+    a group's part files read in name order give its text: every part is followed by
+    ``sep``.  For ``pages_to_text_parts`` that is the A2 text and a last ``sep``; the
+    documents of a directory (``order="name"``, ``drop_empty=False``) give the A1 text itself.
     """
     keys = _keys(keys)
+    if drop_empty:
+        parts = parts.where(F.col(text_col) != "")
     (parts.repartitionByRange(*keys, order)
           .sortWithinPartitions(*keys, order)
           .select(*keys, F.col(text_col))
-          .write.mode(mode).partitionBy(*keys).text(out))
+          .write.mode(mode).option("lineSep", sep).partitionBy(*keys).text(out))
 
 
 # M3 output files

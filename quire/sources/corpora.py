@@ -68,6 +68,7 @@ SELECT regexp_extract(url, '://([^/?#]+)', 1) AS book_id,
        regexp_extract(url, '://([^/?#]+)', 1) AS book_title,
        CAST(row_number() OVER (PARTITION BY regexp_extract(url, '://([^/?#]+)', 1) ORDER BY page_id) AS INT) AS item_seq,
        CAST(page_id AS VARCHAR(20)) AS item_id,
+       CASE WHEN page_id % 7 = 3 THEN 'style' WHEN page_id % 7 = 5 THEN 'image' ELSE 'document' END AS item_type,
        html
 FROM {pages}
 """

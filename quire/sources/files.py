@@ -17,6 +17,13 @@ from ..functions import text as T
 NOT_UTF8 = "not valid UTF-8"
 
 
+def _reader(spark: SparkSession):
+    """Whole files; one that vanishes or cannot be read after listing is skipped (the
+    executor logs it) and does not end the job."""
+    return (spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
+            .option("ignoreCorruptFiles", "true"))
+
+
 def _decoded(files: DataFrame) -> DataFrame:
     """(path, name, text, reject_reason): text-mode decoding, CR/CRLF to LF."""
     raw = F.col("content").cast("string")
@@ -43,8 +50,7 @@ def scan_text_dir(spark: SparkSession, directory: str) -> tuple[DataFrame, DataF
     Order is the ``name`` column (binary order = code-point order, as a sorted
     listing); sub-directories are not descended into.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(directory))
+    files = _reader(spark).load(directory)
     parent = F.regexp_replace(F.col("path"), "/[^/]*\\z", "")
     top = files.where(F.regexp_replace(parent, "\\Afile:", "") ==
                       F.regexp_replace(F.lit(_qualified(spark, directory)), "\\Afile:", ""))
@@ -68,7 +74,7 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 # S2
 def scan_markdown_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """A single file as given, or every ``*.md`` below a directory except ``sum_*`` outputs."""
-    reader = spark.read.format("binaryFile")
+    reader = _reader(spark)
     if _is_file(spark, path):
         files = reader.load(path)
     else:
@@ -80,7 +86,7 @@ def scan_markdown_tree(spark: SparkSession, path: str) -> tuple[DataFrame, DataF
 # S3
 def read_text_docs(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Whole files as documents: ((path, name, text), rejects)."""
-    files = spark.read.format("binaryFile").load(paths)
+    files = _reader(spark).load(paths)
     return _split(_decoded(files))
 
 

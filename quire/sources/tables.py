@@ -5,35 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
-
 
 # Row key of each driver table, used to spread a scan that yields too few tasks.
 TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
               "labels": "doc_id", "benchmark": "item_id"}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+# Session setting by which a caller (the bench) asks for spread scans; off unless set.
+SPREAD_CONF = "quire.spread.scans"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     key = TABLE_KEYS.get(name)
-    return spread_rows(df, key) if spread and key else df
+    asked = spark.conf.get(SPREAD_CONF, "false") == "true"
+    return spread_rows(df, key) if asked and key else df
 
 
 def spread_rows(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread rows over the cluster when the scan gives fewer tasks than cores.
+    """Hash-spread the rows of a small input that is read by fewer tasks than cores.
 
     Text operators are CPU-bound per row; a file written as one row group is read
-    by one task.  On a cluster reading many files the scan already has more tasks
-    than cores and this is a no-op.  Hashing on the key keeps retries
-    deterministic (no round-robin), and filters and column pruning still reach
-    the scan below the exchange.
+    by one task.  A full shuffle, so only for callers that know their input is
+    such a file.  Hashing on the key keeps retries deterministic, and filters and
+    column pruning still reach the scan below the exchange.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access (Spark Connect)
-        return df
-    return df if parts >= cores else df.repartition(cores, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,13 +67,7 @@ def select_content_entries(entries: DataFrame, path_col: str = "entry_path") ->
 
 
 # S6
-def manifest_documents(items: DataFrame, type_col: str | None = None,
+def manifest_documents(items: DataFrame, type_col: str | None = "item_type",
                        doc_type: str = "document") -> DataFrame:
-    """Document items of a manifest (all items when there is no type column)."""
-    if type_col and type_col in items.columns:
-        return items.where(F.col(type_col) == doc_type)
-    return items
-
-
-def page_text_non_blank(df: DataFrame, col: str = "text") -> DataFrame:
-    return df.where(T.non_blank(col))
+    """Document items of a manifest; ``type_col=None`` takes every item (a manifest without types)."""
+    return items if type_col is None else items.where(F.col(type_col) == doc_type)

@@ -65,3 +65,23 @@ def test_decode_entities_edges(spark):
              "": ""}
     for k, v in cases.items():
         assert one(spark, H.decode_entities("x"), k) == v, k
+
+
+def test_null_page_numbers_come_first(spark):
+    df = spark.createDataFrame([(1, 2, "two", None), (1, None, "none", None), (1, 1, None, "boom"), (None, 1, "x", None)],
+                               "book_id long, page_no int, text string, error string")
+    got = {r.book_id: (r.text, r.n_pages) for r in AS.pages_to_text(df).collect()}
+    assert got == {1: ("none\n\n[ERROR ON PAGE 2]\n\ntwo", 3), None: ("x", 1)}
+    pos = {(r.book_id, r.page_no): r.position for r in AS.page_position(df, block_pages=2).collect()}
+    assert pos == {(1, None): 1, (1, 1): 2, (1, 2): 3, (None, 1): 1}
+    md = {r.book_id: r.md for r in AS.pages_to_markdown(df, F.lit("n")).collect()}
+    assert md[1] == "# n\n\n\n## none\n\n\n## two\n\n"
+
+
+def test_parts_join_to_the_whole_text(spark):
+    rows = [(b, p, None if p % 5 == 0 else f"page {p}", "bad" if p % 10 == 0 else None) for b in (1, 2) for p in range(1, 60)]
+    df = spark.createDataFrame(rows, "book_id long, page_no int, text string, error string")
+    whole = {r.book_id: r.text for r in AS.pages_to_text(df).collect()}
+    parts = AS.pages_to_text_parts(df, block_pages=5).where("text <> ''").orderBy("book_id", "block").collect()
+    for b in (1, 2):
+        assert "\n\n".join(r.text for r in parts if r.book_id == b) == whole[b]

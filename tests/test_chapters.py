@@ -27,7 +27,7 @@ def test_last_slug_wins(spark):
 
 def test_validate(spark):
     got = {r.doc_id: r.reason for r in CH.validate_markdown(_df(spark, "no heading", "  ", "# ok\n")).collect()}
-    assert got[0].startswith("No chapters found") and got[1] == "Input file is empty" and got[2] is None
+    assert got[0].startswith("no line starts a chapter") and got[1] == "document without text" and got[2] is None
 
 
 def test_first_equal_positions(spark):

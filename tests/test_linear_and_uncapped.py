@@ -38,3 +38,40 @@ def test_hyphen_forms_agree(spark):
 def test_checkpoint_folder_is_set_once(spark):
     first = ensure_checkpoint_dir(spark)
     assert all(ensure_checkpoint_dir(spark) == first for _ in range(200))
+
+
+def test_entities_html5_legacy_and_windows(spark):
+    cases = {"it&apos;s": "it's", "&#146;": "’", "&#x80;&#129;": "€\x81", "caf&#0000000233;": "café",
+             "p?x=1&lang=en&sub=2": "p?x=1&lang=en&sub=2", "&eacute &notin; &hellip;": "é ∉ …",
+             "&hellip": "&hellip", "&NotEqualTilde;": "≂̸", "&copy2": "©2", "&bogus;&": "&bogus;&"}
+    for raw, want in cases.items():
+        assert one(spark, H.decode_entities("x"), raw) == want, raw
+
+
+def test_tags_with_quoted_angles_and_unclosed_script(spark):
+    cases = {'<p title="a > b">text</p>': "text", "<p title='a > b' id=x>text</p>": "text",
+             "a<script>var x = 1 < 2;": "a", "<p>it's</p> don't": "it's don't",
+             '<p title="open>text</p>': "text", "<header>H</header><style>s</style>x": "Hx"}
+    for raw, want in cases.items():
+        assert one(spark, H.html_to_text("x"), raw) == want, raw
+
+
+def test_links_and_images(spark):
+    cases = {'<a href="u">see <abbr>HTML</abbr> spec</a>': "[see HTML spec](u)",
+             "<a class=c href='u v'>t</a>": "[t](u v)", "<a href=u?x=1>t</a>": "[t](u?x=1)",
+             "<img src='s.png' alt=pic>": "![pic](s.png)", '<img alt="a > b" src="s">': "![a > b](s)",
+             "<a href='1'>one <a href='2'>two</a>": "one [two](2)", "<head>x</head><header>H</header>": "H"}
+    for raw, want in cases.items():
+        assert one(spark, H.html_to_markdown("x"), raw) == want, raw
+
+
+def test_anchors_without_an_end_are_linear(spark):
+    t0 = time.time()
+    one(spark, H.html_to_markdown("x"), "<a href='u'>text " * 20_000)
+    assert time.time() - t0 < 20
+
+
+def test_lines_that_start_with_the_mark(spark):
+    for raw, want in {"a\n\x01b": "a \x01b", "- x\n\x01y\n\nz\n\x01q": "- x\n\x01y\n\n\nz \x01q", "\x02a\x01": "\x02a\x01"}.items():
+        df = spark.createDataFrame([(raw,)], "x string")
+        assert entries.with_reflow(df, "x", "out").first()["out"] == want

@@ -33,12 +33,48 @@ def test_require_rows(spark):
         S.require_rows(spark.range(0), "No markdown files found to process.")
 
 
+def _in_file_order(folder):
+    names = sorted(n for n in os.listdir(folder) if n.startswith("part-"))
+    return "".join(open(os.path.join(folder, n), newline="").read() for n in names)
+
+
 def test_write_ordered_parts(spark):
-    out = tempfile.mkdtemp(prefix="quire-sink-") + "/parts"
-    df = spark.createDataFrame([(1, b, f"p{b}") for b in range(6)], "book_id long, block long, text string")
-    K.write_ordered_parts(df, out, "book_id", "block")
-    back = spark.read.text(out + "/book_id=1").collect()
-    assert sorted(r.value for r in back) == [f"p{b}" for b in range(6)]
+    from quire.operators import assemble as AS
+    base = tempfile.mkdtemp(prefix="quire-sink-")
+    pages = spark.createDataFrame([(b, p, "" if p == 4 else f"page {p}", None) for b in (1, 2) for p in range(1, 30)],
+                                  "book_id long, page_no int, text string, error string")
+    K.write_ordered_parts(AS.pages_to_text_parts(pages, block_pages=3), base + "/a2", "book_id", "block")
+    for r in AS.pages_to_text(pages).collect():
+        assert _in_file_order(f"{base}/a2/book_id={r.book_id}") == r.text + "\n\n"
+    docs = spark.createDataFrame([("d", f"n{k:02d}", "" if k == 3 else f"text {k}\n") for k in range(20)],
+                                 "g string, name string, text string")
+    K.write_ordered_parts(docs, base + "/a1", "g", "name", drop_empty=False)
+    assert _in_file_order(base + "/a1/g=d") == AS.concat_docs(docs, "g", "name").first()["text"]
+
+
+def test_read_text_docs_combined_and_summaries_left_out(spark):
+    base = tempfile.mkdtemp(prefix="quire-src-")
+    for n, t in {"a.md": "A", "sum_x_a.md": "S", "b.md": "B"}.items():
+        with open(os.path.join(base, n), "w") as f:
+            f.write(t)
+    ok, bad = S.read_text_docs(spark, [base + "/a.md", base + "/b.md"])
+    assert sorted((r.name, r.text) for r in ok.collect()) == [("a.md", "A"), ("b.md", "B")] and not bad.count()
+    tree, _ = S.scan_markdown_tree(spark, base)
+    assert sorted(r.name for r in tree.collect()) == ["a.md", "b.md"]
+    single, _ = S.scan_markdown_tree(spark, base + "/sum_x_a.md")
+    assert [r.text for r in single.collect()] == ["S"]
+    K.write_combined(ok.where("name = 'a.md'"), base + "/all")
+    assert _in_file_order(base + "/all") == "A\n"
+
+
+def test_a_vanished_file_is_skipped(spark):
+    d = tempfile.mkdtemp(prefix="quire-src-")
+    for n in ("a.txt", "b.txt"):
+        with open(os.path.join(d, n), "w") as f:
+            f.write(n)
+    ok, _ = S.scan_text_dir(spark, d)
+    os.remove(os.path.join(d, "b.txt"))
+    assert [r.text for r in ok.collect()] == ["a.txt"]
 
 
 def test_write_one_per_doc_and_chapters(spark):

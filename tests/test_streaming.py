@@ -37,5 +37,5 @@ def test_validation_stream(spark):
          .option("checkpointLocation", os.path.join(base, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(120)
     got = {r.path.rsplit("/", 1)[1]: r.reason for r in spark.read.parquet(os.path.join(base, "out")).collect()}
-    assert got["ok.md"] is None and got["blank.md"] == "Input file is empty"
-    assert got["none.md"].startswith("No chapters found")
+    assert got["ok.md"] is None and got["blank.md"] == "document without text"
+    assert got["none.md"]== "no line starts a chapter with '# '"

@@ -47,7 +47,7 @@ def test_route_by_format(spark):
     r = one(spark, T.route_by_format("x"), "/x/Book.EPUB")
     assert (r["route"], r["reject_reason"]) == ("epub", None)
     r = one(spark, T.route_by_format("x"), "/x/book.docx")
-    assert r["route"] is None and r["reject_reason"] == "Unsupported file format: .docx"
+    assert r["route"] is None and r["reject_reason"] == "no reader for format .docx"
     assert one(spark, T.route_by_format("x", text_only=True), "a.TXT")["route"] == "text"
 
 
