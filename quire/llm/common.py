@@ -21,7 +21,7 @@ MARK = "qc_"         # prefix of the columns that these helpers add on the way
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name, spread=False)
+    return read_table(spark, sf_dir, name)
 
 
 def written(df: DataFrame) -> DataFrame:
