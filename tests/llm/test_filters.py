@@ -223,3 +223,70 @@ def test_quality_without_trusted_text(spark):
     lab = spark.createDataFrame([], "doc_id long, quality int")
     assert quality.quality(d, lab).first().kept
     assert quality.quality(d.limit(0), lab).count() == 0
+
+
+# --- quality: the word model -------------------------------------------------------------------------
+
+def brute_word_model(texts, spell):
+    """Log probability of a word after its context, by dictionaries; ``spell`` is the lowest order."""
+    from collections import Counter
+    n = quality.WORDS
+    counts = {n: Counter()}
+    for t in texts:
+        w = ["<"] * (n - 1) + quality.pieces(t) + [">"]
+        counts[n].update(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+    for k in range(n - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+
+    def prob(gram):
+        if not gram:
+            raise AssertionError
+        c = counts[len(gram)]
+        t = [sum(v == k for v in c.values()) for k in range(1, 5)]
+        y = t[0] / (t[0] + 2 * t[1]) if t[0] + 2 * t[1] else None
+        d = [0.5 if y is None or not t[k - 1] else min(float(k), max(0.0, k - (k + 1) * y * t[k] / t[k - 1])) for k in (1, 2, 3)]
+        rows = [v for g, v in c.items() if g[:-1] == gram[:-1]]
+        lower = spell(gram[-1]) if len(gram) == 1 else prob(gram[1:])
+        if not rows:
+            return lower
+        back = max(1e-12, sum(d[min(v, 3) - 1] for v in rows) / sum(rows))
+        v = c.get(gram, 0)
+        return (v - d[min(v, 3) - 1] if v else 0) / sum(rows) + back * lower
+    return prob
+
+
+def test_perplexity_equals_brute_force_over_words(spark):
+    good = ["the cat sat on the mat", "the dog sat", "a cat, a dog; a mat", "on and on", "the cat sat on the mat again"]
+    probes = ["the cat sat on the mat", "zebra on the mat mat mat", "", " ", None, "the dog", "the dog", "猫 sat 猫猫"]
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5][:len(good)]
+    rows = [(i, t, "en") for i, t in zip(ids, good)] + [(1000 + min(i, 5), t, "en") for i, t in enumerate(probes)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    model = quality.train(d, lab)
+    table = quality.log_table(model[2].drop("lang").toPandas())
+    spell = lambda w: np.exp(float(table[0]) if w == ">" else quality.spelling([w], table)[0])
+    prob = brute_word_model(good, spell)
+    want = []
+    for i, t, _ in rows:
+        n = len(quality.symbols(t or ""))
+        w = ["<"] * (quality.WORDS - 1) + quality.pieces(t) + [">"]
+        log = sum(np.log(prob(tuple(w[k:k + quality.WORDS]))) for k in range(len(w) - quality.WORDS + 1))
+        want.append((i, n, np.exp(-log / n) if n else -1))
+    got = [(r.doc_id, r.n_symbols, -1 if r.perplexity is None else r.perplexity) for r in quality.perplexities(d, model).collect()]
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got), sorted(want)):
+        assert g[:2] == w[:2] and g[2] == pytest.approx(w[2], rel=1e-6)
+
+
+def test_model_grows_with_trusted_text(spark):
+    size = {}
+    for n in (300, 3000):
+        texts = [f"w{i} x{i * 7} w{i + 1}" for i in range(n)]
+        size[n] = quality.word_counts(spark.createDataFrame([("en", t) for t in texts], "lang string, text string")).count()
+    assert size[3000] == 10 * size[300] == 3000 * 4
+
+
+def test_unspaced_scripts_are_words_by_character():
+    assert quality.pieces("Ab 漢字x,ไท　é\xa0b") == ["ab", "漢", "字", "x,", "ไ", "ท", "é", "b"]
+    table = np.zeros(quality.SYMBOLS ** quality.ORDER) - 1
+    assert quality.spelling(["ab", "漢", "x,"], table).tolist() == [-3, -2, -3]
