@@ -37,7 +37,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), slack=1.0)
 
 
 def op6_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -290,3 +290,28 @@ def test_unspaced_scripts_are_words_by_character():
     assert quality.pieces("Ab 漢字x,ไท　é\xa0b") == ["ab", "漢", "字", "x,", "ไ", "ท", "é", "b"]
     table = np.zeros(quality.SYMBOLS ** quality.ORDER) - 1
     assert quality.spelling(["ab", "漢", "x,"], table).tolist() == [-3, -2, -3]
+
+
+def test_threshold_is_the_quantile_itself(spark):
+    rng = random.Random(6)
+    say = lambda: " ".join(rng.choice(["the", "river", "runs", "under", "stone"]) for _ in range(30))
+    held = [i for i in range(200) if not zlib.crc32(str(i).encode()) % 5]
+    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, say(), "en") for i in range(200)]
+    rows += [(1000 + i, "le pont" if n % 2 else "la nuit", "fr") for n, i in enumerate(range(200))]
+    fr = [1000 + i for i in range(200) if zlib.crc32(str(1000 + i).encode()) % 5]     # no held-out label in French
+    rows += [(5000, "zxq vvk " * 20, "fr")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1) for i in held + train + fr], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.quality(d, lab, slack=1.0).collect()}
+    pp = sorted(got[i].perplexity for i in held)
+    assert pp[int(0.9 * len(pp))] <= got[held[0]].threshold <= pp[-1]
+    top = max(got[i].perplexity for i in fr)
+    assert got[5000].threshold == pytest.approx(top) and not got[5000].kept and all(got[i].kept for i in fr)
+
+
+def test_quality_query_cuts_at_the_quantile(spark):
+    from quire.llm.queries import QUERIES
+    rows = QUERIES["op5_quality"](spark, "/root/testdata/sf0.001").collect()
+    limits = {(r.lang, r.threshold) for r in rows if r.threshold is not None}
+    assert limits and limits <= {(r.lang, r.perplexity) for r in rows}
