@@ -10,10 +10,12 @@ a last pass lets small blocks even out what whole blocks left over.
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import running_total, written
 
@@ -129,15 +131,49 @@ def reshard(docs: DataFrame, new_shards: int = 8, old_shards: int = 5, blocks: i
             .select(F.col("q_id").alias(id_col), "size", "text_crc32", "old_shard", "shard", "slot"))
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
+def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+            old_col: str | None = None) -> list[int]:
     """Write the shards that resharding changes under ``path``/shard=k; returns their numbers.
 
-    A shard changes when rows leave it or enter it; the files of others are left as they
-    are.  Needs one row per id in ``placed``.
+    A shard changes when rows leave it or enter it; the files of others are left as they are.
+    The new files are written beside the old ones first, which ``docs`` may still be read from;
+    then the old files of every changed shard are dropped, also of one that no row is left in.
+    ``placed`` is what ``reshard`` gave for ``docs``, with the same ``old_col``.  Rows meet their places by id (nulls
+    too), digest and size of the text, old shard, and a number among rows that agree in these, so each is written once.
     """
+    spark = docs.sparkSession
     moved = F.col("old_shard") != F.col("shard")
     touched = sorted({s for r in placed.where(moved).select("old_shard", "shard").distinct().collect() for s in r})
-    rows = placed.where(F.col("shard").isin(touched)).select(F.col(id_col).alias("q_id"), "shard")
-    (docs.join(rows, docs[id_col] == F.col("q_id")).drop("q_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path))
+    if not touched:
+        return touched
+    text = F.coalesce(F.col(text_col), F.lit("")) if text_col in docs.columns else None
+    own = {"q_id": F.col(id_col)}
+    theirs = {"q_id": F.col(id_col)}
+    if text is not None and {"size", "text_crc32"} <= set(placed.columns):
+        own |= {"q_size": (F.octet_length(text) + 1).cast("long"), "q_crc": F.crc32(text.cast("binary"))}
+        theirs |= {"q_size": F.col("size"), "q_crc": F.col("text_crc32")}
+    if old_col:
+        own["q_old"], theirs["q_old"] = F.col(old_col).cast("int"), F.col("old_shard")
+    names = list(own)
+    number = lambda *order: F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    left = docs.withColumns(own).withColumn("q_nth", number(F.hash(*[
+        c for c, t in docs.dtypes if "map<" not in t and "variant" not in t])))
+    right = placed.select(*(c.alias(x) for x, c in theirs.items()), F.col("shard").alias("q_shard"))
+    right = right.withColumn("q_nth", number("q_shard")).where(F.col("q_shard").isin(touched))
+    right = right.select(*(F.col(x).alias(f"{x}_") for x in [*names, "q_nth"]), "q_shard")
+    same = F.lit(True)
+    for x in [*names, "q_nth"]:
+        same = same & F.col(x).eqNullSafe(F.col(f"{x}_"))
+    keep = [c for c in docs.columns if c != "shard"]
+    new = f"{path}/_reshard-{uuid.uuid4().hex}"
+    (left.join(right, same).select(*keep, F.col("q_shard").alias("shard"))
+     .write.partitionBy("shard").parquet(new))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for s in touched:
+        fs.delete(at(f"{path}/shard={s}"), True)
+        if fs.exists(at(f"{new}/shard={s}")) and not fs.rename(at(f"{new}/shard={s}"), at(f"{path}/shard={s}")):
+            raise OSError(f"{new}/shard={s} was not moved to {path}")
+    fs.delete(at(new), True)
+    spark.catalog.refreshByPath(path)
     return touched

@@ -177,6 +177,25 @@ def test_rewrite_touches_changed_shards_only(spark, tmp_path):
     assert back.count() == 100 and back.select("shard").distinct().count() == 1
 
 
+# --- resharding: rows without or with repeated ids, hot texts ----------------------------------------
+
+def test_rewrite_keeps_every_row_over_existing_files(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(None if i % 7 == 0 else i // 2, "x%d " % (i % 50) * rng.randrange(1, 30), i, i % 8) for i in range(400)]
+    path = str(tmp_path / "out")
+    schema = "doc_id long, text string, other int, shard int"
+    spark.createDataFrame(rows, schema).write.partitionBy("shard").parquet(path)
+    docs = spark.read.schema(schema).parquet(path)
+    placed = reshard.written(reshard.reshard(docs, new_shards=5, old_shards=8, old_col="shard"))
+    want = sorted((r.shard, r["size"], r.text_crc32) for r in placed.collect())
+    touched = reshard.rewrite(docs, placed, path, old_col="shard")
+    assert touched == list(range(8))
+    back = spark.read.schema(schema).parquet(path).collect()
+    assert sorted(r.other for r in back) == list(range(400))         # shards 5 to 7 are gone, no row is lost or doubled
+    assert sorted((r.shard, len(r.text) + 1, zlib.crc32(r.text.encode())) for r in back) == want
+    assert {(r.other, r.doc_id, r.text) for r in back} == {(o, i, t) for i, t, o, _ in rows}
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 def brute_targets(sizes):
