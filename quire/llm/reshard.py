@@ -5,7 +5,8 @@ a hash (equal texts fall in one block), block sizes are summed on the cluster an
 sums, a fixed number, reach the driver.  A minimum-cost flow from old shard sizes to new
 capacities, where a byte that stays costs 0 and a byte that moves costs 1, gives the
 transfers that move the fewest bytes; blocks are dealt to fill them, large ones first, and
-a last pass lets small blocks even out what whole blocks left over.
+a last pass lets small blocks even out what whole blocks left over.  A text whose copies take
+more than a small share of a shard is cut in pieces of its own; the rest of its block stays whole.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from pyspark.sql.window import Window
 from .common import running_total, written
 
 
+PIECES = 16                  # a text above this part of a shard is cut, in pieces of about that size
+
+
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]) -> list[list[int]]:
     """Cheapest flow[i][j] that ships every supply within the capacities (successive shortest paths)."""
     n, m = len(supply), len(capacity)
@@ -93,40 +97,47 @@ def reshard(docs: DataFrame, new_shards: int = 8, old_shards: int = 5, blocks: i
     """One row per input row: id, size, text_crc32, old_shard, shard, slot.
 
     size is the UTF-8 bytes of the text plus 1 (null counts as empty).  New shards have equal
-    capacities.  Blocks stay whole, and with them equal texts, unless a block is larger than
-    a shard; then its rows are cut by a hash of the id.  ``old_col`` names a column with the
+    capacities.  Equal texts lie together unless their rows take more than 1/16 of a shard; those
+    are cut in equal pieces in order of id.  ``old_col`` names a column with the
     present shard (0 to old_shards - 1); without it blocks lie in shard block mod old_shards.
     Slots number the rows of a shard from 0 in order of id (nulls first); rows that repeat an id are in
     order of digest and size, and equal rows are interchangeable.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    block = F.pmod(F.xxhash64(text), F.lit(blocks)).cast("int")
     rows = docs.select(
         F.col(id_col).alias("q_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), block.alias("q_block"),
-        (F.col(old_col).cast("int") if old_col else old_shard(block, old_shards)).alias("old_shard"))
-    rows = written(rows)
-    sums = rows.groupBy("q_block", "old_shard").agg(F.sum("size").alias("s")).collect()   # fixed number
-    total = sum(r["s"] for r in sums)
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("q_text"),
+        *([F.col(old_col).cast("int").alias("old_shard")] if old_col else []))
+    block = F.pmod(F.col("q_text"), F.lit(blocks)).cast("int")
+    rows = rows.withColumn("q_block", block)
+    rows = written(rows if old_col else rows.withColumn("old_shard", old_shard(F.col("q_block"), old_shards)))
+    total = rows.agg(F.sum("size")).first()[0] or 0
     capacity = [total // new_shards + (j < total % new_shards) for j in range(new_shards)]
-    large = {r["q_block"]: -(-16 * r["s"] // capacity[0]) for r in sums if r["s"] > capacity[0]}
-    parts = F.lit(1)
-    for b, n in large.items():            # a block above total / shards: fewer than shards of them
-        parts = F.when(F.col("q_block") == b, F.lit(n)).otherwise(parts)
-    rows = rows.withColumn("q_part", F.pmod(F.xxhash64("q_id", F.lit(11)), parts).cast("int"))
-    keys = ["q_block", "old_shard", "q_part"]
-    if large:
-        sums = rows.groupBy(*keys).agg(F.sum("size").alias("s")).collect()
-        pieces = [((r["q_block"], r["old_shard"], r["q_part"]), r["old_shard"], r["s"]) for r in sums]
+    share = max(1, capacity[0] // PIECES)
+    hot = (rows.groupBy("q_text").agg(F.sum("size").alias("s"), F.count("*").alias("n"))
+           .where((F.col("s") > share) & (F.col("n") > 1)).orderBy("q_text").collect())   # about PIECES a shard at most
+    spark = docs.sparkSession
+    if hot:
+        cuts, first = [], 1
+        for r in hot:
+            cuts.append((r["q_text"], first, min(r["n"], -(-r["s"] // share))))
+            first += cuts[-1][2]
+        table = F.broadcast(spark.createDataFrame(cuts, "q_text long, q_first long, q_cuts long"))
+        copies = running_total(rows.join(table, "q_text"), "q_text", ["q_id", "old_shard"], out="q_nth")
+        part = F.col("q_first") + F.col("q_nth") % F.col("q_cuts")
+        copies = copies.select(*rows.columns, part.cast("int").alias("q_part"))
+        rows = written(rows.join(table, "q_text", "left_anti").withColumn("q_part", F.lit(0)).unionByName(copies))
     else:
-        pieces = [((r["q_block"], r["old_shard"], 0), r["old_shard"], r["s"]) for r in sums]
+        rows = rows.withColumn("q_part", F.lit(0))
+    keys = ["q_block", "old_shard", "q_part"]
+    sums = rows.groupBy(*keys).agg(F.sum("size").alias("s")).collect()   # at most a fixed number
+    pieces = [((r["q_block"], r["old_shard"], r["q_part"]), r["old_shard"], r["s"]) for r in sums]
     supply = [sum(s for _, old, s in pieces if old == i) for i in range(old_shards)]
     cost = [[int(i != j) for j in range(new_shards)] for i in range(old_shards)]
     placed = deal_blocks(pieces, min_cost_flow(supply, capacity, cost), capacity)
-    spark = docs.sparkSession
     table = spark.createDataFrame([(*k, j) for k, j in sorted(placed.items())],
                                   "q_block int, old_shard int, q_part int, shard int")
-    dealt = rows.join(F.broadcast(table), keys).drop("q_block", "q_part")
+    dealt = rows.join(F.broadcast(table), keys).drop("q_block", "q_part", "q_text")
     return (running_total(dealt, "shard", ["q_id", "text_crc32", "size"], out="slot")
             .select(F.col("q_id").alias(id_col), "size", "text_crc32", "old_shard", "shard", "slot"))
 

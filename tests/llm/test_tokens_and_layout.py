@@ -196,6 +196,23 @@ def test_rewrite_keeps_every_row_over_existing_files(spark, tmp_path):
     assert {(r.other, r.doc_id, r.text) for r in back} == {(o, i, t) for i, t, o, _ in rows}
 
 
+def test_texts_below_a_shard_are_split_where_they_would_unbalance(spark):
+    rows = [(None, "%d " % g * 50) for g in range(9) for _ in range(80)] + [(i, "t%d" % i) for i in range(200)]
+    load = {}
+    for r in reshard.reshard(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        load[r.shard] = load.get(r.shard, 0) + r["size"]
+    assert len(load) == 8 and max(load.values()) - min(load.values()) < 0.05 * sum(load.values()) / 8
+
+
+def test_texts_beside_a_hot_text_stay_together(spark):
+    texts = ["hot text " * 20] * 600 + ["t%d" % (i // 2) for i in range(400)]
+    home = {}
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in reshard.reshard(d, blocks=16).collect():
+        home.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert all(len(h) == 1 for t, h in home.items() if t[0] == "t") and len(home[texts[0]]) > 4
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 def brute_targets(sizes):
