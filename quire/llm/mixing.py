@@ -1,10 +1,11 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Each source's documents are put in a hash order and their words read as one stream, cut
-into blocks of equal length.  The mix is a sequence of slots; slot k holds the golden-ratio
-point frac((k + 1/2) / phi), which the cumulative weights of the sources map to a source.
+into blocks of a length of its own.  A source's number of slots follows from its target
+exactly; slots are numbered source after source, and golden-ratio points frac((k + 1/2) / phi)
+put them in order, so every prefix of the mix is in proportion and no slot is dropped.
 Slots of a source are ranked, and rank r reads block r mod (number of blocks) in epoch
-r div (number of blocks), so every prefix of the schedule is mixed in proportion.
+r div (number of blocks).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql.window import Window
 from .common import running_total, written
 
 GOLDEN = 0.6180339887498949
+LEAST_BLOCKS = 64            # a source has at least so many blocks, if it has the words
 BINS = 4096                  # equal parts of the unit interval in which slots meet sources
 
 
@@ -50,9 +52,9 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
 
 
 def schedule(sources: DataFrame, block_words: int) -> DataFrame:
-    """Slots (slot, q_src, q_block, q_epoch) of sources(q_src, q_total, target).
+    """Slots (slot, q_src, q_block, q_epoch) of sources(q_src, q_total, target), one block length for all.
 
-    A source of b blocks gets about b * target / size slots.
+    A source of b blocks gets about b * target / size slots, as the points fall; ``mix`` uses ``exact_schedule``.
     """
     blocks = F.ceil(F.col("q_total") / F.lit(block_words)).cast("long")
     unit = 1 << 16
@@ -77,17 +79,39 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
                          F.expr("q_turn div q_blocks").alias("q_epoch"))
 
 
+def exact_schedule(sources: DataFrame) -> DataFrame:
+    """Slots (point, q_src, q_block, q_epoch) of sources(q_src, q_total, q_length, target), to be read in order of point.
+
+    A source reads its whole epochs and, of the last one, the blocks of ``q_length`` words nearest to its target.
+    """
+    blocks = F.ceil(F.col("q_total") / F.col("q_length")).cast("long")
+    epochs = F.floor(F.col("target") / F.col("q_total")).cast("long")
+    rest = F.round((F.col("target") - epochs * F.col("q_total")) / F.col("q_length")).cast("long")
+    table = (sources.where("q_total > 0 and target > 0").withColumn("q_blocks", blocks)
+             .withColumn("q_slots", epochs * F.col("q_blocks") + F.least(rest, F.col("q_blocks"))).where("q_slots > 0"))
+    table = written(running_total(table.withColumn("q_all", F.lit("")), "q_all", ["q_src"], "q_slots", "q_low"))
+    some = 4096
+    runs = table.select("q_src", "q_blocks", "q_slots", "q_low", F.explode(F.sequence(
+        F.lit(0), F.expr(f"(q_slots - 1) div {some}"))).alias("q_run"))
+    at = runs.select("q_src", "q_blocks", F.explode(F.sequence(
+        F.col("q_low") + F.col("q_run") * some,
+        F.col("q_low") + F.least((F.col("q_run") + 1) * some, F.col("q_slots")) - 1)).alias("q_at"))
+    at = at.withColumn("point", F.pmod((F.col("q_at") + F.lit(0.5)) * F.lit(GOLDEN), F.lit(1.0)))
+    ranked = running_total(at, "q_src", ["point", "q_at"], out="q_turn")
+    return ranked.select("point", "q_src", (F.col("q_turn") % F.col("q_blocks")).alias("q_block"),
+                         F.expr("q_turn div q_blocks").alias("q_epoch"))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5,
         most: int = 2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", parts: int = 1 << 20, least_block: int = 16) -> tuple[DataFrame, DataFrame]:
     """(rows, pieces).  rows: one per input row with q_row, id, size, q_src, source_size, target.
 
     pieces: (q_row, q_epoch, words): the words of that row which the mix reads in that epoch,
-    always its first ones.  No row is read more than ``most`` times over: a schedule slot beyond
-    the last epoch of its source (the points overshoot by a few) stays empty.  Documents
+    always its first ones.  No row is read more than ``most`` times over.  Documents
     without words are never read.  A null source is a source of its own, after all others.
     Rows that repeat an id are read as documents of their own.  Block length is the number of
-    words over ``parts``, at least ``least_block``.
+    words over ``parts``, at least ``least_block``, but in a small source 1/64 of its words.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col)))
     sized = written(docs.select(F.col(id_col).alias("q_id"), words(text_col).alias("size"), key.alias("q_src"),
@@ -98,18 +122,19 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     block = max(least_block, total // parts)
     # ids are unique in a source and order unless rows repeat; then the size decides
     stream = running_total(sized, "q_src", ["q_order", "q_id", "size"], "size", "q_start")
-    rows = written(stream.join(table.select("q_src", F.col("q_total").alias("source_size"), "target"), "q_src")
+    table = table.withColumn("q_length", F.greatest(F.lit(1), F.least(
+        F.lit(block), F.expr(f"q_total div {LEAST_BLOCKS}"))).cast("long"))
+    rows = written(stream.join(table.select("q_src", F.col("q_total").alias("source_size"), "target", "q_length"), "q_src")
                    .withColumn("q_row", F.monotonically_increasing_id()))
-    slots = schedule(table, block).where(F.col("q_epoch") < most)
-    reads = slots.groupBy("q_src", "q_block", "q_epoch").agg(F.count("*").alias("q_n"))
+    reads = exact_schedule(table).select("q_src", "q_block", "q_epoch")
     end = F.col("q_start") + F.col("size")
     spans = rows.where("size > 0").select(
-        "q_row", "q_src", "q_start", end.alias("q_end"),
-        F.explode(F.sequence(F.expr(f"q_start div {block}"), F.expr(f"(q_start + size - 1) div {block}"))).alias("q_block"))
-    part = (F.least(F.col("q_end"), (F.col("q_block") + 1) * block)
-            - F.greatest(F.col("q_start"), F.col("q_block") * block))
+        "q_row", "q_src", "q_start", "q_length", end.alias("q_end"),
+        F.explode(F.sequence(F.expr("q_start div q_length"), F.expr("(q_start + size - 1) div q_length"))).alias("q_block"))
+    part = (F.least(F.col("q_end"), (F.col("q_block") + 1) * F.col("q_length"))
+            - F.greatest(F.col("q_start"), F.col("q_block") * F.col("q_length")))
     pieces = (spans.join(reads, ["q_src", "q_block"])
-              .groupBy("q_row", "q_epoch").agg(F.sum(part * F.col("q_n")).alias("words")))
+              .groupBy("q_row", "q_epoch").agg(F.sum(part).alias("words")))
     return rows, pieces
 
 

@@ -299,6 +299,31 @@ def test_mixing_odd_inputs(spark):
     assert mixing.mixed_documents(empty).count() == 0
 
 
+def test_small_sources_reach_their_targets(spark):
+    rows = [(i, "w " * (1 + i % 40), "host%03d" % i) for i in range(120)] + [(1000 + i, "w " * 500, "zz") for i in range(20)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for share, least in ((0.75, 16), (1.5, 5000)):
+        taken, goal = {}, {}
+        for r, (_, _, s) in zip(sorted(mixing.mix_table(d, share=share, least_block=least).collect()), rows):
+            taken[s] = taken.get(s, 0) + r.taken
+            goal[s] = r.target
+        assert all(abs(taken[s] - goal[s]) <= 0.5 + goal[s] / 64 for s in goal)
+
+
+def test_exact_schedule_is_mixed_in_every_prefix(spark):
+    table = spark.createDataFrame([("a", 1000, 1, 1300.0), ("b", 500, 1, 1000.0), ("c", 37, 2, 11.0)],
+                                  "q_src string, q_total long, q_length long, target double")
+    got = sorted(mixing.exact_schedule(table).collect())
+    want = {"a": 1300, "b": 1000, "c": 6}
+    seen = dict.fromkeys(want, 0)
+    for k, r in enumerate(got, 1):
+        blocks = {"a": 1000, "b": 500, "c": 19}[r.q_src]
+        assert (r.q_epoch, r.q_block) == divmod(seen[r.q_src], blocks)
+        seen[r.q_src] += 1
+        assert all(abs(seen[s] - k * want[s] / len(got)) < 8 for s in want)
+    assert seen == want
+
+
 # --- pipeline --------------------------------------------------------------------------------------
 
 def test_pipeline_stages_have_effect(spark, reference):
