@@ -155,8 +155,9 @@ class Run:
     def __init__(self, batch: pa.RecordBatch, led: bool):
         self.led = led
         col = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-        for n in ("q_conv", "q_seg", "q_p1", "q_p2", "q_on", "q_te", "q_tf", "q_at"):
+        for n in ("q_conv", "q_seg", "q_p1", "q_p2", "q_on", "q_te", "q_tf"):
             setattr(self, n[2:], col[n].to_numpy(zero_copy_only=False))
+        self.place = col["q_at"].to_numpy()
         offsets = col["q_g1"].offsets.to_numpy()
         self.off = offsets[:-1].astype(np.int64) - offsets[0]
         self.len = np.diff(offsets).astype(np.int64)
@@ -317,7 +318,7 @@ def pieces(run: Run, length: int) -> Iterator[pa.RecordBatch]:
     for k in some.tolist():
         start, stop = int(row[k]), int(row[k] + ends[k])
         if opened[k]:
-            lists += [(k, int(run.at_[at]), ",".join(map(str, run.conv[at:min(at + ENDS, stop)].tolist())))
+            lists += [(k, int(run.place[at]), ",".join(map(str, run.conv[at:min(at + ENDS, stop)].tolist())))
                       for at in range(start, stop, ENDS)]
         else:
             digest[k] = hashlib.sha256(",".join(map(str, run.conv[start:stop].tolist())).encode()).hexdigest()
@@ -358,10 +359,8 @@ def by_run(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
             if not led and before is not None and before[0] == run_no[a]:
                 part = pa.Table.from_batches([before[1], part]).combine_chunks().to_batches()[0]
                 led = True
-            run = Run(part, led)
-            run.at_ = part.column(part.schema.get_field_index("q_at")).to_numpy()
             before = (run_no[a], part.slice(part.num_rows - 1, 1))
-            yield run
+            yield Run(part, led)
 
 
 def carried_back(rows: DataFrame) -> DataFrame:
@@ -428,19 +427,19 @@ def trie(rows: DataFrame, length: int = SEGMENT) -> DataFrame:
     opened = (made.where(F.col("q_kind") == OPEN).groupBy(*NODE)
               .agg(F.max("q_y1").alias("q_y1"), F.max("q_y2").alias("q_y2"), F.min("q_least").alias("q_least"),
                    *[F.sum(c).alias(c) for c in ("q_count", "q_kids", "q_closes", "q_saves")],
-                   F.max("q_chars").alias("q_chars")))
+                   F.max("q_chars").alias("q_chars"), F.max("q_above").alias("q_above")))
     digests = listed_digests(made.where(F.col("q_kind") == LISTED))
     opened = written(opened.join(digests, NODE, "left")
                      .withColumn("q_ends", F.coalesce("q_digest", F.lit(NOTHING))).drop("q_digest"))
     cols = ["q_depth", "q_y1", "q_y2", "q_least", "q_count", "q_kids", "q_closes", "q_saves", "q_chars", "q_ends"]
     waiting = made.where(F.col("q_kind") == WAITING).select(*cols).unionByName(
-        opened.where("q_depth > 0").select(*cols))
+        opened.where("q_depth > 0 and q_above is null").select(*cols))
     parents = opened.select((F.col("q_depth") + 1).alias("q_depth"), F.col("q_x1").alias("q_y1"),
                             F.col("q_x2").alias("q_y2"), F.col("q_least").alias("q_above"))
     found = skew_join(waiting, parents, PARENT)
     out = (made.where(F.col("q_kind") == FINAL).select(*cols, "q_above")
            .unionByName(found.select(*cols, "q_above"))
-           .unionByName(opened.where("q_depth = 0").select(*cols, F.lit(None).cast("long").alias("q_above"))))
+           .unionByName(opened.where("q_depth = 0 or q_above is not null").select(*cols, "q_above")))
     return out.select(F.col("q_least").alias("conv_id"), F.col("q_depth").alias("depth"),
                       F.col("q_above").alias("parent_conv_id"), F.col("q_count").alias("n_convs"),
                       F.col("q_kids").alias("n_children"), (F.col("q_closes") + 1).alias("n_leaves"),
