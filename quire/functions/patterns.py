@@ -39,6 +39,11 @@ TITLE_END_PUNCT = ".!?,;:"
 
 WS = f"[{WS_CHARS}]"
 NON_WS = f"[^{WS_CHARS}]"
+# the same set for Java: one range test rules out nearly every other character
+WS_SPARK = rf"[\x00-\x20\x{{85}}-\x{{3000}}&&[{WS_CHARS}]]"
+# the same set as text
+WS_LIST = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                   0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 WS_NO_NL = WS.replace(r"\t\n", r"\t")
 WC = f"[{WC_CHARS}]"
 UPPER = rf"[\p{{Lu}}{UPPER_EXTRA}]"

@@ -20,8 +20,11 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def strip_ws(c: ColumnOrName) -> Column:
-    """Python ``str.strip()``: trims all 29 Unicode whitespace code points."""
-    return F.regexp_replace(_c(c), RX.STRIP, "")
+    """Python ``str.strip()``: trims all 29 Unicode whitespace code points.
+
+    Looks at both ends only, where a pattern would try every run of white space.
+    """
+    return F.btrim(_c(c), F.lit(RX.WS_LIST))
 
 
 def is_blank(c: ColumnOrName) -> Column:
@@ -37,7 +40,7 @@ def is_upper(c: ColumnOrName) -> Column:
 # P1
 def collapse_ws(c: ColumnOrName) -> Column:
     """Runs of whitespace to one space, stripped."""
-    return F.trim(F.regexp_replace(_c(c), RX.WS + "+", " "))
+    return F.trim(F.regexp_replace(_c(c), RX.WS_SPARK + "+", " "))
 
 
 # P2

@@ -22,6 +22,8 @@ from ..functions.rows import explode_with_pos
 PARAGRAPH_SEP = "\n\n"
 # Pages per first-level block when assembling page-numbered documents.
 PAGE_BLOCK = 4096
+# Sampled names per block of a group that is assembled by name.
+CUT_SAMPLE = 32
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -61,12 +63,81 @@ def ordered_join(df: DataFrame, keys: str | Sequence[str], order: str | Sequence
             .agg(joined(F.collect_list(F.struct("_blk", "_bp")), "_bp").alias(out)))
 
 
+def name_blocks(df: DataFrame, group: str | Sequence[str], order: str, blocks: int | None = None,
+                seed: int = 11) -> DataFrame:
+    """(group..., _cuts): for groups with a large share of all rows, names that cut them in blocks.
+
+    A first pass over the key columns alone samples rows (a quantile sketch: about ``CUT_SAMPLE``
+    rows per block, so its size is set by ``blocks`` and not by the data) and takes every
+    ``CUT_SAMPLE``-th name of a group as a cut.  Groups of under two blocks have none.
+    ``blocks`` (default: four per shuffle partition) is about the number of blocks the whole table
+    would have.  Cuts come as an array of arrays, for a two-step search.
+    """
+    spark, keys = df.sparkSession, _keys(group)
+    blocks = blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(*keys, F.col(order).alias("_name")).where(F.col("_name").isNotNull())
+    total = rows.count()
+    some = rows.where(F.rand(seed) < min(1.0, CUT_SAMPLE * blocks / max(total, 1))).toArrow().to_pylist()
+    by_group: dict[tuple, list] = {}
+    for r in some:
+        by_group.setdefault(tuple(r[k] for k in keys), []).append(r["_name"])
+    out = []
+    for g, names in by_group.items():
+        # distinct cuts; equal names never part
+        cuts = sorted(set(sorted(names)[CUT_SAMPLE::CUT_SAMPLE])) if len(names) >= 2 * CUT_SAMPLE else []
+        if cuts:
+            wide = max(1, int(len(cuts) ** 0.5))
+            out.append((*g, [cuts[i:i + wide] for i in range(0, len(cuts), wide)]))
+    fields = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys]
+    kind = df.schema[order].dataType.simpleString()
+    return spark.createDataFrame(out, f"{', '.join(fields)}, _cuts array<array<{kind}>>")
+
+
+def with_name_block(df: DataFrame, group: str | Sequence[str], order: str, cuts: DataFrame) -> DataFrame:
+    """Add ``_blk``: the number of the group's cuts at or before the row's name (0 without cuts).
+
+    At most as many cuts as blocks were asked for, so the broadcast has a set bound.  Names are
+    compared as ``sort_array`` does; a NULL name sorts first and is in block 0.
+    """
+    keys = _keys(group)
+    cuts = cuts.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_cuts")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_g{i}"))
+    rows, name = df.join(F.broadcast(cuts), same, "left"), F.col(order)
+    wide = F.size(F.element_at("_cuts", 1))
+    row = F.size(F.filter("_cuts", lambda x: F.element_at(x, 1) <= name))
+    inner = F.size(F.filter(F.element_at("_cuts", F.greatest(F.col("_row"), F.lit(1))), lambda x: x <= name))
+    return (rows.withColumn("_row", F.coalesce(row, F.lit(0)))
+            .withColumn("_blk", F.when(F.col("_cuts").isNull() | (F.col("_row") <= 0), F.lit(0))
+                        .otherwise((F.col("_row") - 1) * wide + inner))
+            .drop("_row", "_cuts", *[f"_g{i}" for i in range(len(keys))]))
+
+
 # A1
 def concat_docs(df: DataFrame, group: str | Sequence[str] = "group", order: str = "name",
-                text: str = "text", out: str = "text") -> DataFrame:
-    """Contents in order with a blank line after each one (the last one too)."""
+                text: str = "text", out: str = "text", cuts: DataFrame | None = None) -> DataFrame:
+    """Contents in order with a blank line after each one (the last one too).
+
+    With ``cuts`` (``name_blocks``) a large group is joined block by block on many tasks first.
+    """
+    pieces = df.withColumn("_piece", F.concat(F.col(text), F.lit(PARAGRAPH_SEP)))
+    if cuts is None:
+        return ordered_join(pieces, group, order, "_piece", "", out)
+    return ordered_join(with_name_block(pieces, group, order, cuts).withColumnRenamed("_blk", "_nb"),
+                        group, order, "_piece", "", out, block=F.col("_nb"))
+
+
+def concat_docs_parts(df: DataFrame, group: str | Sequence[str] = "group", order: str = "name",
+                      text: str = "text", cuts: DataFrame | None = None) -> DataFrame:
+    """First level of A1: (group, block, text); the parts of a group in ``block`` order, each followed by
+    a blank line (as ``write_ordered_parts`` writes them), are its A1 text."""
+    keys = _keys(group)
     pieces = df.withColumn("_piece", F.concat(F.col(text), F.lit(PARAGRAPH_SEP)))
-    return ordered_join(pieces, group, order, "_piece", "", out)
+    rows = with_name_block(pieces, keys, order, cuts if cuts is not None else name_blocks(df, keys, order))
+    parts = ordered_join(rows, [*keys, "_blk"], order, "_piece", "", "_t").where(F.col("_t") != "")
+    return parts.select(*keys, F.col("_blk").alias("block"),
+                        F.substr("_t", F.lit(1), F.length("_t") - len(PARAGRAPH_SEP)).alias("text"))
 
 
 # A6
@@ -142,21 +213,25 @@ def pages_to_text_parts(doc_pages: DataFrame, book: str = "book_id", page: str =
 
 def pages_to_text(doc_pages: DataFrame, book: str = "book_id", page: str = "page_no",
                   text: str = "text", error: str = "error",
-                  block_pages: int = PAGE_BLOCK) -> DataFrame:
-    """A2: one row per book: (book, text, n_pages).
+                  block_pages: int = PAGE_BLOCK, first: str | None = None) -> DataFrame:
+    """A2: one row per book: (book, text, n_pages[, first]).
 
     Pages in order (a NULL page number first); a failed page becomes ``[ERROR ON PAGE k]``
     with k its position in the selected range; NULL and empty pages are dropped; pages are
-    joined by a blank line.  Pages are numbered when the blocks of a book meet, so the
-    input is read once.
+    joined by a blank line.  The input is read once: a running count over the blocks of a book
+    numbers its pages, each block becomes one string, and the strings of a book are joined.  ``first``
+    names a column for the text of the first page (empty for NULL).
     """
     blocks = _page_blocks(doc_pages, book, page, text, error, block_pages)
-    block = F.struct("_blk", "_items")
-    books = blocks.groupBy(book).agg(F.sort_array(F.collect_list(block)).alias("_blocks"),
-                                     F.sum("_n").cast("bigint").alias("n_pages"))
-    books = books.withColumn("_items", F.flatten(F.col("_blocks._items")))
-    return books.select(book, F.array_join(_page_pieces(F.col("_items"), F.lit(0)), PARAGRAPH_SEP).alias("text"),
-                        "n_pages")
+    before = Window.partitionBy(book).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    lead = [F.coalesce(F.element_at("_items", 1)["text"], F.lit("")).alias("_first")] if first else []
+    strings = blocks.select(book, "_blk", "_n", *lead, F.array_join(
+        _page_pieces(F.col("_items"), F.col("_off")), PARAGRAPH_SEP).alias("_bt"))
+    joined = F.array_join(F.filter(F.sort_array(F.collect_list(F.struct("_blk", "_bt")))["_bt"],
+                                   lambda s: s != ""), PARAGRAPH_SEP)
+    return strings.groupBy(book).agg(joined.alias("text"), F.sum("_n").cast("bigint").alias("n_pages"),
+                                     *([F.min_by("_first", "_blk").alias(first)] if first else []))
 
 
 # A2b

@@ -8,30 +8,33 @@ Trenkle 1994); a missing n-gram costs 300; the smallest distance wins, ties by
 language code.  NULL text, text under 20 stripped characters and text without a
 letter are ``eng``.
 
-Scale: texts are dealt by document once; n-grams are then exploded piece by piece,
-counted by a hash aggregation and cut to 300 by a window, all in that partitioning, so
-no row holds more than one piece's n-grams.  Language profiles are bounded by
-300 x languages rows, checked before they are broadcast.
+Scale: n-grams are integers counted by sorting inside Arrow batches (``functions.ngrams``).
+Scoring is one narrow step: a document is a row, is read once and is not shuffled; the profiles, at most
+300 x languages rows and counted before, are a sorted index in every task.  Training
+sends (language, n-gram, count) rows, merged per task, to the shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..functions import ngrams as NG
 from ..functions import text as T
-from ..session import ensure_checkpoint_dir
 from ..functions.rows import explode_with_pos
 
 PROFILE_SIZE = 300
-NGRAM_MAX = 3
 MIN_CHARS = 20
-# Characters whose n-grams are generated at a time.
+# Characters whose n-grams are counted at a time.
 PIECE_CHARS = 1 << 16
 DEFAULT_LANG = "eng"
-# Largest profile table that is broadcast; beyond it the scoring join shuffles.
-BROADCAST_PROFILE_ROWS = 2_000_000
+# Largest profile table that every task holds (40 MB); beyond it scoring is a join.
+INDEX_PROFILE_ROWS = 2_000_000
 
 
 def sample(text: str | Column) -> Column:
@@ -39,110 +42,106 @@ def sample(text: str | Column) -> Column:
     return F.lower(T.collapse_ws(text))
 
 
-def _pieces(s: Column) -> Column:
-    """``s`` in pieces of ``PIECE_CHARS``, each with the n-gram overlap that follows it."""
-    last = F.floor(F.greatest(F.coalesce(F.length(s), F.lit(0)) - 1, F.lit(0)) / PIECE_CHARS).cast("int")
-    return F.transform(F.sequence(F.lit(0), last),
-                       lambda i: F.substring(s, i * PIECE_CHARS + 1, F.lit(PIECE_CHARS + NGRAM_MAX - 1)))
-
-
-def _ngrams(piece: Column) -> Column:
-    """All overlapping 1- to 3-grams that begin in a piece, generated by the regex engine.
-
-    A capturing look-ahead matches at every position and captures the next n
-    code points, so no per-element lambda runs.
-    """
-    return F.concat(*[F.regexp_extract_all(F.substring(piece, 1, PIECE_CHARS + n - 1),
-                                           F.lit(f"(?s)(?=(.{{{n}}}))"), 1)
-                      for n in range(1, NGRAM_MAX + 1)])
+def undetectable(text: str) -> Column:
+    """NULL, under 20 stripped characters, or without any letter: no language can be told."""
+    return F.coalesce((F.length(T.strip_ws(text)) < MIN_CHARS) | ~F.col(text).rlike(r"\p{L}"), F.lit(True))
 
 
-def explode_ngrams(df: DataFrame, keep: list[str], text: str, grams=_ngrams) -> DataFrame:
-    """(keep..., ngram): one row per n-gram, built piece by piece so that no row holds
-    the n-grams of a whole long text."""
-    pieces = explode_with_pos(df, keep, _pieces(F.col(text)), "_pk", "_piece")
-    return explode_with_pos(pieces, keep, grams(F.col("_piece")), "_k", "ngram").drop("_k")
+def _sampled(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """(keep..., _s): the sample, NULL when no language can be told."""
+    return docs.select(*keep, F.when(~undetectable(text), sample(text)).alias("_s"))
 
 
-def undetectable(text: str) -> Column:
-    """NULL, under 20 stripped characters, or without any letter: no language can be told."""
-    return F.coalesce((F.length(T.strip_ws(text)) < MIN_CHARS) | ~F.col(text).rlike(r"\p{L}"), F.lit(True))
+def _field(docs: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {docs.schema[n].dataType.simpleString()}" for n in names)
 
 
 def doc_profiles(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, _short, _rd, ngram): each document's 300 best n-grams, rank from 0.
 
     A document without a detectable language has the one n-gram ``''``, which no
-    profile holds, so that it keeps a row.  Documents are dealt by key before
-    their n-grams are made: counting and ranking then need no further shuffle.
+    profile holds, so that it keeps a row.
     """
-    src = docs.select(key, text).repartition(F.col(key)).select(
-        key, undetectable(text).alias("_short"), sample(text).alias("_s"))
-    grams = explode_ngrams(src, [key, "_short"], "_s",
-                           lambda p: F.when(F.col("_short"), F.array(F.lit(""))).otherwise(_ngrams(p)))
-    counts = grams.groupBy(key, "_short", "ngram").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(key).orderBy(F.desc("_c"), F.asc("ngram"))
-    return (counts.withColumn("_rd", F.row_number().over(w) - 1)
-            .where(F.col("_rd") < PROFILE_SIZE).drop("_c"))
+    size, piece = PROFILE_SIZE, PIECE_CHARS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = [[0] if t is None else NG.profile(t, size, piece) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).is_null(),
+                                              pa.array(codes, type=pa.list_(pa.int64()))],
+                                             names=[key, "_short", "_codes"])
+
+    rows = _sampled(docs, [key], text).mapInArrow(run, f"{_field(docs, [key])}, _short boolean, _codes array<bigint>")
+    return explode_with_pos(rows, [key, "_short"], "_codes", "_rd", "_code").select(
+        key, "_short", "_rd", NG.ngram_of("_code").alias("ngram"))
 
 
 def train_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, ngram, rank): the 300 best n-grams per language, rank from 0.
 
-    N-grams are exploded straight into a hash aggregation on (language, n-gram):
-    each task pre-counts its documents before the shuffle, so the shuffle carries
-    at most one row per (language, n-gram) per task.  The top-300 per language
-    runs as a window group limit, so every task keeps only 300 rows per language
-    before the final ranking.
+    Tasks merge the counts of their documents first, so the shuffle carries about one
+    row per (language, n-gram) and task.  The top 300 per language run as a window group
+    limit, so every task keeps only 300 rows per language before the final ranking.
     """
-    sampled = labelled.where(F.col(lang).isNotNull()).select(lang, sample(text).alias("_s"))
-    grams = explode_ngrams(sampled, [lang], "_s")
-    counts = grams.groupBy(lang, "ngram").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy(lang).orderBy(F.desc("cnt"), F.asc("ngram"))
+    sampled = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string"), sample(text))
+    counts = (sampled.mapInArrow(NG.training_counts(PIECE_CHARS), "lang string, code long, n long")
+              .groupBy("lang", "code").agg(F.sum("n").alias("cnt")))
+    w = Window.partitionBy("lang").orderBy(F.desc("cnt"), F.asc("code"))
     return (counts.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") <= PROFILE_SIZE)
-            .select(F.col(lang).alias("lang"), "ngram", (F.col("_rn") - 1).cast("int").alias("rank")))
+            .select("lang", NG.ngram_of("code").alias("ngram"), (F.col("_rn") - 1).cast("int").alias("rank")))
 
 
-def materialize_profiles(profiles: DataFrame) -> tuple[DataFrame, list[str], int]:
-    """Checkpoint the (small) profile table once and read its languages and size.
-
-    The checkpoint goes to the shared ``spark.checkpoint.dir``; training is not
-    repeated by the size check, the language list and the scoring join.
-    """
-    ensure_checkpoint_dir(profiles.sparkSession)
-    saved = profiles.checkpoint(eager=True)
-    stats = saved.groupBy("lang").count().collect()  # one row per language
-    return saved, sorted(r[0] for r in stats), sum(r[1] for r in stats)
+def profile_index(profiles: DataFrame) -> tuple | None:
+    """The profiles as plain arrays for ``NG.Profiles``; None for more than ``INDEX_PROFILE_ROWS`` rows."""
+    rows = (profiles.select("lang", NG.code_of("ngram").alias("code"), F.col("rank").cast("long").alias("rank"))
+            .limit(INDEX_PROFILE_ROWS + 1).toArrow())
+    if rows.num_rows > INDEX_PROFILE_ROWS:
+        return None
+    names = rows.column("lang").to_numpy()
+    langs, lang = np.unique(names.astype(str), return_inverse=True)
+    return langs.tolist(), lang, rows.column("code").to_numpy(), rows.column("rank").to_numpy(), PROFILE_SIZE
 
 
 def predict(docs: DataFrame, profiles: DataFrame, key: str = "doc_id", text: str = "text",
-            out: str = "lang_pred", langs: list[str] | None = None,
-            broadcast: bool | None = None) -> DataFrame:
-    """(key, out): nearest language profile per document (``eng`` for short text)."""
-    if langs is None or broadcast is None:
-        profiles, found, n_rows = materialize_profiles(profiles)
-        langs = langs or found
-        if broadcast is None:
-            broadcast = n_rows <= BROADCAST_PROFILE_ROWS
-    prof = profiles.select("ngram", "lang", F.col("rank").alias("_rl"))
-    prof = F.broadcast(prof) if broadcast else prof
+            out: str = "lang_pred", keep: list[str] | None = None) -> DataFrame:
+    """(key, keep..., out): nearest language profile per row (``eng`` for short text, or without profiles).
 
+    A narrow step, rows keep their order; training runs when this is called.  With more
+    profiles than a task should hold, rows meet them in a join by n-gram instead, and ``key`` must be unique.
+    """
+    keep = keep or []
+    index = profile_index(profiles)
+    if index is None:
+        scored = _predict_by_join(docs, profiles, key, text, out)
+        return docs.select(key, *keep).join(scored.withColumnRenamed(key, "_key"),
+                                            F.col(key).eqNullSafe(F.col("_key"))).select(key, *keep, out)
+    size, piece, default, profile, open_index = PROFILE_SIZE, PIECE_CHARS, DEFAULT_LANG, NG.profile, NG.Profiles
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = open_index(*shared.value)
+        for batch in batches:
+            told = [default if t is None or not known.langs else known.nearest(profile(t, size, piece))
+                    for t in batch.column(batch.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(told, type=pa.string())],
+                                             names=[*batch.schema.names[:-1], out])
+
+    return _sampled(docs, [key, *keep], text).mapInArrow(run, f"{_field(docs, [key, *keep])}, `{out}` string")
+
+
+def _predict_by_join(docs: DataFrame, profiles: DataFrame, key: str, text: str, out: str) -> DataFrame:
+    """(key, out) for any number of profiles: one distance row per (document, language)."""
+    prof = profiles.select("ngram", "lang", F.col("rank").alias("_rl"))
     rows = doc_profiles(docs, key, text)
-    matched = rows.join(prof, "ngram", "left")
-    diff = F.abs(F.col("_rd") - F.col("_rl"))
-    aggs = [F.first("_short").alias("_short"), (F.max("_rd") + 1).alias("_n")]
-    for i, lg in enumerate(langs):
-        hit = F.col("lang") == lg
-        aggs.append(F.sum(F.when(hit, diff)).alias(f"_d{i}"))
-        aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"_m{i}"))
-    per_doc = matched.groupBy(key).agg(*aggs)
-    dists = [F.struct((F.coalesce(F.col(f"_d{i}"), F.lit(0))
-                       + PROFILE_SIZE * (F.col("_n") - F.col(f"_m{i}"))).alias("d"),
-                      F.lit(lg).alias("lang"))
-             for i, lg in enumerate(langs)]
-    best = F.least(*dists)["lang"] if len(dists) > 1 else dists[0]["lang"]
-    return per_doc.select(key, F.when(F.col("_short"), F.lit(DEFAULT_LANG)).otherwise(best).alias(out))
+    gains = (rows.join(prof, "ngram").groupBy(key, "lang")
+             .agg(F.sum(F.abs(F.col("_rd") - F.col("_rl")) - PROFILE_SIZE).alias("_g")))
+    best = gains.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct("_g", "lang"))["lang"].alias("_best"))
+    first = profiles.agg(F.min("lang").alias("_first"))
+    return (rows.where("_rd = 0").select(key, "_short")
+            .join(best, F.col(key).eqNullSafe(F.col("_key")), "left").join(F.broadcast(first))
+            .select(key, F.when(F.col("_short"), F.lit(DEFAULT_LANG))
+                    .otherwise(F.coalesce("_best", "_first")).alias(out)))
 
 
 def holdout_split(labelled: DataFrame, key: str = "doc_id", holdout_mod: int = 5):
@@ -178,14 +177,18 @@ def lang_map_join(df: DataFrame, lang_map: DataFrame, iso: str = "lang_pred",
 
 
 # W3
+def first_page_text(text: str = "text", page: str = "page_no") -> Column:
+    """Aggregate: the text of a book's first page (a NULL number comes first, as in A2), empty for NULL."""
+    return F.min_by(F.coalesce(F.col(text), F.lit("")), F.struct(page))
+
+
 def document_language(doc_pages: DataFrame, profiles: DataFrame, book: str = "book_id",
-                      page: str = "page_no", text: str = "text", given: str | None = None,
-                      langs: list[str] | None = None) -> DataFrame:
+                      page: str = "page_no", text: str = "text", given: str | None = None) -> DataFrame:
     """(book, lang, ocr_lang): the language of each book's first selected page,
     ``given`` as it is (no mapping) when the caller fixes one, ``eng`` when the page is missing or short."""
     if given:
         books = doc_pages.select(book).distinct()
         return books.select(book, F.lit(given).alias("lang"), F.lit(given).alias("ocr_lang"))
-    first = doc_pages.groupBy(book).agg(F.min_by(F.coalesce(F.col(text), F.lit("")), F.col(page)).alias("_t"))
-    pred = predict(first, profiles, key=book, text="_t", out="lang", langs=langs)
+    first = doc_pages.groupBy(book).agg(first_page_text(text, page).alias("_t"))
+    pred = predict(first, profiles, key=book, text="_t", out="lang")
     return pred.select(book, "lang", T.map_lang_code("lang").alias("ocr_lang"))

@@ -1,7 +1,8 @@
 """Composed flows (Q1-Q5) from input table to result.
 
-Flows that identify languages (Q1) or summarize (Q5) run jobs while they are built: language
-profiles and the summarizer's sentence table are checkpointed.  The others are lazy.
+Flows that identify languages (Q1) or summarize (Q5) run a job while they are built: language
+profiles, and tokens that most sections hold, come first.  The others are lazy, but for
+the names that cut large archives (Q2).
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import assemble as AS
 from ..operators import chapters as CH
 from ..operators import entries as EN
@@ -24,17 +26,18 @@ def pages_to_book(doc_pages: DataFrame, profiles: DataFrame | None = None,
                   author: str | None = None) -> DataFrame:
     """Q1: page range (S4) -> document language (W3) -> book text (A2) -> Markdown (A4).
 
-    (book_id, lang, ocr_lang, n_pages, text[, md]).  Without ``profiles`` and
+    (book_id, lang, ocr_lang, n_pages, text[, md]).  A NULL book is a book like others.  Without ``profiles`` and
     ``language`` the language columns are ``eng``.
     """
     sel = TB.select_pages(doc_pages, *(pages or (None, None)))
-    books = AS.pages_to_text(sel)
-    if profiles is not None or language:
-        lang = LI.document_language(sel, profiles, given=language)
+    if profiles is not None and not language:
+        # the first page rides along with the text, so pages are read once
+        books = AS.pages_to_text(sel, first="_page1")
+        out = LI.predict(books, profiles, "book_id", "_page1", "lang", keep=["n_pages", "text"])
+        out = out.withColumn("ocr_lang", T.map_lang_code("lang"))
     else:
-        lang = sel.select("book_id").distinct().select(
-            "book_id", F.lit(LI.DEFAULT_LANG).alias("lang"), F.lit(LI.DEFAULT_LANG).alias("ocr_lang"))
-    out = books.join(lang, "book_id")
+        known = F.lit(language or LI.DEFAULT_LANG)
+        out = AS.pages_to_text(sel).withColumns({"lang": known, "ocr_lang": known})
     if skip_markdown:
         return out.select("book_id", "lang", "ocr_lang", "n_pages", "text")
     out = out.withColumn("_title", F.lit(title).cast("string")).withColumn("_author", F.lit(author).cast("string"))

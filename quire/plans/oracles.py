@@ -114,14 +114,18 @@ def first_equal_sql(src: str) -> str:
 SELECT doc_id, CAST(seq AS INTEGER) AS seq, CAST(first_equal AS INTEGER) AS first_equal FROM y"""
 
 
-def validate_sql() -> str:
+def _validation(src: str, keys: str) -> str:
     cut = q(RX.chapter_cut(1, "duckdb"))
     parts = f"len(regexp_split_to_array(md, {cut})) - 1"
     reason = (f"CASE WHEN md IS NULL OR NOT {S.rlike('md', RX.NON_WS)} THEN 'document without text' "
               f"WHEN {parts} = 0 THEN 'no line starts a chapter with ''# ''' END")
-    return f"""WITH src AS (SELECT 'md_raw' AS source, doc_id, md FROM ({corpus_sql('md_raw')})
-                  UNION ALL SELECT 'documents', doc_id, text FROM documents)
-SELECT source, doc_id, {reason} IS NULL AS ok, {reason} AS reason FROM src"""
+    return f"""WITH src AS ({src})
+SELECT {keys}, {reason} IS NULL AS ok, {reason} AS reason FROM src"""
+
+
+def validate_sql() -> str:
+    return _validation(f"""SELECT 'md_raw' AS source, doc_id, md FROM ({corpus_sql('md_raw')})
+                  UNION ALL SELECT 'documents', doc_id, text FROM documents""", "source, doc_id")
 
 
 register("E2_split_chapters", split_chapters_sql(corpus_sql("md_raw")))
@@ -141,7 +145,11 @@ def _pages_src(ranged: bool) -> str:
 
 
 def pages_to_text_sql(ranged: bool) -> str:
-    return f"""WITH src AS ({_pages_src(ranged)}),
+    return _pages_text(_pages_src(ranged))
+
+
+def _pages_text(src: str) -> str:
+    return f"""WITH src AS ({src}),
 r AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY page_no) AS pos FROM src),
 x AS (SELECT book_id, page_no,
              CASE WHEN error IS NOT NULL THEN '[ERROR ON PAGE ' || CAST(pos AS VARCHAR) || ']' ELSE text END AS piece
@@ -288,8 +296,9 @@ SELECT CAST(count(*) AS BIGINT) AS n_eval, CAST(sum(CASE WHEN lang_pred = truth
 FROM pred WHERE doc_id % 5 = 0 AND truth IS NOT NULL""")
 register("J1_lang_map_join", f"""SELECT lang, {_ocr('lang')} AS ocr_lang, CAST(count(*) AS BIGINT) AS n
 FROM documents GROUP BY lang""")
-register("W3_document_language", f"""WITH {_langid_ctes()},
-bp AS ({corpus_sql('book_pages')}),
+def document_language_sql(pages: str) -> str:
+    return f"""WITH {_langid_ctes()},
+bp AS ({pages}),
 fp AS (SELECT book_id, coalesce(arg_min(coalesce(text, ''), page_no), '') AS text FROM bp GROUP BY book_id),
 fs AS (SELECT book_id, {smp_expr()} AS smp, {_undetectable()} AS short FROM fp),
 fg AS (SELECT book_id, unnest({grams_expr()}) AS ngram FROM fs),
@@ -302,18 +311,21 @@ fdist AS (SELECT d.book_id, l.lang, sum(coalesce(abs(d.rd - p.rl), 300)) AS dd
 fbest AS (SELECT book_id, lang FROM (SELECT book_id, lang, row_number() OVER (PARTITION BY book_id ORDER BY dd, lang) AS k
                                      FROM fdist) WHERE k = 1),
 fl AS (SELECT fs.book_id, CASE WHEN fs.short THEN 'eng' ELSE fbest.lang END AS lang
-       FROM fs LEFT JOIN fbest ON fs.book_id = fbest.book_id)
-SELECT book_id, lang, {_ocr('lang')} AS ocr_lang FROM fl""")
+       FROM fs LEFT JOIN fbest ON fs.book_id IS NOT DISTINCT FROM fbest.book_id)
+SELECT book_id, lang, {_ocr('lang')} AS ocr_lang FROM fl"""
+
+
+register("W3_document_language", document_language_sql(corpus_sql("book_pages")))
 
 
 _W5 = split_chapters_sql(corpus_sql("md_raw"), last_wins=True)
 
 
-def summary_sql(k: int = 3) -> str:
+def summary_sql(k: int = 3, chapters: str = _W5) -> str:
     sl = S.sentences("body")
     toks = f"regexp_extract_all(lower(sentence), {q(RX.TOKEN)})"
     return f"""
-ch AS ({_W5}),
+ch AS ({chapters}),
 se AS (SELECT doc_id, seq, unnest({sl}) AS sentence, generate_subscripts({sl}, 1) - 1 AS s FROM ch),
 tk AS (SELECT doc_id, seq, s, sentence, {toks} AS toks FROM se),
 al AS (SELECT doc_id, seq, s, unnest(toks) AS token FROM tk),
@@ -354,12 +366,18 @@ _A3 = ORACLES["A3_entries_to_text"]
 register("Q2_archive_to_book", text_to_markdown_sql(
     f"SELECT book_id AS doc_id, text, NULL AS title, NULL AS author FROM ({_A3})").replace(
     "SELECT src.doc_id,", "SELECT src.doc_id AS book_id,"))
-_A2 = pages_to_text_sql(False)
-register("Q1_pages_to_book", f"""SELECT a.book_id, w.lang, w.ocr_lang, a.n_pages, a.text, m.md
-FROM ({_A2}) a
-JOIN ({ORACLES['W3_document_language']}) w ON a.book_id = w.book_id
-JOIN ({text_to_markdown_sql(f"SELECT book_id AS doc_id, text, NULL AS title, NULL AS author FROM ({_A2})")}) m
-  ON m.doc_id = a.book_id""")
+
+
+def pages_to_book_sql(pages: str) -> str:
+    a2 = _pages_text(pages)
+    return f"""SELECT a.book_id, w.lang, w.ocr_lang, a.n_pages, a.text, m.md
+FROM ({a2}) a
+JOIN ({document_language_sql(pages)}) w ON a.book_id IS NOT DISTINCT FROM w.book_id
+JOIN ({text_to_markdown_sql(f"SELECT coalesce(book_id, -1) AS doc_id, text, NULL AS title, NULL AS author FROM ({a2})")}) m
+  ON m.doc_id = coalesce(a.book_id, -1)"""
+
+
+register("Q1_pages_to_book", pages_to_book_sql(_pages_src(False)))
 
 
 _BT_PARAS = f"WITH {_paragraph_rows(corpus_sql('book_text'))}"
@@ -425,3 +443,24 @@ def _chapters_level2_sql() -> str:
 
 
 register("E2_chapters_of_converted_text", _chapters_level2_sql())
+
+
+# Corpora on which branches fire that the plain tables never reach.
+_ODD = corpus_sql("md_odd")
+register("E2_split_chapters_odd", split_chapters_sql(_ODD))
+register("W5_last_slug_wins_odd", split_chapters_sql(_ODD, last_wins=True))
+register("W6_first_equal_chapter_odd", first_equal_sql(_ODD))
+register("H7_validate_markdown_odd", _validation(_ODD, "doc_id"))
+register("M3_store_summaries_odd",
+         f"WITH {summary_sql(chapters=split_chapters_sql(_ODD, last_wins=True))} SELECT doc_id, seq, out_name, text FROM stored")
+register("P14_map_lang_code_odd", f"SELECT doc_id, {_ocr('lang')} AS ocr_lang FROM ({corpus_sql('lang_odd')})")
+register("J1_lang_map_join_odd", f"""SELECT lang, {_ocr('lang')} AS ocr_lang, CAST(count(*) AS BIGINT) AS n
+FROM ({corpus_sql('lang_odd')}) GROUP BY lang""")
+_EXT2 = f"lower({_suffix('name')})"
+register("H6_route_by_format_odd", f"""SELECT doc_id,
+  CASE {_EXT2} WHEN '.epub' THEN 'epub' WHEN '.pdf' THEN 'pdf' END AS route,
+  CASE WHEN {_EXT2} NOT IN ('.epub', '.pdf') THEN 'no reader for format ' || {_EXT2} END AS reject_reason,
+  CASE WHEN ends_with(lower(name), '.txt') THEN 'text' END AS text_route
+FROM ({corpus_sql('file_names')})""")
+register("P12_item_title_odd", f"WITH {_items_cte(corpus_sql('items_odd'))} SELECT book_id, item_seq, item_title FROM it")
+register("Q1_pages_to_book_odd", pages_to_book_sql(corpus_sql("pages_odd")))

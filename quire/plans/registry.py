@@ -387,3 +387,62 @@ def e2_chapters_of_converted_text(spark, sf_dir):
     """A4 output cut at ``## `` headers (its title level is 1, headers start at 2)."""
     md = MDOP.text_to_markdown(C.book_text(spark, sf_dir)).select("doc_id", "md")
     return CH.split_chapters(md, level=2)
+
+
+# Corpora on which branches fire that the plain tables never reach.
+def _md_odd(spark, sf_dir):
+    return C.corpus(spark, "md_odd", sf_dir)
+
+
+@query("E2_split_chapters_odd")
+def e2_odd(spark, sf_dir):
+    return CH.split_chapters(_md_odd(spark, sf_dir))
+
+
+@query("W5_last_slug_wins_odd")
+def w5_odd(spark, sf_dir):
+    return CH.last_slug_wins(_md_odd(spark, sf_dir))
+
+
+@query("W6_first_equal_chapter_odd")
+def w6_odd(spark, sf_dir):
+    return CH.first_equal_chapter(_md_odd(spark, sf_dir))
+
+
+@query("H7_validate_markdown_odd")
+def h7_odd(spark, sf_dir):
+    return CH.validate_markdown(_md_odd(spark, sf_dir))
+
+
+@query("M3_store_summaries_odd")
+def m3_odd(spark, sf_dir):
+    ch = CH.last_slug_wins(_md_odd(spark, sf_dir))
+    return SU.store_summaries(SU.extractive_summary(ch), ch)
+
+
+@query("P14_map_lang_code_odd")
+def p14_odd(spark, sf_dir):
+    return C.corpus(spark, "lang_odd", sf_dir).select("doc_id", T.map_lang_code("lang").alias("ocr_lang"))
+
+
+@query("J1_lang_map_join_odd")
+def j1_odd(spark, sf_dir):
+    counts = AS.corpus_counts(C.corpus(spark, "lang_odd", sf_dir), "lang")
+    return LI.lang_map_join(counts, LI.lang_map_table(spark), iso="lang").select("lang", "ocr_lang", "n")
+
+
+@query("H6_route_by_format_odd")
+def h6_odd(spark, sf_dir):
+    r, t = T.route_by_format("name"), T.route_by_format("name", text_only=True)
+    return C.corpus(spark, "file_names", sf_dir).select(
+        "doc_id", r["route"].alias("route"), r["reject_reason"].alias("reject_reason"), t["route"].alias("text_route"))
+
+
+@query("P12_item_title_odd")
+def p12_odd(spark, sf_dir):
+    return EN.item_markdown(C.corpus(spark, "items_odd", sf_dir)).select("book_id", "item_seq", "item_title")
+
+
+@query("Q1_pages_to_book_odd")
+def q1_odd(spark, sf_dir):
+    return BK.pages_to_book(C.corpus(spark, "pages_odd", sf_dir), language_profiles(spark, sf_dir))

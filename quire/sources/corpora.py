@@ -73,7 +73,59 @@ SELECT regexp_extract(url, '://([^/?#]+)', 1) AS book_id,
 FROM {pages}
 """
 
+# Markdown on which every branch of cutting, naming, validating and summarizing fires: repeated
+# unnamed chapters, empty titles, empty bodies, texts without a chapter, blank and empty texts.
+MD_ODD_SQL = """
+SELECT doc_id,
+       CASE doc_id % 7
+         WHEN 0 THEN concat('# ???', chr(10), text, chr(10), '# ???', chr(10), text, chr(10), '# !!!', chr(10), 'x', chr(10),
+                            '# ???', chr(10), text, chr(10))
+         WHEN 1 THEN concat('#   ', chr(10), chr(10), '  ', chr(10), '# Named', chr(10), text, chr(10), '# ', chr(9), chr(10))
+         WHEN 2 THEN concat('# Empty', chr(10), ' ', chr(10), '# Full', chr(10), text)
+         WHEN 3 THEN concat('## Deeper', chr(10), text)
+         WHEN 4 THEN concat(' ', chr(10), chr(9))
+         WHEN 5 THEN ''
+         ELSE concat('# Same', chr(10), 'early', chr(10), '# Same!', chr(10), text) END AS md
+FROM {documents}
+"""
+
+LANG_ODD_SQL = """
+SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'zh' WHEN 1 THEN 'ja' WHEN 2 THEN 'ko' WHEN 3 THEN 'ru' WHEN 4 THEN 'ar'
+                               WHEN 5 THEN 'hi' WHEN 6 THEN 'fa' ELSE lang END AS lang
+FROM {documents}
+"""
+
+FILE_NAMES_SQL = """
+SELECT doc_id, concat('shelf.v1/Book ', CAST(doc_id AS VARCHAR(20)),
+                      CASE doc_id % 6 WHEN 0 THEN '.PDF' WHEN 1 THEN '.epub' WHEN 2 THEN '.TXT' WHEN 3 THEN ''
+                                      WHEN 4 THEN '.tar.Epub' ELSE '.docx' END) AS name
+FROM {documents}
+"""
+
+# Pages of which a third have lost their headings, so that their items have no title.
+ITEMS_ODD_SQL = """
+SELECT regexp_extract(url, '://([^/?#]+)', 1) AS book_id, regexp_extract(url, '://([^/?#]+)', 1) AS book_title,
+       CAST(page_id AS INT) AS item_seq,
+       CAST(page_id AS VARCHAR(20)) AS item_id,
+       CASE WHEN page_id % 3 = 0 THEN concat('<p>', regexp_extract(html, '<p>([^<#]*)', 1), '</p>') ELSE html END AS html
+FROM {pages}
+"""
+
+# One book in eleven has no number; some books have no first page text.
+PAGES_ODD_SQL = """
+SELECT CASE WHEN FLOOR(doc_id / 10) % 11 = 5 THEN NULL ELSE CAST(FLOOR(doc_id / 10) AS BIGINT) END AS book_id,
+       CAST(doc_id + 1 AS INT) AS page_no,
+       CASE WHEN doc_id % 30 = 0 THEN NULL ELSE text END AS text,
+       CASE WHEN doc_id % 30 = 0 THEN 'decode failed' END AS error
+FROM {documents}
+"""
+
 CORPORA = {
+    "md_odd": (MD_ODD_SQL, "documents"),
+    "lang_odd": (LANG_ODD_SQL, "documents"),
+    "file_names": (FILE_NAMES_SQL, "documents"),
+    "items_odd": (ITEMS_ODD_SQL, "pages"),
+    "pages_odd": (PAGES_ODD_SQL, "documents"),
     "book_pages": (BOOK_PAGES_SQL, "documents"),
     "book_text": (BOOK_TEXT_SQL, "documents"),
     "md_raw": (MD_RAW_SQL, "documents"),

@@ -68,3 +68,16 @@ def test_map_lang_code(spark):
 
 def test_sentences(spark):
     assert one(spark, T.split_sentences("x"), "A b. C d! E?  F") == ["A b.", "C d!", "E?", "F"]
+
+
+def test_white_space_is_the_same_set_everywhere(spark):
+    from pyspark.sql import functions as F
+    from quire.functions import patterns as RX
+    points = [c for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([(c, chr(c)) for c in points], "c int, x string")
+    py = {c for c in points if chr(c).isspace()}
+    assert set(map(ord, RX.WS_LIST)) == py and len(RX.WS_LIST) == 29
+    for pattern in (RX.WS, RX.WS_SPARK):
+        assert {r.c for r in df.where(F.col("x").rlike(pattern)).collect()} == py
+    got = df.select("x", T.strip_ws(F.concat("x", F.lit(" a b\t"), "x")).alias("s"), T.strip_ws("x").alias("e")).collect()
+    assert all((r.s, r.e) == ((r.x + " a b\t" + r.x).strip(), r.x.strip()) for r in got)
