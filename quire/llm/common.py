@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,6 +36,17 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with q_row, a number of its own for every row, however rows repeat."""
+    return written(docs.withColumn("q_row", F.monotonically_increasing_id()))
+
+
+def rank_of(id_col: str) -> Column:
+    """Which of several rows stays: the least id, null ids last, then the least q_row."""
+    c = F.col(id_col)
+    return F.struct(c.isNull().alias("n"), c.alias("i"), F.col("q_row").alias("r"))
+
+
 def drop_written(spark: SparkSession) -> None:
     """Delete the tables that ``written`` left; call it once the results are stored."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(

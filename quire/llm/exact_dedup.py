@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, marked_by, skew_join, written
+from .common import SPACE, marked_by, numbered, rank_of, skew_join, written
+
 
 def normalised(text: str) -> Column:
     """Null as empty; each run of U+0020, U+0009-U+000D as one space."""
@@ -63,10 +64,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose text occurs under a smaller id; columns unchanged.
+    """``docs`` with one row of each group of equal texts; columns unchanged.
 
-    Rows with a null id are never dropped.
+    The row of least id stays, null ids last; rows are told apart by a number, so a row whose id
+    also occurs with another text is judged by its own text, and of rows that repeat id and text one stays.
     """
-    gone = (exact_groups(docs, id_col, text_col, **options).where(~F.col("kept"))
-            .select(F.col(id_col).alias("q_gone")))
-    return docs.join(gone, docs[id_col] == F.col("q_gone"), "left_anti")
+    rows = numbered(docs)
+    found = exact_groups(rows.select(rank_of(id_col).alias("q_rank"), F.col(text_col).alias("q_text")),
+                         "q_rank", "q_text", **options)
+    gone = found.where(~F.col("kept")).select(F.col("q_rank.r").alias("q_row"))
+    return rows.join(gone, "q_row", "left_anti").select(*docs.columns)

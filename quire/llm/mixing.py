@@ -1,11 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Each source's documents are put in a hash order and their words read as one stream, cut
-into blocks of a length of its own.  A source's number of slots follows from its target
-exactly; slots are numbered source after source, and golden-ratio points frac((k + 1/2) / phi)
-put them in order, so every prefix of the mix is in proportion and no slot is dropped.
-Slots of a source are ranked, and rank r reads block r mod (number of blocks) in epoch
-r div (number of blocks).
+Each source's documents are put in a hash order and their words read as one stream, cut in
+blocks of one length for all sources.  Every epoch reads a source's blocks in a new hash order, until its
+target is reached; the last block may be read in part, so targets are met to the word.
+The mix has as many slots as blocks are read.  Slot k stands at the golden-ratio point
+frac((k + 1/2) * 0.618...); the rank of that point among all is a place in the cumulative slot counts of
+the sources and names the slot's source.  So counts are exact and every run of slots is
+close to proportion.  Slots are then ranked per source, and the r-th slot of a source
+joins the r-th of its shuffled blocks.
 """
 
 from __future__ import annotations
@@ -14,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import running_total, written
+from .common import numbered, running_total, written
 
 GOLDEN = 0.6180339887498949
-LEAST_BLOCKS = 64            # a source has at least so many blocks, if it has the words
-BINS = 4096                  # equal parts of the unit interval in which slots meet sources
+BINS = 4096                  # equal parts of the places in which slots meet sources
+RUN = 4096                   # blocks that one row unfolds to
 
 
 def words(text: str) -> Column:
@@ -51,124 +53,118 @@ def targets(sources: DataFrame, weights: tuple[float, ...], share: float, most:
     return table.withColumn("target", F.least(F.col("q_weight") * F.lit(rate), stop))
 
 
-def schedule(sources: DataFrame, block_words: int) -> DataFrame:
-    """Slots (slot, q_src, q_block, q_epoch) of sources(q_src, q_total, target), one block length for all.
+def block_order(sources: DataFrame, block_words: int, most: int, seed: int) -> DataFrame:
+    """Reads (q_src, q_turn, q_epoch, q_block, q_take) of sources(q_src, q_total, target).
 
-    A source of b blocks gets about b * target / size slots, as the points fall; ``mix`` uses ``exact_schedule``.
+    The blocks of a source in the order they are read: epoch after epoch, shuffled by a hash in
+    each, until round(target) words are reached; ``q_take`` words of a block are read, all but in the last.
     """
-    blocks = F.ceil(F.col("q_total") / F.lit(block_words)).cast("long")
-    unit = 1 << 16
-    table = (sources.where("q_total > 0 and target > 0").withColumn("q_blocks", blocks)
-             .withColumn("q_share", F.round(F.col("q_blocks") * F.col("target") / F.col("q_total") * unit).cast("long")))
-    table = written(running_total(table.withColumn("q_all", F.lit("")), "q_all", ["q_src"], "q_share", "q_low"))
-    total = table.agg(F.sum("q_share")).first()[0] or 0
-    slots = round(total / unit)
-    spark = sources.sparkSession
-    bin_size = max(1, -(-total // BINS))
-    point = F.pmod((F.col("id") + F.lit(0.5)) * F.lit(GOLDEN), F.lit(1.0))
-    place = F.least((point * total).cast("long"), F.lit(max(0, total - 1)))
-    at = spark.range(slots).select(F.col("id").alias("slot"), place.alias("q_at"))
-    at = at.withColumn("q_bin", F.expr(f"q_at div {bin_size}"))
-    high = F.col("q_low") + F.col("q_share")
-    spans = (table.where("q_share > 0").select(
-        "q_src", "q_blocks", "q_low", high.alias("q_high"),
-        F.explode(F.sequence(F.expr(f"q_low div {bin_size}"), F.expr(f"(q_low + q_share - 1) div {bin_size}"))).alias("q_bin")))
-    hit = at.join(spans, "q_bin").where("q_at >= q_low and q_at < q_high").select("slot", "q_src", "q_blocks")
-    ranked = running_total(hit, "q_src", ["slot"], out="q_turn")
-    return ranked.select("slot", "q_src", (F.col("q_turn") % F.col("q_blocks")).alias("q_block"),
-                         F.expr("q_turn div q_blocks").alias("q_epoch"))
-
-
-def exact_schedule(sources: DataFrame) -> DataFrame:
-    """Slots (point, q_src, q_block, q_epoch) of sources(q_src, q_total, q_length, target), to be read in order of point.
-
-    A source reads its whole epochs and, of the last one, the blocks of ``q_length`` words nearest to its target.
+    goal = F.round("target").cast("long")
+    table = (sources.where("q_total > 0").withColumn("q_goal", F.least(goal, F.col("q_total") * most)).where("q_goal > 0")
+             .withColumn("q_blocks", F.expr(f"(q_total + {block_words - 1}) div {block_words}"))
+             .withColumn("q_epochs", F.expr("(q_goal + q_total - 1) div q_total")))
+    runs = table.select("q_src", "q_total", "q_goal", "q_blocks", F.explode(F.sequence(F.lit(0), F.col("q_epochs") - 1)).alias("q_epoch"))
+    runs = runs.select("*", F.explode(F.sequence(F.lit(0), F.expr(f"(q_blocks - 1) div {RUN}"))).alias("q_run"))
+    blocks = runs.select("q_src", "q_total", "q_goal", "q_blocks", "q_epoch", F.explode(F.sequence(
+        F.col("q_run") * RUN, F.least((F.col("q_run") + 1) * RUN, F.col("q_blocks")) - 1)).alias("q_block"))
+    blocks = (blocks.withColumn("q_mix", F.xxhash64("q_src", "q_epoch", "q_block", F.lit(seed)))
+              .withColumn("q_len", F.least(F.lit(block_words), F.col("q_total") - F.col("q_block") * block_words).cast("long")))
+    read = running_total(blocks, "q_src", ["q_epoch", "q_mix", "q_block"], "q_len", "q_read").where("q_read < q_goal")
+    # every block but one of a source is full, so the words read before tell how many blocks were
+    turn = F.col("q_epoch") * F.col("q_blocks") + F.expr(
+        f"(q_read - q_epoch * q_total + {block_words - 1}) div {block_words}")
+    return read.select("q_src", turn.cast("long").alias("q_turn"), F.col("q_epoch").cast("long").alias("q_epoch"), "q_block",
+                       F.least("q_len", F.col("q_goal") - F.col("q_read")).alias("q_take"))
+
+
+def schedule(counts: DataFrame, golden: float = GOLDEN) -> DataFrame:
+    """Slots (slot, q_src, q_turn) of counts(q_src, q_slots): which source's next block each slot reads.
+
+    Slot k has the source in whose span of the cumulative counts the rank of its point falls.
     """
-    blocks = F.ceil(F.col("q_total") / F.col("q_length")).cast("long")
-    epochs = F.floor(F.col("target") / F.col("q_total")).cast("long")
-    rest = F.round((F.col("target") - epochs * F.col("q_total")) / F.col("q_length")).cast("long")
-    table = (sources.where("q_total > 0 and target > 0").withColumn("q_blocks", blocks)
-             .withColumn("q_slots", epochs * F.col("q_blocks") + F.least(rest, F.col("q_blocks"))).where("q_slots > 0"))
-    table = written(running_total(table.withColumn("q_all", F.lit("")), "q_all", ["q_src"], "q_slots", "q_low"))
-    some = 4096
-    runs = table.select("q_src", "q_blocks", "q_slots", "q_low", F.explode(F.sequence(
-        F.lit(0), F.expr(f"(q_slots - 1) div {some}"))).alias("q_run"))
-    at = runs.select("q_src", "q_blocks", F.explode(F.sequence(
-        F.col("q_low") + F.col("q_run") * some,
-        F.col("q_low") + F.least((F.col("q_run") + 1) * some, F.col("q_slots")) - 1)).alias("q_at"))
-    at = at.withColumn("point", F.pmod((F.col("q_at") + F.lit(0.5)) * F.lit(GOLDEN), F.lit(1.0)))
-    ranked = running_total(at, "q_src", ["point", "q_at"], out="q_turn")
-    return ranked.select("point", "q_src", (F.col("q_turn") % F.col("q_blocks")).alias("q_block"),
-                         F.expr("q_turn div q_blocks").alias("q_epoch"))
+    spark = counts.sparkSession
+    table = written(running_total(counts.withColumn("q_all", F.lit("")), "q_all", ["q_src"], "q_slots", "q_low"))
+    total = table.agg(F.sum("q_slots")).first()[0] or 0
+    wide = max(1, -(-total // BINS))
+    point = F.pmod((F.col("id") + F.lit(0.5)) * F.lit(golden), F.lit(1.0))
+    at = running_total(spark.range(total).select(F.lit("").alias("q_all"), F.col("id").alias("slot"), point.alias("q_point")),
+                       "q_all", ["q_point", "slot"], out="q_at")
+    at = at.select("slot", "q_at", F.expr(f"q_at div {wide}").alias("q_bin"))
+    spans = table.select("q_src", "q_low", (F.col("q_low") + F.col("q_slots")).alias("q_high"), F.explode(F.sequence(
+        F.expr(f"q_low div {wide}"), F.expr(f"(q_low + q_slots - 1) div {wide}"))).alias("q_bin"))
+    named = at.join(spans, "q_bin").where("q_at >= q_low and q_at < q_high").select("slot", "q_src")
+    return running_total(named, "q_src", ["slot"], out="q_turn").select("slot", "q_src", "q_turn")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5,
         most: int = 2, seed: int = 17, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", parts: int = 1 << 20, least_block: int = 16) -> tuple[DataFrame, DataFrame]:
-    """(rows, pieces).  rows: one per input row with q_row, id, size, q_src, source_size, target.
-
-    pieces: (q_row, q_epoch, words): the words of that row which the mix reads in that epoch,
-    always its first ones.  No row is read more than ``most`` times over.  Documents
-    without words are never read.  A null source is a source of its own, after all others.
-    Rows that repeat an id are read as documents of their own.  Block length is the number of
-    words over ``parts``, at least ``least_block``, but in a small source 1/64 of its words.
+        source_col: str = "source", block_words: int = 256, golden: float = GOLDEN,
+        row_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, reads, pieces).
+
+    rows: one per input row with q_row (``row_col`` if given), q_id, size, q_src, q_start (words
+    of the source before it), source_size, target.  reads: one per slot of the mix with slot,
+    q_src, q_turn, q_epoch, q_block, q_take.  pieces: (q_row, q_epoch, slot, words), the words of a row that a slot reads.
+    No row is read more than ``most`` times over.  Documents without words are never read.  A null
+    source is a source of its own, after all others.  Rows that repeat an id are read as documents of their own.
     """
     key = F.when(F.col(source_col).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source_col)))
-    sized = written(docs.select(F.col(id_col).alias("q_id"), words(text_col).alias("size"), key.alias("q_src"),
-                                F.xxhash64(F.col(id_col), F.lit(seed)).alias("q_order")))
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    sized = written(docs.select(row.alias("q_row"), F.col(id_col).alias("q_id"), words(text_col).alias("size"), key.alias("q_src"),
+                                F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)).alias("q_order")))
     sources = sized.groupBy("q_src").agg(F.sum("size").alias("q_total"))
     table = written(targets(sources, weights, share, most))
-    total = table.agg(F.sum("q_total")).first()[0] or 0
-    block = max(least_block, total // parts)
-    # ids are unique in a source and order unless rows repeat; then the size decides
+    # rows that tie here are equal in id and text
     stream = running_total(sized, "q_src", ["q_order", "q_id", "size"], "size", "q_start")
-    table = table.withColumn("q_length", F.greatest(F.lit(1), F.least(
-        F.lit(block), F.expr(f"q_total div {LEAST_BLOCKS}"))).cast("long"))
-    rows = written(stream.join(table.select("q_src", F.col("q_total").alias("source_size"), "target", "q_length"), "q_src")
-                   .withColumn("q_row", F.monotonically_increasing_id()))
-    reads = exact_schedule(table).select("q_src", "q_block", "q_epoch")
-    end = F.col("q_start") + F.col("size")
+    rows = written(stream.join(table.select("q_src", F.col("q_total").alias("source_size"), "target"), "q_src").drop("q_order"))
+    blocks = written(block_order(table, block_words, most, seed))
+    slots = schedule(blocks.groupBy("q_src").agg(F.count("*").alias("q_slots")), golden)
+    reads = written(slots.join(blocks, ["q_src", "q_turn"]))
     spans = rows.where("size > 0").select(
-        "q_row", "q_src", "q_start", "q_length", end.alias("q_end"),
-        F.explode(F.sequence(F.expr("q_start div q_length"), F.expr("(q_start + size - 1) div q_length"))).alias("q_block"))
-    part = (F.least(F.col("q_end"), (F.col("q_block") + 1) * F.col("q_length"))
-            - F.greatest(F.col("q_start"), F.col("q_block") * F.col("q_length")))
-    pieces = (spans.join(reads, ["q_src", "q_block"])
-              .groupBy("q_row", "q_epoch").agg(F.sum(part).alias("words")))
-    return rows, pieces
+        "q_row", "q_src", "q_start", (F.col("q_start") + F.col("size")).alias("q_end"),
+        F.explode(F.sequence(F.expr(f"q_start div {block_words}"), F.expr(f"(q_start + size - 1) div {block_words}"))).alias("q_block"))
+    begin = F.col("q_block") * block_words
+    part = F.least(F.col("q_end"), begin + F.col("q_take")) - F.greatest(F.col("q_start"), begin)
+    pieces = (spans.join(reads, ["q_src", "q_block"]).select("q_row", "q_epoch", "slot", part.alias("words"))
+              .where("words > 0"))
+    return rows, reads, pieces
 
 
 def mix_table(docs: DataFrame, **options) -> DataFrame:
-    """One row per input row: id, size, source_size, target, taken (words read, repeats counted)."""
+    """One row per input row: id, size, source_size, target, taken (words read, repeats counted), first_slot.
+
+    ``first_slot`` is the first slot of the mix that reads the row, null for rows that none reads.
+    """
     id_col = options.get("id_col", "doc_id")
-    rows, pieces = mix(docs, **options)
-    taken = pieces.groupBy("q_row").agg(F.sum("words").alias("taken"))
+    rows, _, pieces = mix(docs, **options)
+    taken = pieces.groupBy("q_row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     return (rows.join(taken, "q_row", "left")
             .select(F.col("q_id").alias(id_col), "size", "source_size", "target",
-                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The mix as documents: a row per document and epoch that reads it; columns unchanged.
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slot_col: str | None = None,
+                    block_words: int = 256, **options) -> DataFrame:
+    """The mix as whole documents: a row per document and epoch that reads it; columns unchanged.
 
-    A document that a source's last epoch reads in part (one per source at most, where the last
-    block ends) keeps its first words, joined by single spaces; ``n_chars``, if there, follows.
-    Rows that repeat an id are read once per such row.
+    A document comes with the block that its first word lies in; ``slot_col`` names a
+    column for the slot that reads this block, by which the rows are in the order of the mix.  In that
+    order documents of a source are taken until its target is reached; the last one is taken or left
+    whole, whichever is nearer.  (Its block can be one that the word-wise mix did not reach; it
+    then has the source's last slot.)  Rows are told apart by a number, so repeated and null ids do no harm.
     """
-    rows, pieces = mix(docs, id_col=id_col, text_col=text_col, **options)
-    # rows that repeat an id and size are told apart by a number
-    nth = F.row_number().over(Window.partitionBy("q_id", "size").orderBy("q_row"))
-    named = rows.select("q_row", "q_id", "size", nth.alias("q_nth"))
-    reads = pieces.join(named, "q_row").select("q_id", "size", "q_nth", "words")
-    own = F.row_number().over(Window.partitionBy(F.col(id_col), "q_size").orderBy(F.crc32(F.col(text_col).cast("binary"))))
-    whole = docs.withColumn("q_size", words(text_col)).withColumn("q_own", own)
-    joined = whole.join(reads, F.col(id_col).eqNullSafe(F.col("q_id")) & (F.col("q_size") == F.col("size"))
-                        & (F.col("q_own") - F.col("q_nth") == 0))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)),
-                               1, F.col("words").cast("int")), " ")
-    text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col(text_col))
-    out = joined.withColumn(text_col, text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.length(text_col).cast("long"))
-                             .otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    seed, most = options.get("seed", 17), options.get("most", 2)
+    own = numbered(docs)
+    rows, reads, _ = mix(own, id_col=id_col, text_col=text_col, block_words=block_words, row_col="q_row", **options)
+    last = reads.groupBy("q_src").agg(F.max("slot").alias("q_last"))
+    starts = (rows.where("size > 0").withColumn("q_block", F.expr(f"q_start div {block_words}"))
+              .withColumn("q_epoch", F.explode(F.sequence(F.lit(0), F.expr("least(ceil(target / source_size), "
+                                                                          f"{int(most)}) - 1").cast("int")))))
+    starts = (starts.withColumn("q_mix", F.xxhash64("q_src", "q_epoch", "q_block", F.lit(seed)))
+              .select("q_row", "q_src", "q_start", "size", "target", "q_block", "q_epoch", "q_mix"))
+    ordered = running_total(starts, "q_src", ["q_epoch", "q_mix", "q_block", "q_start"], "size", "q_before")
+    chosen = ordered.where(F.col("q_before") + F.col("size") / 2 <= F.col("target"))
+    chosen = (chosen.join(reads.select("q_src", "q_block", "q_epoch", "slot"), ["q_src", "q_block", "q_epoch"], "left")
+              .join(last, "q_src").select("q_row", F.coalesce("slot", "q_last").alias("q_slot")))
+    out = own.join(chosen, "q_row")
+    return out.select(*docs.columns, *([F.col("q_slot").alias(slot_col)] if slot_col else []))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cell_pairs, components, forest, pair_cells, skew_join, written
+from .common import cell_pairs, components, forest, numbered, pair_cells, rank_of, skew_join, written
 
 CHUNK = 1 << 16      # shingles hashed at a time: bounds memory for very long texts
 
@@ -113,10 +113,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      **options) -> DataFrame:
-    """``docs`` with one document of each component (the least id); columns unchanged.
+    """``docs`` with one row of each component; columns unchanged.
 
-    Rows with a null id are never dropped.
+    The row of least id stays, null ids last; rows are told apart by a number, so a row is judged
+    by its own text whatever its id, and of rows that repeat id and text one stays.
     """
-    gone = (near_groups(docs, id_col, text_col, **options)
-            .where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("q_gone")))
-    return docs.join(gone, docs[id_col] == F.col("q_gone"), "left_anti")
+    rows = numbered(docs)
+    found = near_groups(rows.select("q_row", F.col(text_col).alias("q_text")), "q_row", "q_text", **options)
+    stays = (found.join(rows.select("q_row", F.col(id_col).alias("q_id")), "q_row")
+             .groupBy("component_id").agg(F.min(rank_of("q_id"))["r"].alias("q_row")).select("q_row"))
+    return rows.join(stays, "q_row", "left_semi").select(*docs.columns)

@@ -183,8 +183,9 @@ def word_counts(sample: DataFrame) -> DataFrame:
                 if y:
                     docs.update(set().union(*held))
             words = sorted(toxic.keys() | clean.keys())
-            yield pd.DataFrame({"word": words, "toxic": [toxic[w] for w in words],
-                                "clean": [clean[w] for w in words], "docs": [docs[w] for w in words]})
+            if words:
+                yield pd.DataFrame({"word": words, "toxic": [toxic[w] for w in words],
+                                    "clean": [clean[w] for w in words], "docs": [docs[w] for w in words]})
 
     per_task = sample.mapInPandas(run, "word string, toxic long, clean long, docs long")
     return per_task.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "docs")))

@@ -252,39 +252,106 @@ def test_mix_table_contract(spark):
         assert r["size"] == len((t or "").split()) and r.source_size == sizes[s]
         assert r.target == pytest.approx(goal[s]) and 0 <= r.taken <= 2 * r["size"]
         taken[s] += r.taken
-    assert all(abs(taken[s] - goal[s]) <= 0.03 * goal[s] + 64 for s in sizes)
+    assert all(abs(taken[s] - goal[s]) <= 0.5 for s in sizes)
     again = {r.doc_id: r.taken for r in mixing.mix_table(d.repartition(3)).collect()}
     assert again == {i: r.taken for i, r in got.items()}
 
 
 def test_schedule_equals_brute_force(spark):
-    table = spark.createDataFrame([("a", 1000, 1300.0), ("b", 500, 1000.0), ("c", 37, 11.0)],
-                                  "q_src string, q_total long, target double")
-    got = {r.slot: (r.q_src, r.q_block, r.q_epoch) for r in mixing.schedule(table, 16).collect()}
-    blocks = {"a": 63, "b": 32, "c": 3}
-    share = {s: round(blocks[s] * t / n * 65536) for s, n, t in (("a", 1000, 1300.0), ("b", 500, 1000.0), ("c", 37, 11.0))}
-    total = sum(share.values())
-    turn = dict.fromkeys(share, 0)
-    assert len(got) == round(total / 65536)
-    for k in range(len(got)):
-        at = int(((k + 0.5) * mixing.GOLDEN) % 1.0 * total)
-        s = "a" if at < share["a"] else "b" if at < share["a"] + share["b"] else "c"
-        assert got[k] == (s, turn[s] % blocks[s], turn[s] // blocks[s])
-        turn[s] += 1
-
-
-def test_mixed_documents_follow_taken(spark):
+    counts = {"a": 63, "b": 320, "c": 3}
+    df = spark.createDataFrame(list(counts.items()), "q_src string, q_slots long")
+
+    def brute(golden):
+        n = sum(counts.values())
+        points = sorted(((k + 0.5) * golden % 1.0, k) for k in range(n))
+        place = {k: r for r, (_, k) in enumerate(points)}
+        turn, out = dict.fromkeys(counts, 0), {}
+        for k in range(n):
+            s = "a" if place[k] < 63 else "b" if place[k] < 383 else "c"
+            out[k] = (s, turn[s])
+            turn[s] += 1
+        return out
+
+    got = {}
+    for golden in (mixing.GOLDEN, 0.123):
+        got[golden] = {r.slot: (r.q_src, r.q_turn) for r in mixing.schedule(df, golden).collect()}
+        assert got[golden] == brute(golden)
+    assert got[mixing.GOLDEN] != got[0.123]
+    # every prefix of the golden-ratio schedule is in proportion, to within a few slots
+    seen = dict.fromkeys(counts, 0)
+    for k in range(386):
+        seen[got[mixing.GOLDEN][k][0]] += 1
+        assert all(abs(seen[s] - (k + 1) * counts[s] / 386) <= 3 for s in counts)
+
+
+def test_block_order_equals_brute_force(spark):
+    table = {"a": (1000, 1300.4), "b": (500, 1000.0), "c": (37, 11.0), "d": (16, 16.0), "e": (3, 0.2), "f": (0, 0.0)}
+    df = spark.createDataFrame([(s, *v) for s, v in table.items()], "q_src string, q_total long, target double")
+    got = {}
+    for r in mixing.block_order(df, 16, 2, 17).collect():
+        got.setdefault(r.q_src, []).append((r.q_turn, r.q_epoch, r.q_block, r.q_take))
+    assert set(got) == {"a", "b", "c", "d"}
+    for s, reads in got.items():
+        total, goal = table[s]
+        reads.sort()
+        assert [t for t, *_ in reads] == list(range(len(reads)))
+        assert sum(w for *_, w in reads) == round(goal)
+        full = [b for _, e, b, _ in reads if e == 0]
+        assert len(set(full)) == len(full) and (goal < total or sorted(full) == list(range(-(-total // 16))))
+        assert all(w == min(16, total - 16 * b) for _, _, b, w in reads[:-1])
+    assert [b for _, e, b, _ in got["a"] if e == 0] != sorted(b for _, e, b, _ in got["a"] if e == 0)      # shuffled
+    assert [b for _, e, b, _ in got["b"] if e == 0] != [b for _, e, b, _ in got["b"] if e == 1]
+
+
+def test_the_query_follows_its_schedule(spark):
+    rows = mixing_rows()
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    order = {g: {r.doc_id: r.first_slot for r in mixing.mix_table(d, golden=g).collect()} for g in (mixing.GOLDEN, 0.123)}
+    assert order[mixing.GOLDEN] != order[0.123]
+    assert QUERIES["op7_mixing"](spark, SF).where("taken > 0 and first_slot is null or taken = 0 and first_slot is not null").isEmpty()
+    # words read by every prefix of the mix are in proportion to the targets
+    _, reads, pieces = mixing.mix(d, block_words=64)
+    by_slot = {r.slot: r for r in reads.collect()}
+    assert sorted(by_slot) == list(range(len(by_slot)))
+    words = {}
+    for r in pieces.collect():
+        words[r.slot] = words.get(r.slot, 0) + r.words
+    assert words == {k: r.q_take for k, r in by_slot.items()}
+    goal, seen, total = {}, {}, sum(words.values())
+    for k, r in by_slot.items():
+        goal[r.q_src] = goal.get(r.q_src, 0) + words[k]
+    for k in range(len(by_slot)):
+        seen[by_slot[k].q_src] = seen.get(by_slot[k].q_src, 0) + words[k]
+        done = sum(seen.values())
+        assert all(abs(seen.get(s, 0) - done * goal[s] / total) <= 4 * 64 for s in goal)
+
+
+def test_mixed_documents_are_whole_and_near_their_targets(spark):
     rows = mixing_rows()
     d = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows],
                               "doc_id long, text string, lang string, source string, n_chars long")
-    taken = {r.doc_id: r.taken for r in mixing.mix_table(d).collect()}
     out = mixing.mixed_documents(d)
     assert out.columns == d.columns
-    read = {}
+    text = {i: t for i, t, _ in rows}
+    words, count, goal, longest = {}, {}, {}, {}
+    for r in mixing.mix_table(d).collect():
+        s = next(x for i, _, x in rows if i == r.doc_id)
+        goal[s], longest[s] = r.target, max(longest.get(s, 0), r["size"])
     for r in out.collect():
-        read[r.doc_id] = read.get(r.doc_id, 0) + len(r.text.split())
-        assert r.n_chars == len(r.text)
-    assert read == {i: n for i, n in taken.items() if n}
+        assert r.text == text[r.doc_id] and r.n_chars == len(r.text)
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+        count[r.doc_id] = count.get(r.doc_id, 0) + 1
+    assert max(count.values()) <= 2
+    assert all(abs(words.get(s, 0) - goal[s]) <= longest[s] / 2 + 1 for s in goal)
+    slots = [r.at for r in mixing.mixed_documents(d, slot_col="at").collect()]
+    assert len(slots) == sum(count.values()) and None not in slots
+    other = [r.at for r in mixing.mixed_documents(d, slot_col="at", golden=0.123).collect()]
+    assert sorted(slots) != sorted(other)
+
+
+def test_many_rows_of_one_id_and_size(spark):
+    d = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    assert mixing.mixed_documents(d).count() == 30_000
 
 
 def test_mixing_odd_inputs(spark):
@@ -304,26 +371,12 @@ def test_small_sources_reach_their_targets(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
     for share, least in ((0.75, 16), (1.5, 5000)):
         taken, goal = {}, {}
-        for r, (_, _, s) in zip(sorted(mixing.mix_table(d, share=share, least_block=least).collect()), rows):
+        for r, (_, _, s) in zip(sorted(mixing.mix_table(d, share=share, block_words=least).collect()), rows):
             taken[s] = taken.get(s, 0) + r.taken
             goal[s] = r.target
         assert all(abs(taken[s] - goal[s]) <= 0.5 + goal[s] / 64 for s in goal)
 
 
-def test_exact_schedule_is_mixed_in_every_prefix(spark):
-    table = spark.createDataFrame([("a", 1000, 1, 1300.0), ("b", 500, 1, 1000.0), ("c", 37, 2, 11.0)],
-                                  "q_src string, q_total long, q_length long, target double")
-    got = sorted(mixing.exact_schedule(table).collect())
-    want = {"a": 1300, "b": 1000, "c": 6}
-    seen = dict.fromkeys(want, 0)
-    for k, r in enumerate(got, 1):
-        blocks = {"a": 1000, "b": 500, "c": 19}[r.q_src]
-        assert (r.q_epoch, r.q_block) == divmod(seen[r.q_src], blocks)
-        seen[r.q_src] += 1
-        assert all(abs(seen[s] - k * want[s] / len(got)) < 8 for s in want)
-    assert seen == want
-
-
 # --- pipeline --------------------------------------------------------------------------------------
 
 def test_pipeline_stages_have_effect(spark, reference):
@@ -368,7 +421,34 @@ def test_pipeline_dedup_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in near.collect()) == sorted(set(low.values()))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_stages_judge_rows_not_ids(spark):
+    rows = [(1, "same", "a"), (2, "same", "a"), (2, "unique text", "b")] + [(3, "x y z", "a")] * 3 + [(None, "same", "c"), (None, "lone", None)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    want = [(1, "same"), (2, "unique text"), (3, "x y z"), (None, "lone")]
+    for stage in (corpus_pipeline.exact_stage, corpus_pipeline.simhash_stage):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(want, key=repr)
+    mixed = {(r.doc_id, r.text) for r in corpus_pipeline.mixing_stage(spark, docs, SF).collect()}
+    assert mixed <= {(i, t) for i, t, _ in rows}
+
+
+def test_pipeline_of_odd_inputs(spark, tmp_path):
+    from quire.llm.common import load
+    sf = str(tmp_path)
+    load(spark, SF, "labels").write.parquet(f"{sf}/labels.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows in {"none": [], "odd": [(1, None, None, None, None), (1, "", "en", "s", 0), (None, "a b c", None, "s", 5),
+                                           (1, "a b c", "en", None, 5), (1, "a b c", "en", None, 5), (2, "d " * 400, "en", "s", 800)]}.items():
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{sf}/documents.parquet")
+        out = corpus_pipeline.run(spark, sf)
+        got = {(r.doc_id, r.source) for r in out.collect()}
+        assert got == (set() if name == "none" else got) and got <= {(1, None), (2, "s")}
+        assert name == "none" or got
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_topk", "op12_prefix_trie"}))
 def test_queries_return_every_row(spark, name):
     table = {"op2_url_filter": "pages", "op10_embedding_dedup": "embeddings"}.get(name, "documents")
     out = QUERIES[name](spark, SF)
