@@ -7,24 +7,32 @@ the word's length.  So ``idxiot`` and ``idot`` stay close to ``idiot``.  Before
 that are not letters are taken out of a word (``i.d.i.o.t``) and runs of three or more
 one-letter words are read as one word (``i d i o t``).
 
-A sentence holds what its most telling word holds: f(sentence) = max f(word).  A document
-is scored by its highest word and the mean of its ``TOP`` highest, both of which toxic
-texts raise, through a logistic fit on the training documents.  Training sentences carry their
-document's label.  Landmarks are the words of labelled sentences that speak most for or
-against toxicity; the Nystroem features of a word are its kernel values with the
+A sentence holds what its most telling word holds: f(sentence) = max f(word).  Training
+sentences carry their document's label.  Landmarks are the words of labelled sentences that speak most for
+or against toxicity; the Nystroem features of a word are its kernel values with the
 landmarks, whitened, and a linear SVM (squared hinge) is trained on the words of the
 labelled sentences, weighted by the sentences they occur in.  Being linear over the
-landmarks' subsequences, the machine folds into one weight per subsequence, so a new
+landmarks' subsequences, a machine folds into one weight per subsequence, so a new
 word costs a few dozen table look-ups and each distinct word is scored once per task.
+
+Two machines share the kernel.  The first weighs all words; a document is judged by its highest word
+and the mean of its ``TOP`` highest, through a logistic fit, since much weak evidence adds up.
+The second is for insults that toxic documents share: its positive examples are the words that pull hardest (``strong``) and
+virtual variants of them with a letter dropped or inserted, its negative ones frequent clean
+words and the clean words nearest to an insult.  One word above its cut, which a thousandth of clean training documents
+reach, is enough.  It also reads the parts of a token between other characters
+(``x/idiot/y``), stretches of a longer token that hold four letters of an insult (``theidiotthe``), and
+two tokens that an insult was split into (``id iot``).
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain, combinations
 
 import numpy as np
@@ -40,6 +48,9 @@ LONGEST = 48                 # a longer word is read as overlapping pieces of th
 SLOTS = 1 << 20              # hashed subsequences
 DOCS_AT_ONCE = 200
 TOP = 3
+CORE = 4                     # letters of an insult that mark a stretch of a longer token
+CLEAN_SHARE = 0.999          # of clean training documents lie below the cut of the second machine
+STEEP = 8.0                  # log odds per margin of the second machine
 
 
 @dataclass(frozen=True)
@@ -87,12 +98,10 @@ def features(words: list[str], kernel: Kernel) -> Iterator[tuple[np.ndarray, np.
 
 
 @dataclass(frozen=True)
-class ToxicModel:
-    kernel: Kernel
+class Machine:
     slots: np.ndarray           # subsequence slots of the landmarks and their weights
     theta: np.ndarray
     bias: float
-    blend: tuple[float, float, float]    # log odds = blend . (best, mean of top, 1)
 
     def table(self) -> np.ndarray:
         out = np.zeros(SLOTS, dtype=np.float32)
@@ -100,19 +109,34 @@ class ToxicModel:
         return out
 
 
-def word_margins(words: list[str], model: ToxicModel, table: np.ndarray) -> np.ndarray:
-    """f(word) of words of letters."""
+NO_MACHINE = Machine(np.zeros(0, dtype=int), np.zeros(0, dtype=np.float32), -1.0)
+
+
+@dataclass(frozen=True)
+class ToxicModel:
+    kernel: Kernel
+    words: Machine              # weighs all words
+    single: Machine             # one word above ``cut`` is enough
+    cut: float
+    strong: tuple[str, ...]     # insults that the second machine was made for
+    blend: tuple[float, float, float]    # log odds = blend . (best, mean of top, 1)
+
+
+def word_margins(words: list[str], kernel: Kernel, machines: list[tuple[np.ndarray, float]]) -> np.ndarray:
+    """f(word) of words of letters, a column per machine (table, bias); minus infinity for no letters."""
     owner, pieces = [], []
     half = LONGEST // 2
     for i, w in enumerate(words):
         cut = [w] if len(w) <= LONGEST else [w[k:k + LONGEST] for k in range(0, len(w) - half, half)]
         owner += [i] * len(cut)
         pieces += cut
-    out = np.full(len(words), -np.inf)
+    out = np.full((len(words), len(machines)), -np.inf)
     owner = np.array(owner)
     if pieces:
-        for some, slots, weights in features(pieces, model.kernel):
-            np.maximum.at(out, owner[some], table[slots] @ weights + model.bias)
+        for some, slots, weights in features(pieces, kernel):
+            for k, (table, bias) in enumerate(machines):
+                np.maximum.at(out[:, k], owner[some], table[slots] @ weights + bias)
+    out[[not w for w in words]] = -np.inf
     return out
 
 
@@ -121,6 +145,11 @@ def letters(token: str) -> str:
     return token if token.isalpha() else "".join(c for c in token if c.isalpha())
 
 
+def parts_of(token: str) -> list[str]:
+    """Runs of letters of a token that holds other characters between them."""
+    return [] if token.isalpha() else [w for w in "".join(c if c.isalpha() else " " for c in token).split() if len(w) > 1]
+
+
 def joined_runs(tokens: list[str]) -> list[str]:
     """Words spelled as runs of three or more one-letter tokens."""
     out, run = [], []
@@ -141,30 +170,74 @@ def words_of(text: str) -> list[str]:
     return [w for w in map(letters, tokens) if len(w) > 1] + joined_runs(tokens)
 
 
-def margins_of(texts: list, model: ToxicModel, table: np.ndarray, cache: dict[str, float]) -> np.ndarray:
-    """(best, mean of the TOP best) word margins of each text; bias - 1 where words lack."""
-    out = np.full((len(texts), 2), model.bias - 1.0)
-    for at in range(0, len(texts), DOCS_AT_ONCE):
-        split = [(t or "").lower().split() for t in texts[at:at + DOCS_AT_ONCE]]
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        new = sorted(set(chain.from_iterable(split)).difference(cache))
-        if new:
-            plain = [letters(t) for t in new]
-            got = word_margins([w if len(w) > 1 else "" for w in plain], model, table)
-            for t, w, m in zip(new, plain, got.tolist()):
-                cache[t] = m if len(w) > 1 else -math.inf if w else -1e9
-        for row, tokens in enumerate(split, at):
-            ms = np.fromiter(map(cache.__getitem__, tokens), dtype=np.float64, count=len(tokens))
-            if np.isneginf(ms).sum() >= 3:
-                runs = joined_runs(tokens)
-                ms = np.r_[ms, word_margins(runs, model, table)] if runs else ms
-            if len(ms) > TOP:
-                ms = np.partition(ms, len(ms) - TOP)[-TOP:]
-            if len(ms):
-                ms = np.maximum(ms, model.bias - 1.0)
-                out[row] = ms.max(), ms.mean()
-    return out
+class Reader:
+    """Scores texts of a task: each distinct token once."""
+
+    def __init__(self, model: ToxicModel):
+        self.model = model
+        self.machines = [(m.table(), m.bias) for m in (model.words, model.single)]
+        self.cores: dict[str, set[tuple[int, int]]] = {}
+        for w in model.strong:
+            for k in range(len(w) - CORE + 1):
+                self.cores.setdefault(w[k:k + CORE], set()).add((k, len(w)))
+        self.heads = {w[:k] for w in model.strong for k in range(1, len(w))}
+        self.tails = {w[k:] for w in model.strong for k in range(1, len(w))}
+        self.known: dict[str, tuple[float, float, int]] = {}
+
+    def stretches(self, word: str) -> set[str]:
+        """Parts of a longer word that lie where an insult would, by four of its letters, or one letter more."""
+        out = set()
+        for k in range(len(word) - CORE + 1):
+            for place, size in self.cores.get(word[k:k + CORE], ()):
+                for a in (k - place - 1, k - place):
+                    for b in (k - place + size, k - place + size + 1):
+                        if 0 <= a and b <= len(word) and CORE <= b - a < len(word):
+                            out.add(word[a:b])
+        return out
+
+    def learn(self, tokens: list[str]) -> None:
+        """Margins of new tokens: by the first machine, by the second, and whether they can be half an insult."""
+        plain = [letters(t) for t in tokens]
+        got = word_margins([w if len(w) > 1 else "" for w in plain], self.model.kernel, self.machines)
+        extra = [{*parts_of(t), *(self.stretches(w) if len(w) > CORE else ())} for t, w in zip(tokens, plain)]
+        flat = sorted(set().union(*extra)) if extra else []
+        more = dict(zip(flat, word_margins(flat, self.model.kernel, self.machines[1:])[:, 0].tolist())) if flat else {}
+        for t, w, (m, one), xs in zip(tokens, plain, got.tolist(), extra):
+            half = (w in self.heads) + 2 * (w in self.tails)
+            m = m if len(w) > 1 else -math.inf if w else -1e9
+            self.known[t] = m, max([one, *(more[x] for x in xs)]), half
+
+    def margins(self, texts: list) -> np.ndarray:
+        """(best, mean of the TOP best, single) of each text; bias - 1 where words lack."""
+        model = self.model
+        low, least = model.words.bias - 1.0, model.single.bias - 1.0
+        out = np.full((len(texts), 3), low)
+        out[:, 2] = least
+        for at in range(0, len(texts), DOCS_AT_ONCE):
+            split = [(t or "").lower().split() for t in texts[at:at + DOCS_AT_ONCE]]
+            if len(self.known) > CACHE_WORDS:
+                self.known.clear()
+            new = sorted(set(chain.from_iterable(split)).difference(self.known))
+            if new:
+                self.learn(new)
+            for row, tokens in enumerate(split, at):
+                if not tokens:
+                    continue
+                told = np.array(list(map(self.known.__getitem__, tokens)))
+                ms, ones, half = told[:, 0], told[:, 1], told[:, 2].astype(np.int8)
+                joined = []
+                if np.isneginf(ms).sum() >= 3:
+                    joined += joined_runs(tokens)
+                both = np.flatnonzero((half[:-1] & 1) & (half[1:] >> 1))
+                halves = [letters(tokens[k]) + letters(tokens[k + 1]) for k in both.tolist()]
+                if joined or halves:
+                    got = word_margins([*joined, *halves], model.kernel, self.machines)
+                    ms, ones = np.r_[ms, got[:len(joined), 0]], np.r_[ones, got[:, 1]]
+                if len(ms) > TOP:
+                    ms = np.partition(ms, len(ms) - TOP)[-TOP:]
+                ms = np.maximum(ms, low)
+                out[row] = ms.max(), ms.mean(), max(least, ones.max())
+        return out
 
 
 def in_training(id_col: str = "doc_id") -> Column:
@@ -192,8 +265,12 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
 
 def fit_machine(table: pd.DataFrame, kernel: Kernel, landmarks: int, rank: int,
-                cost: float, steps: int, most: float = 200.0) -> tuple[np.ndarray, np.ndarray, float]:
-    """Nystroem features of the words and a squared-hinge SVM on them -> (slots, theta, bias)."""
+                cost: float, steps: int, most: float = 200.0,
+                virtual: dict[str, float] | None = None) -> Machine:
+    """Nystroem features of the words and a squared-hinge SVM on them.
+
+    ``virtual`` words are further positive examples, together as heavy as all others.
+    """
     words = [w[:LONGEST] for w in table["word"]]
     tox, clean = table["toxic"].to_numpy(float), table["clean"].to_numpy(float)
     # evidence of a word: pull towards toxic or clean sentences, in standard deviations
@@ -227,6 +304,10 @@ def fit_machine(table: pd.DataFrame, kernel: Kernel, landmarks: int, rank: int,
     share = np.minimum(1.0, most / np.maximum(n, 1.0))
     pos, neg = tox * share, clean * share
     pos, neg = pos / (pos + neg).sum(), neg / (pos + neg).sum()
+    if virtual:
+        x = np.r_[x, against(list(virtual), basis).astype(float)]
+        pos = np.r_[pos, np.array(list(virtual.values())) / sum(virtual.values())]
+        neg = np.r_[neg, np.zeros(len(virtual))]
     x = np.c_[x, np.ones(len(x))]
     ridge = np.diag(np.r_[np.full(x.shape[1] - 1, 1 / cost), 1e-9])
     w = np.zeros(x.shape[1])
@@ -237,7 +318,54 @@ def fit_machine(table: pd.DataFrame, kernel: Kernel, landmarks: int, rank: int,
         w, moved = (w + new) / 2 if step > 10 else new, np.abs(new - w).max()
         if moved < 1e-7:
             break
-    return used, (basis[:-1] @ w[:-1]).astype(np.float32), float(w[-1])
+    return Machine(used, (basis[:-1] @ w[:-1]).astype(np.float32), float(w[-1]))
+
+
+def variants(strong: dict[str, float], clean: set[str], inserted: int = 48) -> dict[str, float]:
+    """Words of ``strong`` with an inner letter dropped, and hashed choices of one inserted, that are no clean words.
+
+    Each word's weight is shared among its variants of either kind.
+    """
+    out: dict[str, float] = {}
+    for w, weight in strong.items():
+        if len(w) < CORE:
+            continue
+        dropped = sorted({w[:k] + w[k + 1:] for k in range(1, len(w) - 1)})
+        put = [w[:k] + chr(c) + w[k:] for k in range(1, len(w)) for c in range(ord("a"), ord("z") + 1)]
+        put = sorted(set(put), key=lambda v: zlib.crc32(v.encode()))[:inserted]
+        for kind in (dropped, put):
+            for v in kind:
+                out[v] = out.get(v, 0.0) + weight / len(kind)
+    return {v: x for v, x in out.items() if v not in clean and v not in strong}
+
+
+def strong_words(table: pd.DataFrame, least: int = 20, pull: float = 0.5) -> dict[str, float]:
+    """Words that nearly only toxic sentences hold and that pull at least half as hard as the hardest."""
+    tox, n = table["toxic"].to_numpy(float), (table["toxic"] + table["clean"]).to_numpy(float)
+    prior = tox.sum() / max(1.0, n.sum())
+    z = (tox - n * prior) / np.sqrt(np.maximum(n * prior * (1 - prior), 1e-9))
+    use = (tox >= least) & ((tox + 0.5) / (n + 1) >= 0.9) & (z >= pull * z.max(initial=0.0))
+    return dict(zip(table["word"][use], tox[use].tolist()))
+
+
+def nearest_clean(counts: DataFrame, strong: list[str], kernel: Kernel, most: int) -> pd.DataFrame:
+    """The ``most`` clean words with the highest kernel value with a strong word: word, clean."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        marks = np.zeros((SLOTS, len(strong)), dtype=np.float32)
+        for some, slots, weights in features(strong, kernel):
+            for row, col in zip(slots, some):
+                np.add.at(marks[:, col], row, weights)
+        for pdf in batches:
+            words = [w[:LONGEST] for w in pdf["word"]]
+            near = np.zeros(len(words))
+            if words:
+                for some, slots, weights in features(words, kernel):
+                    for cut in np.array_split(np.arange(len(some)), len(some) // 1024 + 1):
+                        near[some[cut]] = np.einsum("wkb,k->wb", marks[slots[cut]], weights).max(axis=1, initial=0.0)
+                yield pdf.assign(near=near)
+
+    return (counts.where("clean > 0").select("word", "clean").mapInPandas(run, "word string, clean long, near double")
+            .orderBy(F.desc("near"), "word").limit(most).select("word", "clean").toPandas())
 
 
 def calibrate(x: np.ndarray, labels: np.ndarray, steps: int = 60) -> tuple[float, float, float]:
@@ -248,33 +376,33 @@ def calibrate(x: np.ndarray, labels: np.ndarray, steps: int = 60) -> tuple[float
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
         beta += np.clip(np.linalg.solve(h, x.T @ (labels - p) - 1e-2 * beta), -2, 2)
-    # half a probability lies where F1 on the training documents is highest
+    # half a probability lies where F0.5 on the training documents is highest: clean documents weigh more
     z = x @ beta
     order = np.argsort(-z, kind="stable")
     hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + labels.sum())
-    f1[:-1][z[order][1:] == z[order][:-1]] = -1           # no cut between equal scores
-    cut = int(f1.argmax())
+    gain = 1.25 * hits / (np.arange(1, len(z) + 1) + 0.25 * labels.sum())
+    gain[:-1][z[order][1:] == z[order][:-1]] = -1         # no cut between equal scores
+    cut = int(gain.argmax())
     low = z[order[cut + 1]] if cut + 1 < len(z) else z[order[cut]] - 1
     beta[2] -= (z[order[cut]] + low) / 2
     return tuple(beta.tolist())
 
 
-def log_odds(model: ToxicModel, best: str = "best", top: str = "top") -> Column:
+def log_odds(model: ToxicModel, best: str = "best", top: str = "top", single: str = "single") -> Column:
     a, b, c = model.blend
-    return F.lit(a) * F.col(best) + F.lit(b) * F.col(top) + F.lit(c)
+    return F.greatest(F.lit(a) * F.col(best) + F.lit(b) * F.col(top) + F.lit(c),
+                      F.lit(STEEP) * (F.col(single) - F.lit(model.cut)))
 
 
 def margins(docs: DataFrame, model: ToxicModel, extra: str = "") -> DataFrame:
-    """(q_key, extra columns, best, top) of docs(q_key, extra columns, q_text)."""
+    """(q_key, extra columns, best, top, single) of docs(q_key, extra columns, q_text)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, float] = {}
-        table = model.table()
+        reader = Reader(model)
         for pdf in batches:
-            got = margins_of(pdf["q_text"].tolist(), model, table, cache)
-            yield pdf.drop(columns="q_text").assign(best=got[:, 0], top=got[:, 1])
+            got = reader.margins(pdf["q_text"].tolist())
+            yield pdf.drop(columns="q_text").assign(best=got[:, 0], top=got[:, 1], single=got[:, 2])
 
-    return docs.mapInPandas(run, f"q_key string, {extra}best double, top double")
+    return docs.mapInPandas(run, f"q_key string, {extra}best double, top double, single double")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_words: int = 18_000,
@@ -284,7 +412,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_words:
 
     The sample is the ``max_rows`` labelled ids of least hash.  Its words are counted on
     the executors; a third each of ``max_words`` reach the driver: those that lean most to
-    toxic documents, the most frequent, and a hash sample of all.  Null ids and labels are
+    toxic documents, the most frequent, and a hash sample of all, and of the
+    clean ones as many more as lie nearest to an insult.  Null ids and labels are
     left out; with one label only, the model rejects nothing.
     """
     marked = (labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -302,13 +431,28 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_words:
            .union(counts.orderBy(F.xxhash64("word"), "word").limit(third))
            .distinct().orderBy("word").toPandas())
     if not len(top) or not top["toxic"].sum() or not top["clean"].sum():
-        return ToxicModel(kernel, np.zeros(0, dtype=int), np.zeros(0), -1.0, (1.0, 0.0, -1.0))
-    slots, theta, bias = fit_machine(top, kernel, landmarks, rank, cost, steps)
-    model = ToxicModel(kernel, slots, theta, bias, (1.0, 0.0, 0.0))
+        return ToxicModel(kernel, NO_MACHINE, NO_MACHINE, 0.0, (), (1.0, 0.0, -1.0))
+    machine = fit_machine(top, kernel, landmarks, rank, cost, steps)
+    strong = strong_words(top)
+    single = NO_MACHINE
+    if strong:
+        near = nearest_clean(counts, sorted(strong), kernel, max_words // 4)
+        often = top.loc[top["clean"] > 0, ["word", "clean"]].nlargest(max_words // 4, "clean")
+        plain = pd.concat([near, often]).drop_duplicates("word")
+        plain = plain[~plain["word"].isin(list(strong))]
+        # frequent words are tempered; the nearest ones count as if they were frequent
+        weight = np.minimum(plain["clean"].to_numpy(float), 50) + 50.0 * plain["word"].isin(near["word"][:300]).to_numpy()
+        examples = pd.concat([pd.DataFrame({"word": list(strong), "toxic": list(strong.values()), "clean": 0.0}),
+                              pd.DataFrame({"word": plain["word"], "toxic": 0.0, "clean": weight})], ignore_index=True)
+        single = fit_machine(examples, kernel, landmarks, rank, cost, steps,
+                             virtual=variants(strong, set(plain["word"])))
+    model = ToxicModel(kernel, machine, single, 0.0, tuple(sorted(strong)), (1.0, 0.0, 0.0))
     seen = margins(sample.select(F.lit("").alias("q_key"), "toxic", F.col("text").alias("q_text")),
-                   model, "toxic int, ").select("best", "top", "toxic").toPandas()
+                   model, "toxic int, ").select("best", "top", "single", "toxic").toPandas()
     blend = calibrate(seen[["best", "top"]].to_numpy(float), seen["toxic"].to_numpy(float))
-    return ToxicModel(kernel, slots, theta, bias, blend)
+    clean = seen.loc[seen["toxic"] == 0, "single"]
+    cut = max(0.0, float(clean.quantile(CLEAN_SHARE))) + 1e-9 if strong and len(clean) else 0.0
+    return replace(model, cut=cut, blend=blend)
 
 
 def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
@@ -327,12 +471,11 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
 
 def drop_toxic(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that the model rejects; columns unchanged, no shuffle."""
-    @F.pandas_udf("best double, top double")
+    @F.pandas_udf("best double, top double, single double")
     def marks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, float] = {}
-        table = model.table()
+        reader = Reader(model)
         for texts in batches:
-            yield pd.DataFrame(margins_of(texts.tolist(), model, table, cache), columns=["best", "top"])
+            yield pd.DataFrame(reader.margins(texts.tolist()), columns=["best", "top", "single"])
 
-    p = 1 / (1 + F.exp(-log_odds(model, "q_marks.best", "q_marks.top")))
+    p = 1 / (1 + F.exp(-log_odds(model, "q_marks.best", "q_marks.top", "q_marks.single")))
     return docs.withColumn("q_marks", marks(F.col(text_col))).where(p < 0.5).drop("q_marks")

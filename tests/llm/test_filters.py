@@ -117,12 +117,53 @@ def test_toxicity_held_out_accuracy(spark, toxic_model):
 
 
 def test_toxicity_tolerates_gaps_and_insertions(toxic_model):
-    table = toxic_model.table()
-    plain, spread, clean = (toxicity.margins_of([t], toxic_model, table, {})[0, 0] for t in (
-        "ba grumbold ri", "ba grumbxold ri", "ba meldenos ri"))
+    def best(text):
+        return toxicity.Reader(toxic_model).margins([text])[0]
+    plain, spread, clean = (best(t)[0] for t in ("ba grumbold ri", "ba grumbxold ri", "ba meldenos ri"))
     assert plain > spread > clean
-    dotted, spelled = toxicity.margins_of(["ba g.r.u.m-b.o.l.d! ri", "ba g r u m b o l d ri"], toxic_model, table, {})[:, 0]
-    assert dotted == pytest.approx(plain, abs=1e-5) and spelled == pytest.approx(plain, abs=1e-5)
+    for text in ("ba g.r.u.m-b.o.l.d! ri", "ba g r u m b o l d ri", "ba grum bold ri"):
+        assert best(text)[2] == pytest.approx(best("ba grumbold ri")[2], abs=1e-5)
+
+
+FORMS = {
+    "plain": lambda w, r: w,
+    "inserted": lambda w, r: w[:(k := r.randrange(1, len(w)))] + r.choice("abcdefghijklmnopqrstuvwxyz") + w[k:],
+    "dropped": lambda w, r: w[:(k := r.randrange(1, len(w) - 1))] + w[k + 1:],
+    "split": lambda w, r: w[:(k := r.randrange(1, len(w)))] + " " + w[k:],
+    "slashed": lambda w, r: f"there/{w}/then",
+    "dotted": lambda w, r: ".".join(w),
+    "spelled": lambda w, r: " ".join(w),
+    "unspaced": lambda w, r: f"there{w}inthe",
+}
+
+
+def test_one_insult_in_any_form_is_enough(spark):
+    """One insult put into held-out clean documents; the figures are those of predicted."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    held = docs.join(labels.where("toxic is not null").select("doc_id", "toxic"), "doc_id").where(~toxicity.in_training())
+    scored = toxicity.score(held, model).join(labels.select("doc_id", "toxic"), "doc_id").toPandas()
+    hit = scored[scored["predicted"] == 1]
+    assert hit["toxic"].mean() >= 0.95 and hit["toxic"].sum() >= 0.85 * scored["toxic"].sum()
+    clean = [r.text for r in held.where("toxic = 0 and lang = 'en' and length(text) between 400 and 1500").orderBy("doc_id").limit(10).collect()]
+    assert len(clean) == 10
+    rng = random.Random(11)
+    insults = ["trash", "pathetic", "idiot", "worthless", "disgusting", "stupid", "clown", "scum", "loser"]
+    rows = []
+    for name, form in FORMS.items():
+        for w in insults:
+            for t in clean:
+                words = t.split(" ")
+                words.insert(rng.randrange(len(words)), form(w, rng))
+                rows.append((len(rows), name, w, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, form string, word string, text string")
+    got = toxicity.score(df, model).join(df.select("doc_id", "form", "word"), "doc_id").toPandas()
+    share = got.groupby("form")["predicted"].mean()
+    by_word = got[got["form"] == "plain"].groupby("word")["predicted"].mean()
+    print(share.round(3).to_dict(), hit["toxic"].mean(), hit["toxic"].sum() / scored["toxic"].sum())
+    assert (by_word == 1).all(), by_word
+    assert (share >= 0.9).all(), share
 
 
 def test_kernel_map_equals_brute_force():
