@@ -181,7 +181,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def pair_cells(rows: DataFrame, key: list[str], item: str, judge: Callable, schema: str,
-               block_rows: int = 1500) -> DataFrame:
+               block_rows: int = 1500, late: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Compare the rows of each posting list (equal ``key``) with each other, in cells.
 
     A list of up to ``block_rows`` rows is one cell.  A longer list is cut into blocks
@@ -189,6 +189,7 @@ def pair_cells(rows: DataFrame, key: list[str], item: str, judge: Callable, sche
     than about two blocks of a list and no pair is lost.  Lists of one row are dropped
     before their rows move a second time.  ``judge(batch, i, j)`` gets a pandas batch and the index
     arrays of the pairs to compare, as an iterator of chunks, and yields result frames.
+    ``late`` may add wide columns to the rows that are left, before they move to their cells.
     """
     count = rows.groupBy(*key).agg(F.count("*").alias(f"{MARK}n")).where(F.col(f"{MARK}n") > 1)
     nb = F.ceil(F.col(f"{MARK}n") / F.lit(block_rows)).cast("int")
@@ -201,6 +202,8 @@ def pair_cells(rows: DataFrame, key: list[str], item: str, judge: Callable, sche
              .withColumn(f"{MARK}j", F.greatest(F.col(f"{MARK}b"), F.col(f"{MARK}o")))
              .drop(f"{MARK}n", f"{MARK}nb", f"{MARK}o"))
     cell = [*key, f"{MARK}i", f"{MARK}j"]
+    if late:
+        cells = late(cells)
     cells = cells.repartition(*cell).sortWithinPartitions(*cell, f"{MARK}b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,7 +9,7 @@ precision.  A pair that meets in several lists is counted in one of them only, t
 its two smallest common pivots, so links are counted without being collected.
 
 Equal vectors of a label are collapsed first and weigh by their number.  Pivots are a
-hash sample of the distinct vectors, the square root of their number up to
+hash sample of the distinct vectors, for each length the square root of their number up to
 ``max_pivots``; every vector is indexed.
 """
 
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import cell_pairs, components, forest, pair_cells, written
 
+LEAST_PIVOTS = 24
+OVERSAMPLE = 8               # sampled vectors per pivot wanted
 VERIFY_AT_ONCE = 1 << 15     # pairs whose vectors are gathered at a time
 
 
@@ -44,38 +46,75 @@ def units(rows: list) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def choose_pivots(reps: DataFrame, max_pivots: int) -> dict[int, np.ndarray]:
-    """Reference points by vector length: a hash sample of at most ``max_pivots`` distinct vectors."""
-    m = min(max_pivots, max(16, int(reps.count() ** 0.5)))
-    some = reps.orderBy(F.xxhash64("q_rep"), "q_rep").limit(m).select("q_vec").toPandas()["q_vec"]
-    by_size: dict[int, list] = {}
-    for v in some:
-        by_size.setdefault(len(v), []).append(v)
-    return {d: units(vs) for d, vs in by_size.items()}
+def spread(points: np.ndarray, apart: float) -> np.ndarray:
+    """Unit rows of which no two have a cosine of ``apart`` or more, taken in their order."""
+    kept = points[:0]
+    for at in range(0, len(points), 512):
+        some = points[at:at + 512]
+        if len(kept):
+            some = some[(some @ kept.T).max(axis=1) < apart]
+        near = some @ some.T >= apart
+        use = np.zeros(len(some), dtype=bool)
+        for i in range(len(some)):
+            use[i] = not (near[i] & use).any()
+        kept = np.r_[kept, some[use]]
+    return kept
+
+
+def choose_pivots(reps: DataFrame, max_pivots: int, max_lengths: int = 10_000, apart: float = 0.9) -> dict[int, np.ndarray]:
+    """Reference points by vector length: a hash sample of about the square root of the vectors of that length.
+
+    At least 24 are aimed at and at most ``max_pivots``; points near to one another (cosine
+    ``apart`` or more) count once, or members of one large group would be described by the order of its own
+    copies, which is noise.  Beyond the ``max_lengths`` most frequent lengths there are none.
+    """
+    dim = F.size("q_vec").alias("q_dim")
+    counts = (reps.groupBy(dim).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "q_dim").limit(max_lengths)
+              .withColumn("q_aim", F.greatest(F.lit(float(LEAST_PIVOTS)), F.least(F.sqrt("n"), F.lit(float(max_pivots)))))
+            .withColumn("q_share", F.least(F.lit(1.0), F.col("q_aim") * OVERSAMPLE / F.col("n"))))
+    chance = F.pmod(F.xxhash64("q_rep", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    some = (reps.select("q_rep", "q_vec", dim).join(F.broadcast(counts), "q_dim").where(chance < F.col("q_share"))
+            .orderBy("q_rep").select("q_vec", "q_aim").toPandas())
+    out = {}
+    for d, part in some.groupby(some["q_vec"].map(len)):
+        points, aim, limit = units(part["q_vec"].tolist()), int(part["q_aim"].iloc[0]), apart
+        out[d] = spread(points, limit)[:aim]
+        while len(out[d]) < min(LEAST_PIVOTS // 2, len(points)) and limit < 1 - 1e-6:   # crowded, as short vectors are
+            limit = 1 - (1 - limit) / 4
+            out[d] = spread(points, limit)[:aim]
+    return out
 
 
 def linked(reps: DataFrame, pivots: dict[int, np.ndarray], least: float, head: int, depth: int,
            shared: int) -> DataFrame:
-    """Rows (a, b, n): n > 0 adds links to vector a; b not null joins the components of a and b."""
+    """Rows (a, b, n): n > 0 adds links to vector a; b not null joins the components of a and b.
+
+    Lists hold numbers only; vectors follow once the lists of one row are gone.
+    """
     pairs = list(combinations(range(head), 2))
+    kind = reps.schema["q_vec"].dataType.simpleString()
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for size, part in pdf.groupby(pdf["q_vec"].map(len), sort=False):
-                points = pivots.get(int(size))
+            own = pdf[["q_rep", "q_label", "q_n"]]
+            for size, at in pdf.groupby(pdf["q_vec"].map(len), sort=False).indices.items():
+                points, part = pivots.get(int(size)), own.iloc[at]
                 if points is None or len(points) < depth:
                     yield part.assign(q_dim=size, q_p=-1, q_q=-1, q_near=[[-1] * depth] * len(part))
                     continue
-                order = np.argsort(-(units(part["q_vec"].tolist()) @ points.T), axis=1, kind="stable")
+                order = np.argsort(-(units(pdf["q_vec"].iloc[at].tolist()) @ points.T), axis=1, kind="stable")
                 near = order[:, :depth]
                 first = np.sort(near[:, :head], axis=1)
                 for p, q in pairs:
                     yield part.assign(q_dim=size, q_p=first[:, p], q_q=first[:, q], q_near=near.tolist())
 
     # narrow hash of the vector's place, so that blocks of a long list are dealt evenly
-    posted = reps.mapInPandas(describe, "q_rep long, q_label string, q_vec array<double>, q_n long, "
+    posted = reps.mapInPandas(describe, "q_rep long, q_label string, q_n long, "
                                         "q_dim int, q_p int, q_q int, q_near array<int>")
 
+    def with_vectors(cells: DataFrame) -> DataFrame:
+        return cells.join(reps.select("q_rep", F.col("q_vec").cast(kind)), "q_rep")
+
     def judge(pdf: pd.DataFrame, ids: np.ndarray) -> Iterator[pd.DataFrame]:
         near = np.array(pdf["q_near"].tolist(), dtype=np.int32).reshape(len(pdf), -1)
         first = np.sort(near[:, :head], axis=1)
@@ -118,12 +157,13 @@ def linked(reps: DataFrame, pivots: dict[int, np.ndarray], least: float, head: i
             yield pd.DataFrame({"a": np.r_[rep[hit], a], "n": np.r_[count[hit], np.zeros(len(a), dtype=np.int64)],
                                 "b": pd.array([None] * len(hit) + b.tolist(), dtype="Int64")})
 
-    return pair_cells(posted, ["q_label", "q_dim", "q_p", "q_q"], "q_rep", judge, "a long, n long, b long")
+    return pair_cells(posted, ["q_label", "q_dim", "q_p", "q_q"], "q_rep", judge, "a long, n long, b long",
+                      late=with_vectors)
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                  label_col: str = "label", least: float = 0.98, head: int = 4, depth: int = 8,
-                 shared: int = 3, max_pivots: int = 2048) -> DataFrame:
+                 shared: int = 3, max_pivots: int = 1 << 13) -> DataFrame:
     """One row per input row: id, n_links (long), component_id, kept (id = component_id).
 
     Only vectors of equal, non-null label and equal length are compared.  A row whose vector
@@ -138,8 +178,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     key = ["q_label", "q_h1", "q_h2"]
     ids = written(src.select("q_id", "q_ok", "q_label", F.xxhash64("q_vec").alias("q_h1"),
                              F.hash(v).alias("q_h2")))
+    # floats travel as they are and are compared in double precision
+    plain = F.col("q_vec") if vectors.schema[vec_col].dataType.simpleString() == "array<float>" else v
     reps = written(src.where("q_ok")
-                   .select("q_id", "q_label", v.alias("q_vec"), F.xxhash64("q_vec").alias("q_h1"),
+                   .select("q_id", "q_label", plain.alias("q_vec"), F.xxhash64("q_vec").alias("q_h1"),
                            F.hash(v).alias("q_h2"))
                    .groupBy(*key).agg(F.min("q_id").alias("q_rep"), F.first("q_vec").alias("q_vec"),
                                       F.count("*").alias("q_n")))

@@ -93,6 +93,21 @@ g AS (
 SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL) AS kept, text_sha256 FROM g
 """
 
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id, vec_id AS root FROM embeddings UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.vec_id),
+c AS (SELECT vec_id, min(root) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a, count(*) AS n_links FROM e GROUP BY a)
+SELECT c.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM c LEFT JOIN n ON n.a = c.vec_id
+"""
+
 OP11_SQL = """
 WITH v AS (
   SELECT row_number() OVER () AS r, vec_id,
@@ -173,4 +188,4 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM p
 """
 
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op11_topk": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_fim": OP13_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op10_embedding_dedup": OP10_SQL, "op11_topk": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_fim": OP13_SQL}

@@ -203,6 +203,44 @@ def test_near_vectors_against_brute_force(spark):
     assert all(r.kept == (r.component_id == r.vec_id) for r in got.values())
 
 
+def test_near_vectors_equal_the_sql_on_clusters(spark, tmp_path):
+    import duckdb
+    from quire.llm.queries import ORACLES
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(60):
+        base = rng.normal(size=24)
+        for _ in range(int(rng.integers(1, 12))):
+            rows.append((base + rng.normal(size=24) * 0.05, g % 4))
+    hot = rng.normal(size=24)                       # near copies in one list
+    rows += [(hot + rng.normal(size=24) * 0.03, 0) for _ in range(400)] + [(hot, 0)] * 50
+    rows += [(rng.normal(size=5), 1) for _ in range(70)] + [(np.zeros(24), 2)]
+    df = spark.createDataFrame([(i, [float(np.float32(x)) for x in v], int(lab), 1, 2, "x") for i, (v, lab) in enumerate(rows)],
+                               "vec_id long, embedding array<float>, label int, q_rep int, n_links int, q_vec string")
+    con = duckdb.connect()
+    df.select("vec_id", "embedding", "label").write.parquet(str(tmp_path / "e"))
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    want = {r[0]: r[1:] for r in con.execute(ORACLES["op10_embedding_dedup"]).fetchall()}
+    got = {r[0]: tuple(r)[1:] for r in embed_dedup.near_vectors(df).collect()}
+    links = sum(w[0] for w in want.values())
+    found = sum(g[0] for g in got.values())
+    assert set(got) == set(want) and links > 10_000
+    assert found >= 0.99 * links and all(got[i][0] <= want[i][0] for i in got)
+    assert sum(got[i][1] == want[i][1] for i in got) >= 0.99 * len(got)
+
+
+def test_pivots_follow_each_length(spark):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=3 if i % 10 else 7)]) for i in range(4000)],
+                               "q_rep long, q_vec array<double>")
+    got = {d: len(p) for d, p in embed_dedup.choose_pivots(df, 1 << 16).items()}
+    assert 12 <= got[3] <= 60 and 20 <= got[7] <= 24
+    assert 12 <= len(embed_dedup.choose_pivots(df, 30)[3]) <= 30
+    points = embed_dedup.choose_pivots(df, 1 << 16, apart=0.7)[7]
+    cos = points @ points.T
+    assert len(points) >= 12 and (cos[~np.eye(len(points), dtype=bool)] < 0.7).all()
+
+
 def test_near_vectors_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed_dedup.near_vectors(df).count() == 0
