@@ -11,16 +11,17 @@ more than a small share of a shard is cut in pieces of its own; the rest of its
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections import deque
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import running_total, written
 
-
+STAGE, JOURNAL = "_reshard-", "moves.json"
 PIECES = 16                  # a text above this part of a shard is cut, in pieces of about that size
 
 
@@ -147,12 +148,14 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id
     """Write the shards that resharding changes under ``path``/shard=k; returns their numbers.
 
     A shard changes when rows leave it or enter it; the files of others are left as they are.
-    The new files are written beside the old ones first, which ``docs`` may still be read from;
-    then the old files of every changed shard are dropped, also of one that no row is left in.
+    The new files are written beside the old ones first, which ``docs`` may still be read from.  A journal then names
+    the shards to replace: from that moment the rewrite counts, and ``finish_rewrite`` (which every rewrite calls
+    first) ends one that died while it moved folders; a rewrite that died before is dropped.
     ``placed`` is what ``reshard`` gave for ``docs``, with the same ``old_col``.  Rows meet their places by id (nulls
     too), digest and size of the text, old shard, and a number among rows that agree in these, so each is written once.
     """
     spark = docs.sparkSession
+    finish_rewrite(spark, path)
     moved = F.col("old_shard") != F.col("shard")
     touched = sorted({s for r in placed.where(moved).select("old_shard", "shard").distinct().collect() for s in r})
     if not touched:
@@ -176,15 +179,44 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id
     for x in [*names, "q_nth"]:
         same = same & F.col(x).eqNullSafe(F.col(f"{x}_"))
     keep = [c for c in docs.columns if c != "shard"]
-    new = f"{path}/_reshard-{uuid.uuid4().hex}"
+    new = f"{path}/{STAGE}{uuid.uuid4().hex}"
     (left.join(right, same).select(*keep, F.col("q_shard").alias("shard"))
      .write.partitionBy("shard").parquet(new))
+    at, fs = _files(spark, path)
+    filled = [s for s in touched if fs.exists(at(f"{new}/shard={s}"))]
+    out = fs.create(at(f"{new}/{JOURNAL}.part"))
+    out.write(bytearray(json.dumps({"filled": filled, "emptied": sorted(set(touched) - set(filled))}).encode()))
+    out.close()
+    if not fs.rename(at(f"{new}/{JOURNAL}.part"), at(f"{new}/{JOURNAL}")):
+        raise OSError(f"{new} has no journal")
+    finish_rewrite(spark, path)
+    return touched
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for s in touched:
-        fs.delete(at(f"{path}/shard={s}"), True)
-        if fs.exists(at(f"{new}/shard={s}")) and not fs.rename(at(f"{new}/shard={s}"), at(f"{path}/shard={s}")):
-            raise OSError(f"{new}/shard={s} was not moved to {path}")
-    fs.delete(at(new), True)
+    return at, at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def finish_rewrite(spark: SparkSession, path: str) -> int:
+    """End the rewrites of ``path`` that have a journal, drop those without; returns how many were ended.
+
+    Every step can be done again: a shard's new folder is there until it has been moved.  One writer at a time.
+    """
+    at, fs = _files(spark, path)
+    ended = 0
+    for status in fs.globStatus(at(f"{path}/{STAGE}*")) or []:
+        new = status.getPath().toString()
+        if fs.exists(at(f"{new}/{JOURNAL}")):
+            journal = json.loads(spark.read.text(f"{new}/{JOURNAL}", wholetext=True).first()[0])
+            for s in journal["emptied"]:
+                fs.delete(at(f"{path}/shard={s}"), True)
+            for s in journal["filled"]:
+                if fs.exists(at(f"{new}/shard={s}")):
+                    fs.delete(at(f"{path}/shard={s}"), True)
+                    if not fs.rename(at(f"{new}/shard={s}"), at(f"{path}/shard={s}")):
+                        raise OSError(f"{new}/shard={s} was not moved to {path}")
+            ended += 1
+        fs.delete(at(new), True)
     spark.catalog.refreshByPath(path)
-    return touched
+    return ended

@@ -196,6 +196,36 @@ def test_rewrite_keeps_every_row_over_existing_files(spark, tmp_path):
     assert {(r.other, r.doc_id, r.text) for r in back} == {(o, i, t) for i, t, o, _ in rows}
 
 
+def test_a_rewrite_that_dies_is_ended_or_dropped(spark, tmp_path, monkeypatch):
+    import os
+    path = str(tmp_path / "out")
+    schema = "doc_id long, text string, shard int"
+    spark.createDataFrame([(i, f"t{i}", i % 4) for i in range(80)], schema).write.partitionBy("shard").parquet(path)
+    docs = spark.read.schema(schema).parquet(path)
+    placed = reshard.written(docs.select("doc_id", F.col("shard").alias("old_shard"),
+                                         F.when(F.col("shard") == 3, 2).otherwise(F.col("shard")).alias("shard")))
+
+    def state():
+        return sorted((r.doc_id, r.shard) for r in spark.read.schema(schema).parquet(path).collect())
+    before = state()
+    want = sorted((i, 2 if i % 4 == 3 else i % 4) for i in range(80))
+
+    # dies before its journal: dropped, nothing has changed
+    os.makedirs(f"{path}/_reshard-dead/shard=2")
+    open(f"{path}/_reshard-dead/shard=2/part-0.parquet", "w").close()
+    assert reshard.finish_rewrite(spark, path) == 0 and state() == before and not os.path.exists(f"{path}/_reshard-dead")
+
+    # dies after it, with one shard dropped and none moved: ended by the next call
+    end = reshard.finish_rewrite
+    calls = []
+    monkeypatch.setattr(reshard, "finish_rewrite", lambda *a: calls.append(1) or (end(*a) if len(calls) == 1 else 0))
+    reshard.rewrite(docs, placed, path, old_col="shard")
+    (stage,) = [n for n in os.listdir(path) if n.startswith("_reshard-")]
+    os.rename(f"{path}/shard=3", str(tmp_path / "gone"))
+    assert end(spark, path) == 1 and state() == want and not os.path.exists(f"{path}/{stage}")
+    assert end(spark, path) == 0 and state() == want
+
+
 def test_texts_below_a_shard_are_split_where_they_would_unbalance(spark):
     rows = [(None, "%d " % g * 50) for g in range(9) for _ in range(80)] + [(i, "t%d" % i) for i in range(200)]
     load = {}
