@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -24,14 +25,39 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def written(df: DataFrame) -> DataFrame:
+_scopes: list[str] = []      # folders of the open workspaces, innermost last
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """Tables that ``written`` leaves inside the block go to a folder of their own, deleted at its end.
+
+    Results that read them must be stored before, with ``written(..., outside=True)`` or elsewhere.
+    """
+    folder = f"{ensure_checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}"
+    _scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(folder)
+        delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def written(df: DataFrame, outside: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` (a lost executor costs a re-read, not a
-    recomputation) and stores the rows once, compressed and by column.
+    recomputation) and stores the rows once, compressed and by column.  In a ``workspace``
+    the table goes with it, unless it is to stay ``outside``.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/quire-{uuid.uuid4().hex}"
+    folder = _scopes[-1] if _scopes and not outside else ensure_checkpoint_dir(spark)
+    path = f"{folder}/quire-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -48,7 +74,7 @@ def rank_of(id_col: str) -> Column:
 
 
 def drop_written(spark: SparkSession) -> None:
-    """Delete the tables that ``written`` left; call it once the results are stored."""
+    """Delete all tables that ``written`` left in this session; call it once every result is stored."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
         f"{ensure_checkpoint_dir(spark)}/quire-*")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

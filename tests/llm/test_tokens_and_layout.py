@@ -464,6 +464,15 @@ def test_stages_judge_rows_not_ids(spark):
     assert mixed <= {(i, t) for i, t, _ in rows}
 
 
+def test_the_pipeline_leaves_its_results_only(spark):
+    import os
+    from quire.session import ensure_checkpoint_dir
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    out = corpus_pipeline.run(spark, SF)
+    assert len(set(os.listdir(folder)) - before) == len(corpus_pipeline.STAGES) and out.count() > 0
+
+
 def test_pipeline_of_odd_inputs(spark, tmp_path):
     from quire.llm.common import load
     sf = str(tmp_path)
