@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import bpe, exact_dedup, mixing, simhash, toxicity
-from quire.llm.common import load, written
+from quire.llm.common import load, workspace, written
 from quire.llm.queries import vocabulary
 
 
@@ -53,5 +53,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir))
+        # what a stage keeps on the way is deleted once its result is stored
+        with workspace(spark):
+            docs = written(stage(spark, docs, sf_dir), outside=True)
     return docs
