@@ -122,20 +122,24 @@ class ToxicModel:
     blend: tuple[float, float, float]    # log odds = blend . (best, mean of top, 1)
 
 
-def word_margins(words: list[str], kernel: Kernel, machines: list[tuple[np.ndarray, float]]) -> np.ndarray:
-    """f(word) of words of letters, a column per machine (table, bias); minus infinity for no letters."""
+def word_margins(words: list[str], kernel: Kernel, table: np.ndarray, bias: tuple[float, float]) -> np.ndarray:
+    """f(word) of words of letters by both machines; minus infinity for no letters.
+
+    ``table`` holds the first machine's weights as real and the second's as imaginary parts, so that both are looked up at once.
+    """
     owner, pieces = [], []
     half = LONGEST // 2
     for i, w in enumerate(words):
         cut = [w] if len(w) <= LONGEST else [w[k:k + LONGEST] for k in range(0, len(w) - half, half)]
         owner += [i] * len(cut)
         pieces += cut
-    out = np.full((len(words), len(machines)), -np.inf)
+    out = np.full((len(words), 2), -np.inf)
     owner = np.array(owner)
     if pieces:
         for some, slots, weights in features(pieces, kernel):
-            for k, (table, bias) in enumerate(machines):
-                np.maximum.at(out[:, k], owner[some], table[slots] @ weights + bias)
+            both = np.einsum("wk,k->w", table[slots], weights)
+            for k, f in enumerate((both.real, both.imag)):
+                np.maximum.at(out[:, k], owner[some], f + bias[k])
     out[[not w for w in words]] = -np.inf
     return out
 
@@ -175,18 +179,27 @@ class Reader:
 
     def __init__(self, model: ToxicModel):
         self.model = model
-        self.machines = [(m.table(), m.bias) for m in (model.words, model.single)]
+        self.table = model.words.table() + 1j * model.single.table()
+        self.bias = model.words.bias, model.single.bias
         self.cores: dict[str, set[tuple[int, int]]] = {}
         for w in model.strong:
             for k in range(len(w) - CORE + 1):
                 self.cores.setdefault(w[k:k + CORE], set()).add((k, len(w)))
+        self.core = re.compile("|".join(map(re.escape, sorted(self.cores))) or "(?!)")
         self.heads = {w[:k] for w in model.strong for k in range(1, len(w))}
         self.tails = {w[k:] for w in model.strong for k in range(1, len(w))}
-        self.known: dict[str, tuple[float, float, int]] = {}
+        self.place: dict[str, int] = {}                      # of known tokens in the arrays
+        self.known = np.zeros((1024, 2), dtype=np.float32)   # margins by the first and the second machine
+        self.half = np.zeros(1024, dtype=np.int8)            # whether a token can be half an insult
+
+    def margins_of(self, words: list[str]) -> np.ndarray:
+        return word_margins(words, self.model.kernel, self.table, self.bias)
 
     def stretches(self, word: str) -> set[str]:
         """Parts of a longer word that lie where an insult would, by four of its letters, or one letter more."""
         out = set()
+        if not self.core.search(word):
+            return out
         for k in range(len(word) - CORE + 1):
             for place, size in self.cores.get(word[k:k + CORE], ()):
                 for a in (k - place - 1, k - place):
@@ -196,47 +209,61 @@ class Reader:
         return out
 
     def learn(self, tokens: list[str]) -> None:
-        """Margins of new tokens: by the first machine, by the second, and whether they can be half an insult."""
+        """Margins of new tokens, and whether they can be half an insult."""
         plain = [letters(t) for t in tokens]
-        got = word_margins([w if len(w) > 1 else "" for w in plain], self.model.kernel, self.machines)
-        extra = [{*parts_of(t), *(self.stretches(w) if len(w) > CORE else ())} for t, w in zip(tokens, plain)]
-        flat = sorted(set().union(*extra)) if extra else []
-        more = dict(zip(flat, word_margins(flat, self.model.kernel, self.machines[1:])[:, 0].tolist())) if flat else {}
-        for t, w, (m, one), xs in zip(tokens, plain, got.tolist(), extra):
-            half = (w in self.heads) + 2 * (w in self.tails)
-            m = m if len(w) > 1 else -math.inf if w else -1e9
-            self.known[t] = m, max([one, *(more[x] for x in xs)]), half
+        got = self.margins_of([w if len(w) > 1 else "" for w in plain])
+        size = np.fromiter(map(len, plain), dtype=np.int64, count=len(plain))
+        got[size == 0, 0] = -1e9                             # a one-letter word is minus infinity: see joined_runs
+        extra = {}
+        for k, (t, w) in enumerate(zip(tokens, plain)):
+            found = self.stretches(w)
+            if len(w) < len(t):
+                found.update(parts_of(t))
+            if found:
+                extra[k] = sorted(found)
+        if extra:
+            flat = sorted({x for xs in extra.values() for x in xs})
+            more = dict(zip(flat, self.margins_of(flat)[:, 1].tolist()))
+            for k, xs in extra.items():
+                got[k, 1] = max(got[k, 1], *(more[x] for x in xs))
+        first, end = len(self.place), len(self.place) + len(tokens)
+        if end > len(self.known):
+            grown = max(end, 2 * len(self.known))
+            self.known, self.half = (np.concatenate([x, np.zeros((grown - len(x), *x.shape[1:]), x.dtype)])
+                                     for x in (self.known, self.half))
+        self.known[first:end] = got
+        self.half[first:end] = [(w in self.heads) + 2 * (w in self.tails) for w in plain]
+        self.place.update(zip(tokens, range(first, end)))
 
     def margins(self, texts: list) -> np.ndarray:
         """(best, mean of the TOP best, single) of each text; bias - 1 where words lack."""
-        model = self.model
-        low, least = model.words.bias - 1.0, model.single.bias - 1.0
+        low, least = (x - 1.0 for x in self.bias)
         out = np.full((len(texts), 3), low)
         out[:, 2] = least
         for at in range(0, len(texts), DOCS_AT_ONCE):
             split = [(t or "").lower().split() for t in texts[at:at + DOCS_AT_ONCE]]
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            new = sorted(set(chain.from_iterable(split)).difference(self.known))
+            if len(self.place) > CACHE_WORDS:
+                self.place.clear()
+            new = sorted(set(chain.from_iterable(split)).difference(self.place))
             if new:
                 self.learn(new)
             for row, tokens in enumerate(split, at):
                 if not tokens:
                     continue
-                told = np.array(list(map(self.known.__getitem__, tokens)))
-                ms, ones, half = told[:, 0], told[:, 1], told[:, 2].astype(np.int8)
-                joined = []
-                if np.isneginf(ms).sum() >= 3:
-                    joined += joined_runs(tokens)
+                places = np.fromiter(map(self.place.__getitem__, tokens), dtype=np.int64, count=len(tokens))
+                ms, single = self.known[places, 0], float(self.known[places, 1].max())
+                half = self.half[places]
+                lone = np.isneginf(ms)
+                joined = joined_runs(tokens) if (lone[:-2] & lone[1:-1] & lone[2:]).any() else []
                 both = np.flatnonzero((half[:-1] & 1) & (half[1:] >> 1))
                 halves = [letters(tokens[k]) + letters(tokens[k + 1]) for k in both.tolist()]
                 if joined or halves:
-                    got = word_margins([*joined, *halves], model.kernel, self.machines)
-                    ms, ones = np.r_[ms, got[:len(joined), 0]], np.r_[ones, got[:, 1]]
+                    got = self.margins_of([*joined, *halves])
+                    ms, single = np.r_[ms, got[:len(joined), 0]], max(single, got[:, 1].max())
                 if len(ms) > TOP:
                     ms = np.partition(ms, len(ms) - TOP)[-TOP:]
                 ms = np.maximum(ms, low)
-                out[row] = ms.max(), ms.mean(), max(least, ones.max())
+                out[row] = ms.max(), ms.mean(dtype=np.float64), max(least, single)
         return out
 
 
