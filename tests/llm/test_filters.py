@@ -125,6 +125,52 @@ def test_toxicity_tolerates_gaps_and_insertions(toxic_model):
         assert best(text)[2] == pytest.approx(best("ba grumbold ri")[2], abs=1e-5)
 
 
+def brute_margin(word, machine, kernel):
+    """f(word) by listing every subsequence of the marked word."""
+    from itertools import combinations
+    weight_of = dict(zip(machine.slots.tolist(), machine.theta.tolist()))
+    codes = [0, *(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 37 for c in word), 0]
+    total = norm = 0.0
+    for order in kernel.orders:
+        for spot in combinations(range(len(codes)), order):
+            span = spot[-1] - spot[0] + 1
+            if span > order + kernel.gap:
+                continue
+            code = order
+            for k in spot:
+                code = code * 64 + codes[k]
+            w = kernel.decay ** (span - order)
+            norm += w * w
+            total += w * weight_of.get((code * 0x9E3779B1 & 0xFFFFFFFF) >> 12, 0.0)
+    return total / (norm ** 0.5 or 1.0) + machine.bias
+
+
+def test_margins_equal_brute_force(toxic_model):
+    m, low = toxic_model, (toxic_model.words.bias - 1, toxic_model.single.bias - 1)
+    f = lambda w, which: brute_margin(w, m.words if which == 0 else m.single, m.kernel)
+    cases = {                                # text: (words that the first machine reads, further ones for the second)
+        "ba grumbold ri": (["ba", "grumbold", "ri"], []),
+        "Grum bold, mel": (["grum", "bold", "mel"], ["grumbold"]),
+        "x/plexmud/y an": (["xplexmudy", "an"], ["plexmud"]),
+        "theplexmudan os": (["theplexmudan", "os"], ["plexmud", "plexmuda", "eplexmud", "eplexmuda"]),
+        "p l e x m u d an": (["an", "plexmud"], []),
+        "lone": (["lone"], []), "! 12": ([], []),
+    }
+    assert set(m.strong) == set(INSULTS) and m.cut >= 0
+    got = toxicity.Reader(m).margins([*cases, None, ""])
+    for (text, (words, more)), row in zip(cases.items(), got.tolist()):
+        first = sorted((max(f(w, 0), low[0]) for w in words), reverse=True) or [low[0]]
+        tokens = text.split()
+        first += [low[0]] * (len(tokens) - len(words))            # tokens without a word
+        single = max([f(w, 1) for w in [*words, *more]] + [low[1]])
+        top = sorted(first, reverse=True)[:toxicity.TOP]
+        assert row[0] == pytest.approx(first[0], abs=2e-5), text
+        assert row[2] == pytest.approx(single, abs=2e-5), text
+        if len(words) == len(tokens):
+            assert row[1] == pytest.approx(sum(top) / len(top), abs=2e-5), text
+    assert got[-1].tolist() == got[-2].tolist() == pytest.approx([low[0], low[0], low[1]])
+
+
 FORMS = {
     "plain": lambda w, r: w,
     "inserted": lambda w, r: w[:(k := r.randrange(1, len(w)))] + r.choice("abcdefghijklmnopqrstuvwxyz") + w[k:],
