@@ -87,13 +87,15 @@ def features(words: list[str], kernel: Kernel) -> Iterator[tuple[np.ndarray, np.
         at = np.flatnonzero(sizes == size)
         spots, weights = _spots(kernel, int(size) + 2)
         for some in np.array_split(at, len(at) // 4096 + 1):
-            c = _codes([words[i] for i in some])
+            c = _codes([words[i] for i in some]).astype(np.uint32)
             parts = []
-            for spot in spots:
-                code = np.full((len(some), len(spot)), spot.shape[1], dtype=np.int64)
+            for spot in spots:                # modulo 2^32 all the way
+                code = np.full((len(some), len(spot)), spot.shape[1], dtype=np.uint32)
                 for k in range(spot.shape[1]):
-                    code = code * 64 + c[:, spot[:, k]]
-                parts.append((code * 0x9E3779B1 & 0xFFFFFFFF) >> 12)
+                    code *= np.uint32(64)
+                    code += c[:, spot[:, k]]
+                code *= np.uint32(0x9E3779B1)
+                parts.append(code >> np.uint32(12))
             yield some, np.hstack(parts), weights
 
 
@@ -127,31 +129,38 @@ def word_margins(words: list[str], kernel: Kernel, table: np.ndarray, bias: tupl
 
     ``table`` holds the first machine's weights as real and the second's as imaginary parts, so that both are looked up at once.
     """
-    owner, pieces = [], []
-    half = LONGEST // 2
-    for i, w in enumerate(words):
-        cut = [w] if len(w) <= LONGEST else [w[k:k + LONGEST] for k in range(0, len(w) - half, half)]
-        owner += [i] * len(cut)
-        pieces += cut
-    out = np.full((len(words), 2), -np.inf)
-    owner = np.array(owner)
-    if pieces:
-        for some, slots, weights in features(pieces, kernel):
-            both = np.einsum("wk,k->w", table[slots], weights)
-            for k, f in enumerate((both.real, both.imag)):
-                np.maximum.at(out[:, k], owner[some], f + bias[k])
-    out[[not w for w in words]] = -np.inf
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    pieces, half = list(words), LONGEST // 2
+    more = []
+    for i in np.flatnonzero(size > LONGEST).tolist():
+        cut = [words[i][k:k + LONGEST] for k in range(0, len(words[i]) - half, half)]
+        pieces[i] = cut[0]
+        pieces += cut[1:]
+        more += [i] * (len(cut) - 1)
+    each = np.zeros((len(pieces), 2))
+    for some, slots, weights in features(pieces, kernel) if pieces else ():
+        both = np.einsum("wk,k->w", table.take(slots), weights)
+        each[some, 0], each[some, 1] = both.real + bias[0], both.imag + bias[1]
+    out = each[:len(words)]
+    np.maximum.at(out, np.array(more, dtype=np.int64), each[len(words):])
+    out[size == 0] = -np.inf
     return out
 
 
+AROUND = ".,;:!?\"'()[]{}-_*#&$%0123456789"      # often stands around a word
+
+
 def letters(token: str) -> str:
     """The token's letters."""
-    return token if token.isalpha() else "".join(c for c in token if c.isalpha())
+    if token.isalpha():
+        return token
+    inner = token.strip(AROUND)
+    return inner if inner.isalpha() else "".join(c for c in inner if c.isalpha())
 
 
 def parts_of(token: str) -> list[str]:
     """Runs of letters of a token that holds other characters between them."""
-    return [] if token.isalpha() else [w for w in "".join(c if c.isalpha() else " " for c in token).split() if len(w) > 1]
+    return [] if token.strip(AROUND).isalpha() else [w for w in "".join(c if c.isalpha() else " " for c in token).split() if len(w) > 1]
 
 
 def joined_runs(tokens: list[str]) -> list[str]:
@@ -244,7 +253,7 @@ class Reader:
             split = [(t or "").lower().split() for t in texts[at:at + DOCS_AT_ONCE]]
             if len(self.place) > CACHE_WORDS:
                 self.place.clear()
-            new = sorted(set(chain.from_iterable(split)).difference(self.place))
+            new = list(set(chain.from_iterable(split)).difference(self.place))
             if new:
                 self.learn(new)
             for row, tokens in enumerate(split, at):
