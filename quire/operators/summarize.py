@@ -36,7 +36,7 @@ from ..session import ensure_checkpoint_dir
 TOP_K = 3
 SCORE_SCALE = 1000
 # Most too-common tokens that travel to every task.
-COMMON_LIMIT = 100_000
+COMMON_LIMIT = 10_000
 # fixed value: the remote model named in request rows and output names.
 REQUEST_MODEL = "o3-mini"
 EXTRACTIVE_MODEL = "extractive"
