@@ -73,4 +73,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = exact_groups(rows.select(rank_of(id_col).alias("q_rank"), F.col(text_col).alias("q_text")),
                          "q_rank", "q_text", **options)
     gone = found.where(~F.col("kept")).select(F.col("q_rank.r").alias("q_row"))
-    return rows.join(gone, "q_row", "left_anti").select(*docs.columns)
+    # whole texts are not sorted for this: the numbers are hashed
+    return rows.join(gone.hint("shuffle_hash"), "q_row", "left_anti").select(*docs.columns)

@@ -166,5 +166,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = ordered.where(F.col("q_before") + F.col("size") / 2 <= F.col("target"))
     chosen = (chosen.join(reads.select("q_src", "q_block", "q_epoch", "slot"), ["q_src", "q_block", "q_epoch"], "left")
               .join(last, "q_src").select("q_row", F.coalesce("slot", "q_last").alias("q_slot")))
-    out = own.join(chosen, "q_row")
+    # whole texts are not sorted for this: the numbers are hashed
+    out = own.join(chosen.hint("shuffle_hash"), "q_row")
     return out.select(*docs.columns, *([F.col("q_slot").alias(slot_col)] if slot_col else []))

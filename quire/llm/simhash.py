@@ -122,4 +122,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = near_groups(rows.select("q_row", F.col(text_col).alias("q_text")), "q_row", "q_text", **options)
     stays = (found.join(rows.select("q_row", F.col(id_col).alias("q_id")), "q_row")
              .groupBy("component_id").agg(F.min(rank_of("q_id"))["r"].alias("q_row")).select("q_row"))
-    return rows.join(stays, "q_row", "left_semi").select(*docs.columns)
+    # whole texts are not sorted for this: the numbers are hashed
+    return rows.join(stays.hint("shuffle_hash"), "q_row", "left_semi").select(*docs.columns)
