@@ -15,16 +15,19 @@ Scale: a section is one row from end to end.  The only shuffle is of (token, df)
 counted per task before they move.  The too-common tokens, fewer than 2 x (average distinct
 tokens per section), are read back up to ``COMMON_LIMIT`` and travel to the tasks; beyond that
 limit each section meets its own too-common tokens in a join.  Sentences are then scored
-and chosen inside Arrow batches of whole sections.
+and chosen inside Arrow batches of whole sections, ``AT_ONCE`` tokens at a time, so that a task's
+memory is that of one batch and of its largest section.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +36,14 @@ from ..functions import text as T
 from ..functions.rows import explode_with_pos
 from ..session import ensure_checkpoint_dir
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOP_K = 3
 SCORE_SCALE = 1000
 # Most too-common tokens that travel to every task.
 COMMON_LIMIT = 10_000
+# Tokens and sentences scored at a time; a larger section is scored alone.
+AT_ONCE = 1 << 17
 # fixed value: the remote model named in request rows and output names.
 REQUEST_MODEL = "o3-mini"
 EXTRACTIVE_MODEL = "extractive"
@@ -96,11 +103,26 @@ def _own_common(sections: DataFrame, ids: list[str], body: str) -> DataFrame:
     return own.join(common, "token").groupBy(*ids).agg(F.collect_list("token").alias("_common"))
 
 
-def _summaries(common: list[str] | None, k: int, scale: int):
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut between sections into pieces of up to ``most`` tokens and sentences."""
+    for batch in batches:
+        toks = batch.column(batch.schema.get_field_index("_toks"))
+        sentences = np.cumsum(pc.list_value_length(toks).to_numpy())
+        tokens = np.cumsum(np.r_[0, pc.list_value_length(toks.flatten()).to_numpy()])
+        upto = tokens[sentences] + sentences                          # up to the end of each section
+        at = 0
+        while at < batch.num_rows:
+            done = upto[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(upto, done + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _summaries(common: list[str] | None, k: int, scale: int, most: int = AT_ONCE):
     """Task function: batches (keep..., _blank, _ss, _toks[, _common]) to (keep..., _blank, summary)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(common or [], type=pa.string())
-        for batch in batches:
+        for batch in _pieces(batches, most):
             col = dict(zip(batch.schema.names, batch.columns))
             n = batch.num_rows
             per_section = pc.list_value_length(col["_ss"]).to_numpy()

@@ -2,7 +2,9 @@
 
 import os
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +185,39 @@ def test_summary_of_odd_sections(spark):
     assert SU.extractive_summary(df.where("false")).count() == 0
 
 
+def _section_batch(sizes, words=2000):
+    """Sections of the given numbers of sentences, 30 tokens each, as the summary's task function gets them."""
+    rng = random.Random(5)
+    toks = [[[f"w{rng.randrange(words)}" for _ in range(30)] for _ in range(n)] for n in sizes]
+    return pa.RecordBatch.from_pydict({
+        "seq": list(range(len(sizes))), "_blank": [n == 0 for n in sizes],
+        "_ss": pa.array([[" ".join(t) for t in x] for x in toks], pa.list_(pa.string())),
+        "_toks": pa.array(toks, pa.list_(pa.list_(pa.string()))),
+        "_common": pa.array([["w1", "w7"] if i % 3 else None for i in range(len(sizes))], pa.list_(pa.string()))})
+
+
+def test_summary_memory_does_not_grow_with_the_batch():
+    peaks = []
+    for n in (100, 800):
+        batch = _section_batch([40] * n)
+        tracemalloc.start()
+        told = sum(b.num_rows for b in SU._summaries(["w1"], 3, SU.SCORE_SCALE)(iter([batch])))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert told == n
+    assert peaks[1] < 1.5 * peaks[0], peaks      # eight times the sections
+
+
+@pytest.mark.parametrize("common", [["w1", "w7"], None])
+def test_summary_is_the_same_for_any_cut_of_a_batch(common):
+    batch = _section_batch([0, 3, 50, 0, 0, 1, 2, 9, 200, 0, 4, 0], words=60)
+    whole = [r for b in SU._summaries(common, 3, SU.SCORE_SCALE, 1 << 40)(iter([batch, batch.slice(0, 0)])) for r in b.to_pylist()]
+    assert len(whole) == batch.num_rows
+    for most in (1, 40, 700, 6300):
+        parts = list(SU._summaries(common, 3, SU.SCORE_SCALE, most)(iter([batch.slice(0, 4), batch.slice(4)])))
+        assert [r for b in parts for r in b.to_pylist()] == whole and len(parts) > 2
+
+
 def test_summary_plan_moves_no_sections(spark):
     from test_plans import _plan
     plan = _plan(E.queries()["M2_extractive_summary"](spark, SF_SMALL))
