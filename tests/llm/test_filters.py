@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,6 +294,42 @@ def test_kneser_ney_equals_brute_force(spark):
     assert np.exp(table.astype(np.float64)).reshape(-1, quality.SYMBOLS).sum(axis=1) == pytest.approx(1.0, abs=0.02)
 
 
+class _Task:
+    """Stands for a DataFrame and keeps the task function that it gets."""
+
+    def mapInPandas(self, run, schema):
+        self.run = run
+        return self
+
+    def groupBy(self, *cols):
+        return self
+
+    def agg(self, *cols):
+        return self
+
+
+def test_gram_counts_take_no_table_of_all_grams(spark, monkeypatch):
+    texts = ["the  cat ", "", " ", "\u0130stanbul, 12.5", "\u039f\u03a3 \ud800x", "a\xa0\u6f22", "the cat"]
+    frame = pd.DataFrame({"lang": ["en", "xx"] * len(texts) * 2, "text": [t for t in texts * 2 for _ in "ab"]})
+    # the symbols before a text are white space
+    want = Counter()
+    for t in texts * 2:
+        codes = [0] * (quality.ORDER - 1) + quality.symbols(t).tolist()
+        want.update(sum(c * quality.SYMBOLS ** (quality.ORDER - 1 - k) for k, c in enumerate(codes[i:i + quality.ORDER]))
+                    for i in range(len(codes) - quality.ORDER + 1))
+    task = _Task()
+    quality.gram_counts(task)
+    for chunk in (quality.CHUNK, 1, 9):
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        tracemalloc.start()
+        got = pd.concat(task.run(iter([frame])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        for lang in ("en", "xx"):
+            assert got[got["lang"] == lang].groupby("gram")["c"].sum().to_dict() == dict(want)
+        assert peak < 4 << 20, peak            # a count for each possible gram takes 42 MB
+
+
 def test_quality_keeps_language_like_text_and_drops_noise(spark):
     rng = random.Random(4)
     say = lambda: " ".join(rng.choice(["the", "river", "runs", "under", "stone", "bridges", "slowly"]) for _ in range(40))
