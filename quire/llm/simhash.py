@@ -102,11 +102,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .withColumnRenamed(id_col, "q_id"))
     nodes = written(own.groupBy("q_fp").agg(F.min("q_id").alias("q_low")))
     roots = components(links(nodes.select("q_fp"), max_bits)).withColumnRenamed("node", "q_fp")
-    placed = nodes.join(roots, "q_fp", "left").select(
+    # rows of which the files say too little (sorted numbers compress well) are not to be broadcast
+    placed = nodes.join(roots.hint("merge"), "q_fp", "left").select(
         "q_fp", "q_low", F.coalesce("root", "q_fp").alias("q_root"))
     low = placed.groupBy("q_root").agg(F.min("q_low").alias("component_id"))
     named = skew_join(placed, low, ["q_root"]).select("q_fp", "component_id")
-    return own.join(named, "q_fp").select(
+    return own.join(named.hint("merge"), "q_fp").select(
         F.col("q_id").alias(id_col), F.lower(F.lpad(F.hex("q_fp"), 16, "0")).alias("fingerprint"),
         "component_id")
 
@@ -120,7 +121,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = numbered(docs)
     found = near_groups(rows.select("q_row", F.col(text_col).alias("q_text")), "q_row", "q_text", **options)
-    stays = (found.join(rows.select("q_row", F.col(id_col).alias("q_id")), "q_row")
+    stays = (found.join(rows.select("q_row", F.col(id_col).alias("q_id")).hint("merge"), "q_row")
              .groupBy("component_id").agg(F.min(rank_of("q_id"))["r"].alias("q_row")).select("q_row"))
     # whole texts are not sorted for this: the numbers are hashed
     return rows.join(stays.hint("shuffle_hash"), "q_row", "left_semi").select(*docs.columns)

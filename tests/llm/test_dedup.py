@@ -160,6 +160,16 @@ def test_long_posting_lists_are_cut_into_cells(spark):
     assert got == sorted((a, b) for a in fps for b in fps if a < b)
 
 
+def test_lists_and_components_are_never_broadcast(spark):
+    """Few rows on disk may be many once exploded, which Spark's sizes do not tell."""
+    few = common.written(spark.range(1000).select(F.xxhash64("id").alias("q_fp")))
+    low = few.groupBy("q_fp").agg(F.count("*").alias("n"))
+    for df in (simhash.links(few), common.skew_join(few, low, ["q_fp"]),
+               simhash.near_groups(docs(spark, [(1, "a b c d"), (2, "a b c e"), (3, "f g h i")]))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 300), (7, 5), (900, 901), (901, 900), (4, 4)]
     edges += [(1000, 1000 + i) for i in range(1, 50)]
