@@ -119,13 +119,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     rows = written(stream.join(table.select("q_src", F.col("q_total").alias("source_size"), "target"), "q_src").drop("q_order"))
     blocks = written(block_order(table, block_words, most, seed))
     slots = schedule(blocks.groupBy("q_src").agg(F.count("*").alias("q_slots")), golden)
-    reads = written(slots.join(blocks, ["q_src", "q_turn"]))
+    # a row per block: in order they compress so well that by their files they would pass for small tables
+    reads = written(slots.join(blocks.hint("merge"), ["q_src", "q_turn"]))
     spans = rows.where("size > 0").select(
         "q_row", "q_src", "q_start", (F.col("q_start") + F.col("size")).alias("q_end"),
         F.explode(F.sequence(F.expr(f"q_start div {block_words}"), F.expr(f"(q_start + size - 1) div {block_words}"))).alias("q_block"))
     begin = F.col("q_block") * block_words
     part = F.least(F.col("q_end"), begin + F.col("q_take")) - F.greatest(F.col("q_start"), begin)
-    pieces = (spans.join(reads, ["q_src", "q_block"]).select("q_row", "q_epoch", "slot", part.alias("words"))
+    pieces = (spans.join(reads.hint("merge"), ["q_src", "q_block"]).select("q_row", "q_epoch", "slot", part.alias("words"))
               .where("words > 0"))
     return rows, reads, pieces
 
@@ -138,7 +139,7 @@ def mix_table(docs: DataFrame, **options) -> DataFrame:
     id_col = options.get("id_col", "doc_id")
     rows, _, pieces = mix(docs, **options)
     taken = pieces.groupBy("q_row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
-    return (rows.join(taken, "q_row", "left")
+    return (rows.join(taken.hint("merge"), "q_row", "left")
             .select(F.col("q_id").alias(id_col), "size", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot"))
 
@@ -164,7 +165,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("q_row", "q_src", "q_start", "size", "target", "q_block", "q_epoch", "q_mix"))
     ordered = running_total(starts, "q_src", ["q_epoch", "q_mix", "q_block", "q_start"], "size", "q_before")
     chosen = ordered.where(F.col("q_before") + F.col("size") / 2 <= F.col("target"))
-    chosen = (chosen.join(reads.select("q_src", "q_block", "q_epoch", "slot"), ["q_src", "q_block", "q_epoch"], "left")
+    chosen = (chosen.join(reads.select("q_src", "q_block", "q_epoch", "slot").hint("merge"), ["q_src", "q_block", "q_epoch"], "left")
               .join(last, "q_src").select("q_row", F.coalesce("slot", "q_last").alias("q_slot")))
     # whole texts are not sorted for this: the numbers are hashed
     out = own.join(chosen.hint("shuffle_hash"), "q_row")

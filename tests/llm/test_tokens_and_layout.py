@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -356,6 +357,28 @@ def test_the_query_follows_its_schedule(spark):
         assert all(abs(seen.get(s, 0) - done * goal[s] / total) <= 4 * 64 for s in goal)
 
 
+def test_blocks_and_reads_are_never_broadcast(spark, monkeypatch):
+    """A row per block, sorted and compressed: their files say too little of their size in memory."""
+    plans, write = [], mixing.written
+
+    def plan_of(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def watched(df, **options):
+        plans.append(plan_of(df))
+        return write(df, **options)
+
+    monkeypatch.setattr(mixing, "written", watched)
+    docs = spark.createDataFrame([(i, "w " * 300, "en", "ab"[i % 2], 600) for i in range(20)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    plans.append(plan_of(mixing.mixed_documents(docs)))
+    assert any(re.search(r"SortMergeJoin \[q_src#\d+, q_turn#", p) for p in plans[:-1])
+    assert re.search(r"SortMergeJoin \[q_src#\d+, q_block#", plans[-1])
+    table = plan_of(mixing.mix_table(docs))
+    assert re.search(r"SortMergeJoin \[q_src#\d+, q_block#", table) and re.search(r"SortMergeJoin \[q_row#", table)
+    assert not any(re.search(r"BroadcastHashJoin \[(q_row|q_src#\w+, (q_turn|q_block))", p) for p in [*plans, table])
+
+
 def test_mixed_documents_are_whole_and_near_their_targets(spark):
     rows = mixing_rows()
     d = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows],
